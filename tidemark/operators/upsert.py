@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FROM_SOURCE = "_from_source"
+_FROM_TARGET = "_from_target"
 
 
 def has_null_key(keys: Sequence[str]) -> Column:
@@ -25,53 +26,65 @@ def upsert(
 ) -> DataFrame:
     """Target after the merge: matched rows take all source columns, other source rows are added.
 
-    The source has one row per key. Target rows without a match stay as they are, also when
-    a key repeats, and nothing is deleted. With ``newer_by`` a matched target row that is
-    newer in those columns is kept. NULL keys never match: such source rows are left out,
-    or added when ``null_keys`` is ``"insert"``.
+    The source has one row per key, and so has a target that was made by merges. Target rows
+    without a match stay as they are, and nothing is deleted. With ``newer_by`` a matched
+    target row that is newer in those columns is kept. NULL keys never match: such source
+    rows are left out, or added when ``null_keys`` is ``"insert"``.
+
+    Each side is read once. A side that was just reduced to its newest rows is already
+    partitioned by the key and is not shuffled again.
     """
-    kept, added = upsert_parts(target, source, keys, newer_by, null_keys)
-    return kept.unionByName(added, allowMissingColumns=True).drop(FROM_SOURCE)
+    old = target.withColumn(_FROM_TARGET, F.lit(True))
+    merged = _overlay(old, _usable(source, keys, null_keys), keys, newer_by, "full_outer")
+    return merged.drop(_FROM_TARGET, FROM_SOURCE)
 
 
-def upsert_parts(
+def upsert_stored(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     newer_by: Sequence[str] = (),
     null_keys: str = "reject",
 ) -> tuple[DataFrame, DataFrame]:
-    """The two halves of ``upsert``, each with a column telling if the row is the source's.
+    """``upsert`` in two halves, for a stored target and a source small enough to broadcast.
 
-    An outer join on the target side, and the source rows that matched nothing. A full outer
-    join would shuffle the target even for a tiny source and cannot be split on skew; here a
-    source within Spark's broadcast limit leaves the target where it is, and beyond the limit
-    adaptive execution may split hot or NULL keys of the target.
+    The first has the target rows, updated or not, where they lie: no shuffle. The second has
+    the rows to add, found with another look at the key columns alone. Both say in a column
+    whether the row is the source's.
     """
+    source = _usable(source, keys, null_keys)
+    on = list(keys)
+    met = target.select(*on).join(source.select(*on), on, "left_semi")
+    added = source.join(met, on, "left_anti").withColumn(FROM_SOURCE, F.lit(True))
+    return _overlay(target, source, on, newer_by, "left_outer"), added
+
+
+def _usable(source: DataFrame, keys: Sequence[str], null_keys: str) -> DataFrame:
     if null_keys not in ("reject", "insert"):
         raise ValueError(f"null_keys must be 'reject' or 'insert', not {null_keys!r}")
-    on = list(keys)
-    keyed = source.filter(~has_null_key(on))
-    met = target.select(*on).join(keyed.select(*on), on, "left_semi")
-    added = (keyed if null_keys == "reject" else source).join(met, on, "left_anti")
-    return _overlay(target, keyed, on, newer_by), added.withColumn(FROM_SOURCE, F.lit(True))
+    return source if null_keys == "insert" else source.filter(~has_null_key(keys))
 
 
-def _overlay(target: DataFrame, source: DataFrame, keys: list[str], newer_by: Sequence[str]) -> DataFrame:
-    """Target rows, with the values of the source row of the same key where that one wins."""
-    # A literal mark tells a match: any data column of the source may be NULL.
+def _overlay(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: Sequence[str], how: str
+) -> DataFrame:
+    """The joined sides, with the source's values where its row is new or wins."""
+    # Literal marks tell the sides apart: any data column may be NULL on either of them.
     old = target.alias("old")
     new = source.withColumn(FROM_SOURCE, F.lit(True)).alias("new")
     same_key = reduce(and_, [_of("old", k) == _of("new", k) for k in keys])
     wins = _of("new", FROM_SOURCE).isNotNull()
     if newer_by:
-        wins &= ~(F.struct(*[_of("old", c) for c in newer_by]) > F.struct(*[_of("new", c) for c in newer_by]))
+        # NULL is older than any value; a missing target row is older than any row.
+        older = F.struct(*[_of("old", c) for c in newer_by]) > F.struct(*[_of("new", c) for c in newer_by])
+        present = _of("old", _FROM_TARGET).isNotNull() if how == "full_outer" else F.lit(True)
+        wins &= ~(present & older)
     out = []
     for name in [*target.columns, *[c for c in source.columns if c not in target.columns]]:
         before = _of("old", name) if name in target.columns else F.lit(None)
         after = _of("new", name) if name in source.columns else before
         out.append(F.when(wins, after).otherwise(before).alias(name))
-    return old.join(new, same_key, "left_outer").select(*out, wins.alias(FROM_SOURCE))
+    return old.join(new, same_key, how).select(*out, wins.alias(FROM_SOURCE))
 
 
 def _of(side: str, name: str) -> Column:

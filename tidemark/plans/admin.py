@@ -16,7 +16,7 @@ from tidemark.sources.control import (
     snapshot_tables,
     split_names,
 )
-from tidemark.sources.storage import publish, read_current, version_path, versions
+from tidemark.sources.storage import current_version, publish, read_current, version_path
 
 
 def seed(spark: SparkSession, csv_path: str, control: str, sequence: str, kind: str = "stream") -> int:
@@ -42,6 +42,6 @@ def backup(
     frames = {}
     for name in split_names(tables):
         path = f"{control}/{name}"
-        frames[name] = spark.read.parquet(version_path(path, versions(spark, path)[-1]))
+        frames[name] = spark.read.parquet(version_path(path, current_version(spark, path)))
     snapshot_tables(spark, frames, backups, taken_at)
     return expire_snapshots(spark, backups, taken_at, days)

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import maxima, stamp
-from tidemark.operators.config import KEY, advance_source_watermark
+from tidemark.operators.config import advance_source_watermark
 from tidemark.plans.load_plan import load_plan
 from tidemark.schemas import AUDIT, RUN_STATE
 from tidemark.sources.control import append_audit, load_config
 from tidemark.sources.databases import FileSource, JdbcSource
 from tidemark.sources.raw import WRITE_ATTEMPTS, raw_path, write_mode, write_raw, write_with_retry
-from tidemark.sources.storage import publish, read_current
+from tidemark.sources.storage import control_rows, publish, read_current
 
 # Fixed value: the layer these jobs report for.
 LAYER = "RAW"
@@ -117,9 +117,8 @@ def ingest_database(
 def advance_state(spark: SparkSession, state: DataFrame, results: Sequence[TableResult]) -> DataFrame:
     """Run state after the loads that brought rows."""
     brought = [asdict(r) for r in results if r.row_count]
-    updates = spark.createDataFrame(
-        [tuple(r[c] for c in RUN_STATE.fieldNames()) for r in brought], RUN_STATE
-    )
+    rows = [tuple(r[c] for c in RUN_STATE.fieldNames()) for r in brought]
+    updates = control_rows(spark, rows, RUN_STATE)
     # A table without change columns has a state row only for the stamp of its full load.
     return advance_source_watermark(state, updates).select(*RUN_STATE.fieldNames())
 
@@ -128,4 +127,4 @@ def audit_rows(spark: SparkSession, results: Sequence[TableResult], at: datetime
     rows = [
         (r.database_name, r.table_name, LAYER, r.status, r.row_count, at, r.error) for r in results
     ]
-    return spark.createDataFrame(rows, AUDIT).sort(*KEY)
+    return control_rows(spark, rows, AUDIT)

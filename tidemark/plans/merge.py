@@ -14,6 +14,7 @@ from tidemark.operators.config import merge_config
 from tidemark.sources.control import split_names
 from tidemark.sources.raw import raw_table, read_raw
 from tidemark.sources.staging import MergeCounts, StagingTable
+from tidemark.sources.storage import control_rows
 
 # Fixed value: tables merged at a time.
 MERGE_WORKERS = 5
@@ -77,6 +78,6 @@ def merge_schema(
 
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(run, merge_config(config, schema, kind).collect()))
-    return spark.createDataFrame(results, MERGE_RESULT)
+    return control_rows(spark, results, MERGE_RESULT)
 
 

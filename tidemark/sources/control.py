@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timestamps import ntz
 from tidemark.operators.config import FULL, expired_snapshots, snapshot_name
 from tidemark.schemas import AUDIT, LOAD_CONFIG, SNAPSHOT_MANIFEST
-from tidemark.sources.storage import delete, exists, publish, read_current
+from tidemark.sources.storage import control_rows, delete, exists, publish, read_current
 
 
 def read_load_config_csv(spark: SparkSession, path: str, sequence: str | None = None) -> DataFrame:
@@ -52,7 +52,7 @@ def snapshot_tables(
     manifest = f"{root}/manifest"
     publish(
         read_current(spark, manifest, SNAPSHOT_MANIFEST).unionByName(
-            spark.createDataFrame(rows, SNAPSHOT_MANIFEST)
+            control_rows(spark, rows, SNAPSHOT_MANIFEST)
         ),
         manifest,
     )

@@ -14,18 +14,28 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.cdc import STAMP
 from tidemark.operators.dedupe import dedupe_latest
-from tidemark.operators.upsert import FROM_SOURCE, has_null_key, upsert_parts
-from tidemark.sources.storage import child_names, delete, publish, read_current, version_path, versions
+from tidemark.operators.upsert import FROM_SOURCE, has_null_key, upsert_stored
+from tidemark.sources.storage import (
+    child_names,
+    control_rows,
+    current_version,
+    delete,
+    publish,
+    read_current,
+    version_path,
+    versions,
+)
 
 BUCKET = "_bucket"
 BUCKET_BYTES = 256 * 1024 * 1024
 MAX_BUCKETS = 65536
+MAX_ROWS_PER_FILE = 10_000_000
 
 _CURRENT = T.StructType(
     [
@@ -40,10 +50,10 @@ _CURRENT = T.StructType(
 
 @dataclass(frozen=True)
 class MergeCounts:
-    updated: int
-    inserted: int
-    rejected: int
-    high_mark: datetime | None
+    updated: int = 0
+    inserted: int = 0
+    rejected: int = 0
+    high_mark: datetime | None = None
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -60,14 +70,18 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 class StagingTable:
+    """A staging table at a path. ``buckets`` overrides the number its first load suggests."""
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self._wanted_buckets = buckets
+        self._data = f"{self.path}/data"
+        self._state = f"{self.path}/current"
 
     def _current(self) -> DataFrame:
-        return read_current(self.spark, f"{self.path}/current", _CURRENT)
+        return read_current(self.spark, self._state, _CURRENT)
 
     def high_mark(self) -> datetime | None:
         """Stamp up to which RAW rows have been merged."""
@@ -78,17 +92,20 @@ class StagingTable:
         entries = self._current().collect()
         return self._rows(entries).drop(BUCKET) if entries else None
 
-    def _rows(self, entries: Sequence[T.Row]) -> DataFrame:
-        # One entry per bucket, so the list of paths is bounded by the number of buckets.
-        columns = T.StructType.fromJson(json.loads(entries[0]["columns"])).add(BUCKET, T.IntegerType())
-        paths = [f"{version_path(self._data, e['merge'])}/{BUCKET}={e['bucket']}" for e in entries]
-        # Every directory names its bucket; merge directories are told apart by the path alone.
-        parts = self.spark.read.schema(columns).option("basePath", self._data).parquet(*paths)
-        return parts.select(*columns.fieldNames())
-
-    @property
-    def _data(self) -> str:
-        return f"{self.path}/data"
+    def _rows(self, entries: Sequence[Row]) -> DataFrame:
+        """Rows of the buckets. A merge of which every bucket is wanted is read as one
+        directory; at most there is one path per bucket."""
+        wanted: dict[int, list[str]] = {}
+        for e in entries:
+            wanted.setdefault(e["merge"], []).append(f"{BUCKET}={e['bucket']}")
+        paths = []
+        for merge, parts in wanted.items():
+            base = version_path(self._data, merge)
+            whole = len(parts) == sum(n.startswith(BUCKET) for n in child_names(self.spark, base))
+            paths += [base] if whole else [f"{base}/{part}" for part in parts]
+        columns = _columns(entries).add(BUCKET, T.IntegerType())
+        files = self.spark.read.schema(columns).option("basePath", self._data).parquet(*paths)
+        return files.select(*columns.fieldNames())
 
     def merge(
         self,
@@ -101,81 +118,64 @@ class StagingTable:
 
         Newest is by stamp, then by change columns. The newest load wins over the table, or,
         with ``keep_newer``, only where the row of the table is not newer by the same order.
-        ``rows`` is scanned once: the stored increment serves everything after.
+        ``null_keys`` is as for ``upsert``.
         """
-        order = [STAMP, *change_cols]
-        newer_by = order if keep_newer else []
         entries = self._current().collect()
-        number = max(versions(self.spark, f"{self.path}/current"), default=0) + 1
+        number = (current_version(self.spark, self._state) or 0) + 1
         buckets = entries[0]["buckets"] if entries else self._first_buckets(rows)
+        order = [STAMP, *change_cols]
 
-        landing = version_path(f"{self.path}/increment", number)
-        newest = dedupe_latest(rows, self.keys, order)
+        newest = dedupe_latest(_as_stored(rows, entries), self.keys, order)
+        # Taken while the rows pass by; both hold when a task is run twice. The one row that
+        # is left of a NULL key tells whether any was there.
         seen = Observation()
-        (
-            newest.observe(
-                seen,
-                F.count_if(has_null_key(self.keys)).alias("null_keys"),
-                F.count(F.lit(1)).alias("all"),
-                F.max(F.col(STAMP)).cast("string").alias("high"),
-            )
-            .withColumn(BUCKET, bucket_of(self.keys, buckets))
-            .write.mode("overwrite")
-            .parquet(landing)
-        )
-        high = seen.get["high"]
-        usable = seen.get["all"] - (seen.get["null_keys"] if null_keys == "reject" else 0)
-        # The survivor of a NULL key stands for all its rows; only then is a count needed.
-        rejected = rows.filter(has_null_key(self.keys)).count() if seen.get["all"] > usable else 0
-        if high is None:
-            delete(self.spark, landing)
-            return MergeCounts(0, 0, 0, None)
-
-        increment = self.spark.read.parquet(landing)
+        increment = newest.observe(
+            seen,
+            F.max(has_null_key(self.keys)).alias("null_keys"),
+            F.max(STAMP).cast("string").alias("high"),
+        ).withColumn(BUCKET, bucket_of(self.keys, buckets))
         if null_keys == "reject":
             increment = increment.filter(~has_null_key(self.keys))
-        touched = {r[0] for r in increment.select(BUCKET).distinct().collect()}
-        old = [e for e in entries if e["bucket"] in touched]
-        counts = self._write(number, len(touched), increment, self._rows(old) if old else None, newer_by, null_keys)
+        if entries:
+            counts, touched = self._rewrite(number, increment, entries, order if keep_newer else [], null_keys)
+        else:
+            first = increment.withColumn(FROM_SOURCE, F.lit(True)).repartition(buckets, BUCKET)
+            counts, touched = self._write(number, first, 0)
+        high = seen.get["high"]
+        if high is None:
+            return MergeCounts()
+        rejects = null_keys == "reject" and seen.get["null_keys"]
+        rejected = rows.filter(has_null_key(self.keys)).count() if rejects else 0
         self._publish(number, entries, touched, buckets, increment, high)
-        delete(self.spark, landing)
         return MergeCounts(*counts, rejected, datetime.fromisoformat(high))
 
-    def _write(
-        self,
-        number: int,
-        touched: int,
-        increment: DataFrame,
-        target: DataFrame | None,
-        newer_by: Sequence[str],
-        null_keys: str,
-    ) -> tuple[int, int]:
-        """Rewrite the touched buckets; returns how many rows were updated and inserted."""
-        if target is None:
-            merged = increment.withColumn(FROM_SOURCE, F.lit(True)).repartition(touched, BUCKET)
-            before = 0
+    def _rewrite(
+        self, number: int, increment: DataFrame, entries: Sequence[Row], newer_by: Sequence[str], null_keys: str
+    ) -> tuple[tuple[int, int], set[int]]:
+        """Store the increment, then write the buckets it touches anew.
+
+        The increment is read several times and its size decides how, so it is made once.
+        """
+        landing = version_path(f"{self.path}/increment", number)
+        increment.write.mode("overwrite").parquet(landing)
+        stored = self.spark.read.schema(increment.schema).parquet(landing)
+        touched = {r[0] for r in stored.select(BUCKET).distinct().collect()}
+        old = [e for e in entries if e["bucket"] in touched]
+        if not old:
+            merged, before = stored.withColumn(FROM_SOURCE, F.lit(True)).repartition(BUCKET), 0
         else:
-            before = target.count()  # footers only
-            if planned_bytes(increment) <= broadcast_limit(self.spark):
+            target = self._rows(old)
+            before = target.count()  # from the footers
+            if planned_bytes(stored) <= broadcast_limit(self.spark):
                 # The table is not shuffled: a task reads a few of its buckets and writes them
                 # again. Only the new rows are brought together by bucket.
-                kept, added = upsert_parts(target, increment, self.keys, newer_by, null_keys)
+                kept, added = upsert_stored(target, stored, self.keys, newer_by, null_keys)
                 merged = kept.unionByName(added.repartition(BUCKET), allowMissingColumns=True)
             else:
-                merged = self._merge_by_bucket(target, increment, newer_by, touched)
-        done = Observation()
-        (
-            merged.observe(
-                done, F.count(F.lit(1)).alias("all"), F.count_if(F.col(FROM_SOURCE)).alias("from_source")
-            )
-            .drop(FROM_SOURCE)
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", 10_000_000)
-            .partitionBy(BUCKET)
-            .parquet(version_path(self._data, number))
-        )
-        inserted = done.get["all"] - before
-        return done.get["from_source"] - inserted, inserted
+                merged = self._merge_by_bucket(target, stored, newer_by, len(touched))
+        done = self._write(number, merged, before)
+        delete(self.spark, landing)
+        return done
 
     def _merge_by_bucket(
         self, target: DataFrame, increment: DataFrame, newer_by: Sequence[str], touched: int
@@ -189,6 +189,23 @@ class StagingTable:
         winners = dedupe_latest(keyed, [BUCKET, *self.keys], [*newer_by, FROM_SOURCE])
         return winners.unionByName(both.filter(has_null_key(self.keys)))
 
+    def _write(self, number: int, merged: DataFrame, before: int) -> tuple[tuple[int, int], set[int]]:
+        """Write buckets; returns rows updated and inserted, and which buckets there are."""
+        done = Observation()
+        total, from_source = F.count(F.lit(1)), F.count_if(F.col(FROM_SOURCE))
+        target = version_path(self._data, number)
+        (
+            merged.observe(done, total.alias("total"), from_source.alias("from_source"))
+            .drop(FROM_SOURCE)
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+            .partitionBy(BUCKET)
+            .parquet(target)
+        )
+        inserted = done.get["total"] - before
+        written = {int(n.split("=")[1]) for n in child_names(self.spark, target) if n.startswith(BUCKET)}
+        return (done.get["from_source"] - inserted, inserted), written
+
     def _first_buckets(self, rows: DataFrame) -> int:
         """Buckets of about 256 MB by the size of the first load, unless set."""
         return self._wanted_buckets or min(MAX_BUCKETS, 1 + planned_bytes(rows) // BUCKET_BYTES)
@@ -196,40 +213,53 @@ class StagingTable:
     def _publish(
         self,
         number: int,
-        entries: Sequence[T.Row],
+        entries: Sequence[Row],
         touched: set[int],
         buckets: int,
         increment: DataFrame,
         high: str,
     ) -> None:
-        columns = T.StructType.fromJson(json.loads(entries[0]["columns"])) if entries else T.StructType()
+        columns = _columns(entries)
         for f in increment.drop(BUCKET).schema.fields:
             if f.name not in columns.fieldNames():
                 columns.add(f.name, f.dataType)
-        mark = datetime.fromisoformat(high)
-        if entries:
-            mark = max(mark, entries[0]["high_mark"])
-        kept = {e["bucket"]: e["merge"] for e in entries}
-        kept.update(dict.fromkeys(touched, number))
-        rows = [(b, m, buckets, columns.json(), mark) for b, m in sorted(kept.items())]
-        publish(self.spark.createDataFrame(rows, _CURRENT).coalesce(1), f"{self.path}/current")
+        mark = max([datetime.fromisoformat(high), *[e["high_mark"] for e in entries]])
+        merge_of = {e["bucket"]: e["merge"] for e in entries} | dict.fromkeys(touched, number)
+        rows = [(bucket, merge, buckets, columns.json(), mark) for bucket, merge in merge_of.items()]
+        publish(control_rows(self.spark, rows, _CURRENT), self._state)
 
     def vacuum(self, keep: int = 2) -> int:
-        """Delete bucket directories that none of the last ``keep`` published states reads."""
-        states = versions(self.spark, f"{self.path}/current")
+        """Delete bucket directories that none of the last ``keep`` published states reads;
+        returns how many. Readers of older states must be done."""
+        newest = current_version(self.spark, self._state) or 0
         used: set[tuple[int, int]] = set()
-        for number in states[-keep:]:
-            state = self.spark.read.schema(_CURRENT).parquet(version_path(f"{self.path}/current", number))
-            used |= {(r["merge"], r["bucket"]) for r in state.collect()}
+        for number in versions(self.spark, self._state):
+            if newest - keep < number <= newest:
+                state = self.spark.read.schema(_CURRENT).parquet(version_path(self._state, number))
+                used |= {(r["merge"], r["bucket"]) for r in state.collect()}
         gone = 0
-        for merge in child_names(self.spark, self._data):
-            base = f"{self._data}/{merge}"
-            if int(merge[2:]) > states[-1]:
-                continue
-            for part in child_names(self.spark, base):
-                if part.startswith(f"{BUCKET}=") and (int(merge[2:]), int(part.split("=")[1])) not in used:
-                    gone += delete(self.spark, f"{base}/{part}")
-        for number in states[:-keep]:
-            delete(self.spark, version_path(f"{self.path}/current", number))
+        for merge in versions(self.spark, self._data):
+            base = version_path(self._data, merge)
+            parts = [n for n in child_names(self.spark, base) if n.startswith(BUCKET)]
+            old = [n for n in parts if merge <= newest and (merge, int(n.split("=")[1])) not in used]
+            for part in old if len(old) < len(parts) else [""]:
+                delete(self.spark, f"{base}/{part}".rstrip("/"))
+            gone += len(old)
         return gone
 
+
+def _columns(entries: Sequence[Row]) -> T.StructType:
+    """Columns of the table; files of older merges may lack the later ones, which read NULL."""
+    return T.StructType.fromJson(json.loads(entries[0]["columns"])) if entries else T.StructType()
+
+
+def _as_stored(rows: DataFrame, entries: Sequence[Row]) -> DataFrame:
+    """Rows with the types the table already has for its columns."""
+    stored = {f.name: f.dataType for f in _columns(entries).fields}
+    return rows.withColumns(
+        {
+            f.name: F.col(f.name).cast(stored[f.name])
+            for f in rows.schema.fields
+            if f.name in stored and f.dataType != stored[f.name]
+        }
+    )

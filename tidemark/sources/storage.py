@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+KEPT_VERSIONS = 10
+
 
 def _locate(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -26,28 +31,43 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(where, True)
 
 
+def control_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of the driver's own as a frame; by way of Arrow no Python worker is started."""
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.fieldNames())}
+    return spark.createDataFrame(pa.table(columns), schema).coalesce(1)
+
+
 def version_path(path: str, version: int) -> str:
     return f"{path}/v={version:010d}"
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions, oldest first: those whose write ended with its success marker."""
-    names = [n for n in child_names(spark, path) if n.startswith("v=")]
-    return [int(n[2:]) for n in names if exists(spark, f"{path}/{n}/_SUCCESS")]
+    """Numbers of all versions, whole or not, oldest first."""
+    return [int(n[2:]) for n in child_names(spark, path) if n.startswith("v=")]
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Newest version whose write ended with its success marker."""
+    newest_first = reversed(versions(spark, path))
+    return next((v for v in newest_first if exists(spark, f"{version_path(path, v)}/_SUCCESS")), None)
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Newest complete version, or no rows before the first one."""
-    done = versions(spark, path)
-    if not done:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(path, done[-1]))
+    version = current_version(spark, path)
+    if version is None:
+        return control_rows(spark, [], schema)
+    return spark.read.schema(schema).parquet(version_path(path, version))
 
 
 def publish(df: DataFrame, path: str) -> int:
     """Write the next version. It counts only once it is whole, and the version being read
-    to make it stays in place; a crash leaves the one before as the newest."""
-    done = versions(df.sparkSession, path)
-    number = done[-1] + 1 if done else 1
+    to make it stays in place; a crash leaves the one before as the newest. Versions long
+    replaced are removed."""
+    spark = df.sparkSession
+    number = (current_version(spark, path) or 0) + 1
     df.write.mode("overwrite").parquet(version_path(path, number))
+    for old in versions(spark, path):
+        if old <= number - KEPT_VERSIONS:
+            delete(spark, version_path(path, old))
     return number

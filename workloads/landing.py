@@ -15,7 +15,7 @@ from tidemark.session import work_dir
 from tidemark.sources.control import read_audit
 from tidemark.sources.databases import FileSource
 from tidemark.sources.raw import raw_path, raw_table, read_raw, write_raw
-from tidemark.sources.storage import publish, read_current
+from tidemark.sources.storage import control_rows, publish, read_current
 from workloads.inputs import T1, T2, T2_LATER, T3, Query, between, sql_ts, table
 
 MARK = "2024-01-15 00:09:30.500000"
@@ -54,11 +54,11 @@ def _source(sf: str) -> FileSource:
 
 
 def _config(spark: SparkSession, *rows: tuple) -> DataFrame:
-    return spark.createDataFrame([("shop", *r) for r in rows], LOAD_CONFIG)
+    return control_rows(spark, [("shop", *r) for r in rows], LOAD_CONFIG)
 
 
 def _state(spark: SparkSession, **marks: str) -> DataFrame:
-    return spark.createDataFrame([("shop", t, m, None) for t, m in marks.items()], RUN_STATE)
+    return control_rows(spark, [("shop", t, m, None) for t, m in marks.items()], RUN_STATE)
 
 
 def _one_plan(spark: SparkSession, mark: str):
