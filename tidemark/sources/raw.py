@@ -37,6 +37,9 @@ def write_raw(stamped: DataFrame, path: str, load_ts: datetime | str, mode: str,
     Overwrite is per partition: it replaces the hour being written and no other. An extract
     without rows makes no partition, so it changes nothing in either mode.
     """
+    taken = [c for c in PARTITIONS if c in stamped.columns]
+    if taken:
+        raise ValueError(f"columns {taken} name the RAW partitions: rename them in the extract")
     date, hour = load_partition(load_ts, zone)
     (
         stamped.withColumns({"load_date": date, "load_hour": hour})

@@ -32,9 +32,9 @@ from tidemark.sources.storage import (
     versions,
 )
 
-BUCKET = "_bucket"
+BUCKET, MERGE = "_bucket", "_merge"
 BUCKET_BYTES = 256 * 1024 * 1024
-MAX_BUCKETS = 65536
+MIN_BUCKETS, MAX_BUCKETS = 8, 65536
 MAX_ROWS_PER_FILE = 10_000_000
 
 _CURRENT = T.StructType(
@@ -80,6 +80,10 @@ class StagingTable:
         self._data = f"{self.path}/data"
         self._state = f"{self.path}/current"
 
+    def _merge_path(self, number: int) -> str:
+        # The directory name becomes a partition column when read; tables have columns like "v".
+        return f"{self._data}/{MERGE}={number:010d}"
+
     def _current(self) -> DataFrame:
         return read_current(self.spark, self._state, _CURRENT)
 
@@ -100,7 +104,7 @@ class StagingTable:
             wanted.setdefault(e["merge"], []).append(f"{BUCKET}={e['bucket']}")
         paths = []
         for merge, parts in wanted.items():
-            base = version_path(self._data, merge)
+            base = self._merge_path(merge)
             whole = len(parts) == sum(n.startswith(BUCKET) for n in child_names(self.spark, base))
             paths += [base] if whole else [f"{base}/{part}" for part in parts]
         columns = _columns(entries).add(BUCKET, T.IntegerType())
@@ -193,7 +197,7 @@ class StagingTable:
         """Write buckets; returns rows updated and inserted, and which buckets there are."""
         done = Observation()
         total, from_source = F.count(F.lit(1)), F.count_if(F.col(FROM_SOURCE))
-        target = version_path(self._data, number)
+        target = self._merge_path(number)
         (
             merged.observe(done, total.alias("total"), from_source.alias("from_source"))
             .drop(FROM_SOURCE)
@@ -208,7 +212,8 @@ class StagingTable:
 
     def _first_buckets(self, rows: DataFrame) -> int:
         """Buckets of about 256 MB by the size of the first load, unless set."""
-        return self._wanted_buckets or min(MAX_BUCKETS, 1 + planned_bytes(rows) // BUCKET_BYTES)
+        by_size = planned_bytes(rows) // BUCKET_BYTES
+        return self._wanted_buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, by_size))
 
     def _publish(
         self,
@@ -238,8 +243,8 @@ class StagingTable:
                 state = self.spark.read.schema(_CURRENT).parquet(version_path(self._state, number))
                 used |= {(r["merge"], r["bucket"]) for r in state.collect()}
         gone = 0
-        for merge in versions(self.spark, self._data):
-            base = version_path(self._data, merge)
+        for merge in [int(n.split("=")[1]) for n in child_names(self.spark, self._data)]:
+            base = self._merge_path(merge)
             parts = [n for n in child_names(self.spark, base) if n.startswith(BUCKET)]
             old = [n for n in parts if merge <= newest and (merge, int(n.split("=")[1])) not in used]
             for part in old if len(old) < len(parts) else [""]:
