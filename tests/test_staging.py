@@ -132,7 +132,7 @@ def test_a_crash_before_publishing_changes_nothing(spark, table, rows, way, monk
 
 def test_vacuum_deletes_what_no_recent_state_reads(spark, table, rows):
     for n in range(4):
-        table.merge(load(spark, [(k, n, "a") for k in range(20)], n))
+        table.merge(load(spark, [(k, n, "a") for k in range(50)], n))
     want = rows(table.read())
     assert table.vacuum(keep=2) == 10
     assert rows(table.read()) == want

@@ -66,7 +66,9 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    """Bucket of a row: the same hash by which ``repartition(buckets, *keys)`` spreads rows,
+    so that it brings each bucket into a task of its own."""
+    return F.pmod(F.hash(*keys), F.lit(buckets))
 
 
 class StagingTable:
@@ -143,7 +145,7 @@ class StagingTable:
         if entries:
             counts, touched = self._rewrite(number, increment, entries, order if keep_newer else [], null_keys)
         else:
-            first = increment.withColumn(FROM_SOURCE, F.lit(True)).repartition(buckets, BUCKET)
+            first = increment.withColumn(FROM_SOURCE, F.lit(True)).repartition(buckets, *self.keys)
             counts, touched = self._write(number, first, 0)
         high = seen.get["high"]
         if high is None:
@@ -163,10 +165,11 @@ class StagingTable:
         landing = version_path(f"{self.path}/increment", number)
         increment.write.mode("overwrite").parquet(landing)
         stored = self.spark.read.schema(increment.schema).parquet(landing)
+        buckets = entries[0]["buckets"]
         touched = {r[0] for r in stored.select(BUCKET).distinct().collect()}
         old = [e for e in entries if e["bucket"] in touched]
         if not old:
-            merged, before = stored.withColumn(FROM_SOURCE, F.lit(True)).repartition(BUCKET), 0
+            merged, before = stored.withColumn(FROM_SOURCE, F.lit(True)).repartition(buckets, *self.keys), 0
         else:
             target = self._rows(old)
             before = target.count()  # from the footers
@@ -176,22 +179,24 @@ class StagingTable:
                 kept, added = upsert_stored(target, stored, self.keys, newer_by, null_keys)
                 merged = kept.unionByName(added.repartition(BUCKET), allowMissingColumns=True)
             else:
-                merged = self._merge_by_bucket(target, stored, newer_by, len(touched))
+                merged = self._merge_by_bucket(target, stored, newer_by, buckets)
         done = self._write(number, merged, before)
         delete(self.spark, landing)
         return done
 
     def _merge_by_bucket(
-        self, target: DataFrame, increment: DataFrame, newer_by: Sequence[str], touched: int
+        self, target: DataFrame, increment: DataFrame, newer_by: Sequence[str], buckets: int
     ) -> DataFrame:
         """One shuffle of both sides by bucket and one sort, which serve the choice of the
         winner and the partitioned write alike. Keys are unique on each side."""
         both = target.withColumn(FROM_SOURCE, F.lit(False)).unionByName(
             increment.withColumn(FROM_SOURCE, F.lit(True)), allowMissingColumns=True
         )
-        keyed = both.filter(~has_null_key(self.keys)).repartition(touched, BUCKET)
-        winners = dedupe_latest(keyed, [BUCKET, *self.keys], [*newer_by, FROM_SOURCE])
-        return winners.unionByName(both.filter(has_null_key(self.keys)))
+        # A row with a NULL key has no match, so it gets a number that none shares.
+        alone = F.when(has_null_key(self.keys), F.monotonically_increasing_id())
+        placed = both.repartition(buckets, *self.keys).withColumn("_alone", alone)
+        order = [*newer_by, FROM_SOURCE]
+        return dedupe_latest(placed, [BUCKET, *self.keys, "_alone"], order).drop("_alone")
 
     def _write(self, number: int, merged: DataFrame, before: int) -> tuple[tuple[int, int], set[int]]:
         """Write buckets; returns rows updated and inserted, and which buckets there are."""
