@@ -30,21 +30,26 @@ def net_amount(price: str, discount: str) -> Column:
 
 
 def apply_rules(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Order lines with the size band of their order, a late flag and the net amount."""
+    """Order lines with the size band of their order, a late flag and the net amount.
+
+    Both sides are cut down to what is kept before they are shuffled.
+    """
     headers = orders.select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", size_band("o_totalprice").alias("size_band")
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_orderdate").cast("date").alias("ordered"),
+        size_band("o_totalprice").alias("size_band"),
     )
-    days = F.date_diff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
-    return lineitem.join(headers, "l_orderkey").select(
+    lines = lineitem.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
         "l_shipdate",
-        "size_band",
-        (days > LATE_AFTER_DAYS).alias("is_late"),
         net_amount("l_extendedprice", "l_discount").alias("net_amount"),
     )
+    days = F.date_diff(F.col("l_shipdate").cast("date"), F.col("ordered"))
+    is_late = (days > LATE_AFTER_DAYS).alias("is_late")
+    return lines.join(headers, "l_orderkey").select(*lines.columns, "size_band", is_late)
 
 
 def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -98,8 +103,17 @@ def fact_order_line(
     )
     known_parts = parts.select(F.col("p_partkey").alias("l_partkey"), F.col("p_partkey").alias("part_key"))
     known_suppliers = suppliers.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_suppkey").alias("supplier_key"))
+    lines = lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        F.coalesce(date_key("l_shipdate"), F.lit(UNKNOWN_KEY)).alias("ship_date_key"),
+        money("l_quantity").alias("quantity"),
+        net_amount("l_extendedprice", "l_discount").alias("net_amount"),
+    )
     joined = (
-        lineitem.join(headers, "l_orderkey", "left")
+        lines.join(headers, "l_orderkey", "left")
         .join(known_parts, "l_partkey", "left")
         .join(known_suppliers, "l_suppkey", "left")
     )
@@ -108,9 +122,9 @@ def fact_order_line(
         "l_orderkey",
         "l_linenumber",
         *[F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).alias(k) for k in keys],
-        F.coalesce(date_key("l_shipdate"), F.lit(UNKNOWN_KEY)).alias("ship_date_key"),
-        money("l_quantity").alias("quantity"),
-        net_amount("l_extendedprice", "l_discount").alias("net_amount"),
+        "ship_date_key",
+        "quantity",
+        "net_amount",
     )
 
 
