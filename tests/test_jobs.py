@@ -240,6 +240,39 @@ def test_schema_merge_goes_on_after_a_failure(spark, shop, rows):
     assert merge_schema(spark, merge, "none", "batch", shop.root, shop.staging).count() == 0
 
 
+def test_schema_merge_uses_the_load_plan(spark, shop, rows):
+    """Two versions of a key in one extract: the change column decides, not the other columns.
+    What was in RAW before the last full load is not merged."""
+    shop.put("t", [(1, "z", day(1)), (1, "a", day(2)), (9, "x", day(1))])
+    shop.configure(cdc(" t ", "changed_at", load_type="full_load"))
+    shop.ingest(T1)
+    shop.put("t", [(1, "z", day(1)), (1, "a", day(2)), (2, "b", day(1))])
+    shop.ingest(T2)
+    merge = control_rows(spark, [("shop", "t", "id", "batch")], MERGE)
+    loads = read_current(spark, f"{shop.control}/batch_config", LOAD_CONFIG)
+    plan = load_plan(loads, read_current(spark, f"{shop.control}/state", RUN_STATE))
+    merge_schema(spark, merge, "shop", "batch", f"{shop.root}/Files", shop.staging, plan)
+    staged = StagingTable(spark, f"{shop.staging}/SHOP/T", ["id"]).read()
+    assert rows(staged, "id", "v") == [(1, "a"), (2, "b")]
+
+
+def test_stream_runs_have_their_own_config_and_one_try(spark, shop, monkeypatch):
+    from tidemark.plans import ingest
+
+    shop.put("t", [(1, "a", day(1))])
+    publish(config(spark, cdc("t", load_type="full_load")), f"{shop.control}/stream_config")
+    tries = []
+
+    def failing(*_):
+        tries.append(1)
+        raise OSError("lost")
+
+    monkeypatch.setattr(ingest, "write_raw", failing)
+    with pytest.raises(OSError):
+        ingest_database(spark, "shop", shop.source, shop.root, shop.control, T1, kind="stream")
+    assert len(tries) == 1
+
+
 def test_incremental_equals_recompute_on_the_event_feed(spark, tmp_path, rows):
     from tests.conftest import SF
     from tidemark.operators.cdc import stamp

@@ -22,7 +22,8 @@ def load_plan(config: DataFrame, state: DataFrame, kind: str = "batch", unknown:
         raise ValueError(f"unknown must be 'report', 'drop' or 'raise', not {unknown!r}")
     load_type = F.coalesce(clean_text("load_type"), F.lit(FULL))
     marks = state.select(*KEY, "last_updated_on", "full_loaded_at")
-    planned = config.join(marks, KEY, "left").select(
+    named = config.withColumns({c: clean_text(c) for c in KEY})
+    planned = named.join(marks, KEY, "left").select(
         *KEY,
         load_type.alias("load_type"),
         change_columns("incremental_col1", "incremental_col2", "incremental_col3").alias("change_cols"),

@@ -7,10 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.cdc import raw_since
-from tidemark.operators.config import merge_config
+from tidemark.operators.config import KEY, merge_config
 from tidemark.sources.control import split_names
 from tidemark.sources.raw import raw_table, read_raw
 from tidemark.sources.staging import MergeCounts, StagingTable
@@ -57,12 +58,23 @@ def merge_schema(
     kind: str,
     raw_root: str,
     staging_root: str,
+    plan: DataFrame | None = None,
     workers: int = MERGE_WORKERS,
 ) -> DataFrame:
     """Merge every configured table of a schema; one that fails is reported, the others go on.
 
-    ``raw_root`` is the directory of one source, as RAW paths have it.
+    ``raw_root`` is the directory of one source, as RAW paths have it. The load plan, if given,
+    says which change columns order rows of one load, and where each RAW table starts.
     """
+    tables = merge_config(config, schema, kind)
+    if plan is None:
+        tables = tables.withColumns(
+            {"change_cols": F.array().cast("array<string>"), "full_loaded_at": F.lit(None).cast("timestamp_ntz")}
+        )
+    else:
+        source = [F.col(c).alias("source_" + c.removesuffix("_name")) for c in KEY]
+        planned = plan.select(*source, "change_cols", "full_loaded_at")
+        tables = tables.join(planned, ["source_database", "source_table"], "left")
 
     def run(table: Row) -> tuple:
         name = (table["database_name"], table["table_name"])
@@ -70,14 +82,14 @@ def merge_schema(
             keys = split_names(table["partition_col"])
             staging = StagingTable(spark, f"{staging_root}/{name[0]}/{name[1]}", keys)
             raw = f"{raw_root}/{table['source_database']}/{table['source_table']}"
-            done = merge_table(spark, raw, staging)
+            done = merge_table(spark, raw, staging, table["change_cols"] or (), table["full_loaded_at"])
             mark = done.high_mark or staging.high_mark()
             return (*name, "SUCCESS", done.updated, done.inserted, done.rejected, mark, None)
         except Exception as e:
             return (*name, "FAILED", None, None, None, None, str(e))
 
     with ThreadPoolExecutor(workers) as pool:
-        results = list(pool.map(run, merge_config(config, schema, kind).collect()))
+        results = list(pool.map(run, tables.collect()))
     return control_rows(spark, results, MERGE_RESULT)
 
 
