@@ -137,7 +137,7 @@ def test_vacuum_deletes_what_no_recent_state_reads(spark, table, rows):
     assert table.vacuum(keep=2) == 10
     assert rows(table.read()) == want
     table.merge(load(spark, [(1, 9, "z")], 9))
-    assert table.read().count() == 20
+    assert table.read().count() == 50
 
 
 def test_large_merge_shuffles_by_bucket_once(spark, table, setting, monkeypatch):
@@ -155,6 +155,19 @@ def test_large_merge_shuffles_by_bucket_once(spark, table, setting, monkeypatch)
     assert plans[1].count("Exchange") == 1 and "Join" not in plans[1]
 
 
+def test_large_buckets_are_shared_by_tasks(spark, table, rows, setting, monkeypatch):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(module, "BUCKET_BYTES", 100)
+    data = [(k, 1, "a" * 20) for k in range(200)]
+    load(spark, data, 0).write.parquet(f"{table.path}-input")
+    for n in range(2):
+        table.merge(stamp(spark.read.parquet(f"{table.path}-input"), hour(n)))
+        parts = table._merge_path(n + 1)
+        files = [f for p in child_names(spark, parts) if p.startswith(BUCKET) for f in child_names(spark, f"{parts}/{p}")]
+        assert len(files) > 10
+    assert rows(table.read(), "k", "seq", "v", "insert_timestamp") == sorted([(*r, hour(1)) for r in data], key=str)
+
+
 def test_composite_keys_and_hot_keys(spark, tmp_path, rows, way):
     table = StagingTable(spark, f"{tmp_path}/staging", ["a", "b"])
     hot = spark.range(3000).select(

@@ -33,9 +33,11 @@ from tidemark.sources.storage import (
 )
 
 BUCKET, MERGE = "_bucket", "_merge"
-BUCKET_BYTES = 256 * 1024 * 1024
-MIN_BUCKETS, MAX_BUCKETS = 8, 65536
+BUCKET_BYTES = 512 * 1024 * 1024
+MIN_BUCKETS, MAX_BUCKETS = 8, 16384
+MAX_TASKS = 65536
 MAX_ROWS_PER_FILE = 10_000_000
+_UNKNOWN_SIZE = 1 << 60
 
 _CURRENT = T.StructType(
     [
@@ -56,9 +58,10 @@ class MergeCounts:
     high_mark: datetime | None = None
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Size Catalyst plans with; for files it comes from their lengths."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def planned_bytes(df: DataFrame) -> int | None:
+    """Size Catalyst plans with; for files it comes from their lengths. None if not known."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN_SIZE else None
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -66,8 +69,8 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """Bucket of a row: the same hash by which ``repartition(buckets, *keys)`` spreads rows,
-    so that it brings each bucket into a task of its own."""
+    """Bucket of a row, by the hash with which ``repartition(n, *keys)`` spreads rows: if ``n``
+    is a multiple of the buckets, every task then has rows of one bucket only."""
     return F.pmod(F.hash(*keys), F.lit(buckets))
 
 
@@ -145,8 +148,8 @@ class StagingTable:
         if entries:
             counts, touched = self._rewrite(number, increment, entries, order if keep_newer else [], null_keys)
         else:
-            first = increment.withColumn(FROM_SOURCE, F.lit(True)).repartition(buckets, *self.keys)
-            counts, touched = self._write(number, first, 0)
+            first = increment.withColumn(FROM_SOURCE, F.lit(True))
+            counts, touched = self._write(number, self._by_bucket(first, buckets), 0)
         high = seen.get["high"]
         if high is None:
             return MergeCounts()
@@ -169,11 +172,12 @@ class StagingTable:
         touched = {r[0] for r in stored.select(BUCKET).distinct().collect()}
         old = [e for e in entries if e["bucket"] in touched]
         if not old:
-            merged, before = stored.withColumn(FROM_SOURCE, F.lit(True)).repartition(buckets, *self.keys), 0
+            merged, before = self._by_bucket(stored.withColumn(FROM_SOURCE, F.lit(True)), buckets), 0
         else:
             target = self._rows(old)
             before = target.count()  # from the footers
-            if planned_bytes(stored) <= broadcast_limit(self.spark):
+            size = planned_bytes(stored)
+            if size is not None and size <= broadcast_limit(self.spark):
                 # The table is not shuffled: a task reads a few of its buckets and writes them
                 # again. Only the new rows are brought together by bucket.
                 kept, added = upsert_stored(target, stored, self.keys, newer_by, null_keys)
@@ -194,10 +198,16 @@ class StagingTable:
         )
         # A row with a NULL key has no match, so it gets a number that none shares.
         alone = F.when(has_null_key(self.keys), F.monotonically_increasing_id())
-        placed = both.repartition(buckets, *self.keys).withColumn("_alone", alone)
+        placed = self._by_bucket(both, buckets).withColumn("_alone", alone)
         order = [*newer_by, FROM_SOURCE]
         return dedupe_latest(placed, [BUCKET, *self.keys, "_alone"], order).drop("_alone")
 
+    def _by_bucket(self, df: DataFrame, buckets: int) -> DataFrame:
+        """Rows shuffled so that a task has rows of one bucket; buckets that have grown, or are
+        few for a large load, are shared by several tasks."""
+        shares = (planned_bytes(df) or 0) // (buckets * BUCKET_BYTES)
+        return df.repartition(buckets * max(1, min(shares, MAX_TASKS // buckets)), *self.keys)
+
     def _write(self, number: int, merged: DataFrame, before: int) -> tuple[tuple[int, int], set[int]]:
         """Write buckets; returns rows updated and inserted, and which buckets there are."""
         done = Observation()
@@ -216,8 +226,8 @@ class StagingTable:
         return (done.get["from_source"] - inserted, inserted), written
 
     def _first_buckets(self, rows: DataFrame) -> int:
-        """Buckets of about 256 MB by the size of the first load, unless set."""
-        by_size = planned_bytes(rows) // BUCKET_BYTES
+        """Buckets of about half a gigabyte by the size of the first load, unless set."""
+        by_size = (planned_bytes(rows) or 0) // BUCKET_BYTES
         return self._wanted_buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, by_size))
 
     def _publish(
