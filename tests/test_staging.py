@@ -155,6 +155,35 @@ def test_large_merge_shuffles_by_bucket_once(spark, table, setting, monkeypatch)
     assert plans[1].count("Exchange") == 1 and "Join" not in plans[1]
 
 
+def test_buckets_of_a_first_load(spark, tmp_path, setting, monkeypatch):
+    monkeypatch.setattr(module, "MIN_BUCKETS", 1)
+    load(spark, [(k, 1, "a" * 20) for k in range(200)], 0).write.parquet(f"{tmp_path}/input")
+    rows = spark.read.parquet(f"{tmp_path}/input")
+    table = StagingTable(spark, f"{tmp_path}/staging", ["k"])
+    monkeypatch.setattr(module, "BUCKET_BYTES", module.planned_bytes(rows) // 10)
+    for tasks, buckets in ((8, 8), (20, 10), (40, 10), (199, 10), (6, 6), (4, 10)):
+        setting("spark.sql.shuffle.partitions", str(tasks))
+        assert table._first_buckets(rows) == buckets
+
+
+def test_first_load_is_shuffled_once_where_tasks_allow(spark, tmp_path, setting, monkeypatch):
+    plans = []
+    write = StagingTable._write
+
+    def spy(self, number, merged, before):
+        plans.append(merged._jdf.queryExecution().executedPlan().toString())
+        return write(self, number, merged, before)
+
+    monkeypatch.setattr(StagingTable, "_write", spy)
+    setting("spark.sql.shuffle.partitions", "6")
+    for buckets in (3, 5):
+        table = StagingTable(spark, f"{tmp_path}/staging-{buckets}", ["k"], buckets)
+        table.merge(load(spark, [(k, 1, "a") for k in range(50)], 0))
+        assert table.read().count() == 50
+        assert sum(n.startswith(BUCKET) for n in child_names(spark, table._merge_path(1))) == buckets
+    assert [p.count("Exchange") for p in plans] == [1, 2]
+
+
 def test_large_buckets_are_shared_by_tasks(spark, table, rows, setting, monkeypatch):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     monkeypatch.setattr(module, "BUCKET_BYTES", 100)

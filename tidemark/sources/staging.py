@@ -149,7 +149,11 @@ class StagingTable:
             counts, touched = self._rewrite(number, increment, entries, order if keep_newer else [], null_keys)
         else:
             first = increment.withColumn(FROM_SOURCE, F.lit(True))
-            counts, touched = self._write(number, self._by_bucket(first, buckets), 0)
+            # Where the tasks of a shuffle are a multiple of the buckets, the newest rows lie by
+            # bucket already.
+            if self._shuffle_tasks() % buckets:
+                first = self._by_bucket(first, buckets)
+            counts, touched = self._write(number, first, 0)
         high = seen.get["high"]
         if high is None:
             return MergeCounts()
@@ -225,10 +229,18 @@ class StagingTable:
         written = {int(n.split("=")[1]) for n in child_names(self.spark, target) if n.startswith(BUCKET)}
         return (done.get["from_source"] - inserted, inserted), written
 
+    def _shuffle_tasks(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def _first_buckets(self, rows: DataFrame) -> int:
-        """Buckets of about half a gigabyte by the size of the first load, unless set."""
+        """Buckets of about half a gigabyte by the size of the first load, unless set, and if
+        possible a number that divides the tasks of a shuffle."""
+        if self._wanted_buckets:
+            return self._wanted_buckets
         by_size = (planned_bytes(rows) or 0) // BUCKET_BYTES
-        return self._wanted_buckets or min(MAX_BUCKETS, max(MIN_BUCKETS, by_size))
+        wanted = min(MAX_BUCKETS, max(MIN_BUCKETS, by_size))
+        even = max(n for n in range(1, wanted + 1) if self._shuffle_tasks() % n == 0)
+        return even if even * 2 >= wanted else wanted
 
     def _publish(
         self,
