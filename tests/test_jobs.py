@@ -4,19 +4,24 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tests.conftest import SF
 from tidemark.functions.timestamps import ntz
+from tidemark.operators.cdc import stamp
 from tidemark.operators.dedupe import dedupe_latest
+from tidemark.plans import ingest
 from tidemark.plans.ingest import ingest_database, ingest_table
 from tidemark.plans.load_plan import load_plan
 from tidemark.plans.merge import merge_schema, merge_table
-from tidemark.schemas import LOAD_CONFIG, RUN_STATE
+from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG, RUN_STATE
 from tidemark.sources.control import read_audit
 from tidemark.sources.databases import FileSource
-from tidemark.sources.raw import read_raw
+from tidemark.sources.raw import read_raw, write_raw
 from tidemark.sources.staging import StagingTable
 from tidemark.sources.storage import control_rows, publish, read_current
 
+MERGE = T.StructType([*MERGE_CONFIG.fields, T.StructField("kind", T.StringType())])
 T1, T2, T3 = datetime(2025, 11, 5, 6, 20), datetime(2025, 11, 5, 19, 40), datetime(2025, 11, 6, 2, 0)
 
 
@@ -131,18 +136,6 @@ def test_full_then_change_loads_reach_the_latest_source(spark, shop, rows):
     assert rows(staged, "id", "v", "changed_at") == sorted(first, key=str)
 
 
-MERGE = "database_name string, table_name string, partition_col string, kind string"
-
-
-@pytest.fixture(autouse=True)
-def _merge_schema_type():
-    from pyspark.sql.types import _parse_datatype_string
-
-    global MERGE
-    if isinstance(MERGE, str):
-        MERGE = _parse_datatype_string(MERGE)
-
-
 def test_full_load_seeds_the_watermark_and_marks_the_raw_table(spark, shop):
     shop.put("t", [(1, "a", day(4)), (2, "b", None)])
     shop.configure(cdc("t", "changed_at", load_type="full_load"))
@@ -197,9 +190,6 @@ def test_every_row_of_an_extract_has_the_load_time(spark, shop):
 
 def test_rows_landing_during_a_merge_are_left_for_the_next(spark, tmp_path, rows):
     raw = f"{tmp_path}/raw"
-    from tidemark.operators.cdc import stamp
-    from tidemark.sources.raw import write_raw
-
     def land(key, at):
         write_raw(stamp(spark.createDataFrame([(key, "a")], "id int, v string"), at), raw, at, "append")
 
@@ -213,9 +203,6 @@ def test_rows_landing_during_a_merge_are_left_for_the_next(spark, tmp_path, rows
 
 
 def test_merge_sees_the_raw_table_of_the_last_full_load(spark, tmp_path, rows):
-    from tidemark.operators.cdc import stamp
-    from tidemark.sources.raw import write_raw
-
     raw = f"{tmp_path}/raw"
     for key, at, mode in ((1, T1, "append"), (2, T2, "overwrite")):
         df = spark.createDataFrame([(key, "a")], "id int, v string")
@@ -257,8 +244,6 @@ def test_schema_merge_uses_the_load_plan(spark, shop, rows):
 
 
 def test_stream_runs_have_their_own_config_and_one_try(spark, shop, monkeypatch):
-    from tidemark.plans import ingest
-
     shop.put("t", [(1, "a", day(1))])
     publish(config(spark, cdc("t", load_type="full_load")), f"{shop.control}/stream_config")
     tries = []
@@ -274,10 +259,6 @@ def test_stream_runs_have_their_own_config_and_one_try(spark, shop, monkeypatch)
 
 
 def test_incremental_equals_recompute_on_the_event_feed(spark, tmp_path, rows):
-    from tests.conftest import SF
-    from tidemark.operators.cdc import stamp
-    from tidemark.sources.raw import write_raw
-
     events = spark.read.parquet(f"{SF}/events.parquet")
     staging = StagingTable(spark, f"{tmp_path}/staging", ["user_id"])
     cuts = ["2024-01-01 00:00:00", "2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-02-01 00:00:00"]
