@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +52,9 @@ def by_chunk(df: DataFrame, total: int, chunk_bytes: int = 4 << 20) -> DataFrame
 def sorted_rows(table: pa.Table) -> pa.Table:
     """A chunk in order: by doc_id, null first, then by text, null as empty."""
     table = table.set_column(
-        table.column_names.index("text"), "text", pa.compute.fill_null(table["text"], "")
+        table.column_names.index("text"), "text", pc.fill_null(table["text"], "")
     )
-    order = pa.compute.sort_indices(
+    order = pc.sort_indices(
         table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start"
     )
     return table.take(order)
@@ -66,7 +67,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         if isinstance(column, pa.ChunkedArray):
             column = column.chunk(0) if column.num_chunks else pa.array([], pa.string())
     if column.null_count:
-        column = pa.compute.fill_null(column, "")
+        column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     if not len(column):

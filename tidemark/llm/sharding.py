@@ -106,7 +106,7 @@ def place(sizes: list[int], shards: int) -> list[int]:
 
 
 def shard(
-    docs: DataFrame, shards: int = 40, packets: int = 4096, cell_rows: int = 50_000,
+    docs: DataFrame, shards: int = 40, packets: int = 4096, cell_rows: int = 1000,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row; slots count from 0 in each shard."""
