@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm.decontamination import op4_decontamination
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.quality_classifier import op3_quality_classifier
@@ -9,6 +10,7 @@ from tidemark.llm.quality_rules import op9_quality_rules
 from tidemark.llm.sharding import op10_shard
 from tidemark.llm.simhash import op2_simhash
 from tidemark.llm.substring_dedup import op1_substring_dedup
+from tidemark.llm.suffix_dedup import op5_suffix_dedup
 from tidemark.llm.token_files import op8_token_files
 from tidemark.llm.warc import op7_warc
 
@@ -17,11 +19,13 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_decontamination": op4_decontamination,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_shard": op10_shard,
+    "pipeline": corpus_pipeline.run,
 }
 #: Checks in SQL, for those that DuckDB can express.
 ORACLES: dict[str, str] = {}
