@@ -100,9 +100,12 @@ def contaminated(
     # One row for each alignment; the places in an item are no more than its words.
     lined = hits.groupBy("doc_id", "t", "item_id", "item_size", "n", "shift").agg(F.sort_array(F.collect_set("item_at")).alias("places"))
     lined = saved(lined.filter((F.size("places") + F.col("n") - 1) >= F.least(F.lit(least_words), F.col("item_size"))), "lined-up")
-    wanted = F.broadcast(named) if named.count() <= 1000 else named
-    raw = rows.select("doc_id", F.xxhash64("text").alias("t"), "text").join(lined.select("doc_id", "t").distinct(), ["doc_id", "t"], "left_semi").distinct()
-    both = lined.join(raw, ["doc_id", "t"]).join(wanted, "item_id")
+    raw = rows.select(F.col("doc_id").alias("raw_id"), F.xxhash64("text").alias("raw_t"), "text")
+    same = F.col("raw_id").eqNullSafe(F.col("doc_id")) & (F.col("raw_t") == F.col("t"))
+    raw = raw.join(lined.select("doc_id", "t").distinct(), same, "left_semi").distinct()
+    both = lined.join(raw, same)
+    asked = named.select(F.col("item_id").alias("named_id"), "item_text")
+    both = both.join(asked, F.col("item_id").eqNullSafe(F.col("named_id")))
     both = both.withColumns({
         "dw": words_of(F.col("text")), "iw": words_of(F.col("item_text")), "it": template(F.col("item_text")),
     })

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
 import corpus_pipeline
 from tidemark.llm.decontamination import op4_decontamination
 from tidemark.llm.packing import op6_packing
@@ -14,6 +20,20 @@ from tidemark.llm.suffix_dedup import op5_suffix_dedup
 from tidemark.llm.token_files import op8_token_files
 from tidemark.llm.warc import op7_warc
 
+ROOT = str(Path(corpus_pipeline.__file__).resolve().parent)
+
+
+def importable(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with Python workers told where the driver has this package; they need it from wherever they start."""
+
+    @wraps(run)
+    def started(spark: SparkSession, sf: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return run(spark, sf)
+
+    return started
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -27,5 +47,6 @@ QUERIES = {
     "op10_shard": op10_shard,
     "pipeline": corpus_pipeline.run,
 }
+QUERIES = {name: importable(run) for name, run in QUERIES.items()}
 #: Checks in SQL, for those that DuckDB can express.
 ORACLES: dict[str, str] = {}

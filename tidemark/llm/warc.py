@@ -158,7 +158,7 @@ def build(records: list[tuple[str, bytes]]) -> bytes:
         lines.append(json.dumps({"page": page, "offset": at, "length": len(raw)}))
         at += len(raw)
     with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
-        with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=at > 1 << 30) as f:
+        with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=2 * at > zipfile.ZIP64_LIMIT) as f:
             for _, raw in records:
                 f.write(raw)
         z.writestr(zipfile.ZipInfo(INDEX), "\n".join(lines))
