@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, texts
-from tidemark.llm.tokens import default_tokenizer, encoder, strings
+from tidemark.llm.common import pieces, saved, texts, utf8
+from tidemark.llm.tokens import default_tokenizer, encoder, with_end
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 SHAPE = PIECES.replace("salt long", "sequence_id long, offset long")
@@ -87,13 +87,16 @@ def pack(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            rows = []
-            for doc_id, text, salt in zip(batch["doc_id"].to_pylist(), strings(batch["text"]), batch["salt"].to_pylist()):
-                ids = np.append(encode.encode(text), np.uint32(end_id)).astype("<u4")
-                full = len(ids) // capacity * capacity
-                edges = [*range(0, full, capacity), *range(full, len(ids), piece), len(ids)]
-                rows += [(doc_id, a, b - a, zlib.crc32(memoryview(ids[a:b])), len(ids), salt) for a, b in zip(edges, edges[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], NAMES)
+            doc_ids, salts, offsets = batch["doc_id"].to_pylist(), batch["salt"].to_pylist(), utf8(batch["text"])[0]
+            for lo, hi in pieces(offsets):
+                got, ends = with_end(*encode.encode_all(batch["text"].slice(lo, hi - lo)), end_id)
+                rows = []
+                for doc_id, salt, ids in zip(doc_ids[lo:hi], salts[lo:hi], np.split(got.astype("<u4"), ends[:-1])):
+                    full = len(ids) // capacity * capacity
+                    edges = [*range(0, full, capacity), *range(full, len(ids), piece), len(ids)]
+                    own = memoryview(ids)
+                    rows += [(doc_id, a, b - a, zlib.crc32(own[a:b]), len(ids), salt) for a, b in zip(edges, edges[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(6)], NAMES)
 
     spark = docs.sparkSession
     salted = texts(docs, id_col, text_col).withColumn("salt", F.xxhash64("doc_id", "text", F.monotonically_increasing_id()))

@@ -31,8 +31,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, tasks, text_bytes, texts
-from tidemark.llm.tokens import default_tokenizer, encoder, strings
+from tidemark.llm.common import pieces, saved, tasks, text_bytes, texts, utf8
+from tidemark.llm.tokens import default_tokenizer, encoder, with_end
 from tidemark.session import work_dir
 
 MAGIC, HEAD = b"TWM1", struct.Struct("<4sIIQQQQ")
@@ -63,7 +63,7 @@ class WaveletMatrix:
             counts = np.bitwise_count(padded.view(np.uint64)).reshape(-1, 8).sum(1)
             samples.append(np.concatenate(([0], np.cumsum(counts))).astype(np.uint32))
             zeros.append(int(len(one) - samples[-1][-1]))
-            level = np.concatenate((level[~one], level[one]))
+            level = np.concatenate((level.take(np.flatnonzero(~one)), level.take(np.flatnonzero(one))))
         return cls(len(ids), planes, samples, zeros)
 
     def rank(self, plane: int, at: np.ndarray) -> np.ndarray:
@@ -131,8 +131,8 @@ class WaveletMatrix:
         for k in range(bits - 1, -1, -1):
             one = np.unpackbits(self.planes[k], count=self.length, bitorder="little").view(bool)
             above = np.empty_like(level)
-            above[~one] = level[: self.zeros[k]]
-            above[one] = level[self.zeros[k] :] | level.dtype.type(1 << (bits - 1 - k))
+            above[np.flatnonzero(~one)] = level[: self.zeros[k]]
+            above[np.flatnonzero(one)] = level[self.zeros[k] :] | level.dtype.type(1 << (bits - 1 - k))
             level = above
         return level.astype(np.uint32)
 
@@ -180,7 +180,7 @@ def read_file(path: str) -> TokenFile:
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, end_id: int, folder: str, shard_tokens: int = 2 << 20,
+    docs: DataFrame, tokenizer: str, end_id: int, folder: str, shard_tokens: int = 1 << 20,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Writes the files and returns (part, nth, path, docs, tokens), in order by part and nth."""
@@ -214,13 +214,15 @@ def write_token_files(
         for batch in batches:
             if part is None and len(batch):
                 part = batch["part"][0].as_py()
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), strings(batch["text"])):
-                own = np.append(encode.encode(text), np.uint32(end_id))
-                if ids and total + len(own) > shard_tokens:
-                    flush()
-                held.append(own)
-                ids.append(doc_id)
-                total += len(own)
+            doc_ids, offsets = batch["doc_id"].to_pylist(), utf8(batch["text"])[0]
+            for lo, hi in pieces(offsets):
+                got, ends = with_end(*encode.encode_all(batch["text"].slice(lo, hi - lo)), end_id)
+                for doc_id, own in zip(doc_ids[lo:hi], np.split(got, ends[:-1])):
+                    if ids and total + len(own) > shard_tokens:
+                        flush()
+                    held.append(own)
+                    ids.append(doc_id)
+                    total += len(own)
         flush()
         yield pa.RecordBatch.from_arrays(
             [pa.array([m[k] for m in made], t) for k, t in enumerate(FILE_TYPES)], FILE_NAMES
