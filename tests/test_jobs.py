@@ -58,7 +58,12 @@ def test_blank_means_full(spark, load_type):
     assert (plan["action"], plan["cutoff"], plan["split_col"], plan["splits"]) == ("FULL", None, None, 1)
 
 
-@pytest.mark.parametrize("mark", [None, "", "soon"])
+def test_an_unreadable_watermark_is_an_error(spark):
+    plan = planned(spark, cdc("t", "a"), mark="soon")
+    assert (plan["action"], plan["reason"]) == ("ERROR", "unreadable_watermark")
+
+
+@pytest.mark.parametrize("mark", [None, "", " "])
 def test_change_load_without_watermark_is_skipped(spark, mark):
     plan = planned(spark, cdc("t", "a"), mark=mark)
     assert (plan["action"], plan["reason"]) == ("SKIPPED", "no_watermark")
@@ -217,16 +222,29 @@ def test_schema_merge_goes_on_after_a_failure(spark, shop, rows):
     shop.configure(cdc("t", load_type="full_load"))
     shop.ingest(T1)
     merge = control_rows(
-        spark, [("shop", "t", "id", "batch"), ("shop", "t", "no_such_key", "batch"), ("shop", "t", "v", "stream")], MERGE
+        spark,
+        [("shop", "t", "id", "batch"), ("shop", " t", "id", "batch"), ("shop", "t", "v", "stream"), ("shop", "u", None, "batch")],
+        MERGE,
     )
     done = merge_schema(spark, merge, "shop", "BATCH", f"{shop.root}/Files", shop.staging, workers=1)
     assert rows(done, "schema_name", "table_name", "status", "inserted", "rejected") == [
-        ("SHOP", "T", "FAILED", None, None),
         ("SHOP", "T", "SUCCESS", 1, 1),
+        ("SHOP", "U", "FAILED", None, None),
     ]
     assert merge_schema(spark, merge, "none", "batch", shop.root, shop.staging).count() == 0
 
 
+def test_a_table_configured_in_two_ways_is_not_merged(spark, shop, rows):
+    shop.put("t", [(1, "a", day(1))])
+    shop.configure(cdc("t", load_type="full_load"))
+    shop.ingest(T1)
+    for other in (("shop", "t", "v", "batch"), ("shop", "T", "id", "batch")):
+        merge = control_rows(spark, [("shop", "t", "id", "batch"), other], MERGE)
+        done = merge_schema(spark, merge, "shop", "batch", f"{shop.root}/Files", shop.staging)
+        assert rows(done, "table_name", "status") == [("T", "FAILED")]
+        assert StagingTable(spark, f"{shop.staging}/SHOP/T", ["id"]).read() is None
+
+
 def test_schema_merge_uses_the_load_plan(spark, shop, rows):
     """Two versions of a key in one extract: the change column decides, not the other columns.
     What was in RAW before the last full load is not merged."""

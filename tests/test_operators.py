@@ -27,7 +27,7 @@ from tidemark.operators.config import (
 )
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.gold import dim_date
-from tidemark.operators.upsert import FROM_SOURCE, merge_stats, upsert, upsert_stored
+from tidemark.operators.upsert import FROM_SOURCE, merge_inserts, merge_stats, rejected_rows, upsert, upsert_stored
 from tidemark.schemas import LOAD_CONFIG, MERGE_STATE, RUN_STATE
 from tidemark.sources.databases import FileSource
 
@@ -198,8 +198,16 @@ def test_unknown_null_mode(spark):
 def test_stats_do_not_match_null_keys(spark, rows):
     t = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     s = spark.createDataFrame([(2,), (3,), (None,)], "k int")
-    assert rows(merge_stats(t, s, ["k"])) == [(1, 2, 2)]
-    assert rows(merge_stats(t.limit(0), s.limit(0), ["k"])) == [(0, 0, 0)]
+    assert rows(merge_stats(t, s, ["k"])) == [(1, 1, 2, 1)]
+    assert rows(merge_stats(t, s, ["k"], null_keys="insert")) == [(1, 2, 2, 0)]
+    assert rows(merge_stats(t.limit(0), s.limit(0), ["k"])) == [(0, 0, 0, 0)]
+    assert rows(merge_inserts(t, s, ["k"])) == [(3,)] and merge_inserts(t, s, ["k"], "insert").count() == 2
+    assert rejected_rows(s, ["k"]).count() == 1 and upsert(t, s, ["k"]).count() == 4
+
+
+def test_maps_within_structs_do_not_order_rows(spark):
+    df = spark.sql("select 1 k, 1 seq, named_struct('m', map('a', 1), 'n', 1) s union all select 1, 2, named_struct('m', map('b', 2), 'n', 0)")
+    assert dedupe_latest(df, ["k"], ["seq"]).select("s.n").first()[0] == 0
 
 
 # --- config and state ----------------------------------------------------------------------
@@ -247,12 +255,12 @@ def test_seed_takes_the_last_line_of_a_key_whole(spark, rows):
 
 def test_repeats_and_gaps_are_reported(spark, rows):
     config = spark.createDataFrame(
-        [config_row("a"), config_row("a"), config_row("b", ""), config_row("c", None, key="")], LOAD_CONFIG
+        [config_row("a"), config_row("a"), config_row("b", ""), config_row("c", None, key=""), config_row("e", key=" "), config_row(" a")], LOAD_CONFIG
     )
-    assert rows(repeated_config(config)) == [("d", "a", 2)]
+    assert rows(repeated_config(config)) == [("d", "a", 3)]
     assert rows(invalid_config(config), "table_name", "missing") == [
-        ("b", "load_type"),
-        ("c", "load_type, partition_col"),
+        ("c", "partition_col"),
+        ("e", "partition_col"),
     ]
 
 
@@ -278,5 +286,5 @@ def test_gate_needs_a_true_status(spark, rows):
     assert rows(ready(df, status)) == [("a", 1)]
 
 
-def test_calendar_of_no_dates_is_empty(spark):
-    assert dim_date(changes(spark).filter("id > 9"), "a").count() == 0
+def test_calendar_of_no_dates_has_the_unknown_day_only(spark):
+    assert [r["date_key"] for r in dim_date(changes(spark).filter("id > 9"), "a").collect()] == [-1]

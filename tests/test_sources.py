@@ -1,6 +1,7 @@
 """Source databases, RAW files, control tables."""
 
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from tidemark.plans.admin import backup, seed, sync_all
 from tidemark.schemas import LOAD_CONFIG, SNAPSHOT_MANIFEST
 from tidemark.sources.control import load_config
 from tidemark.sources.databases import FileSource, JdbcSource, source_for, split_options
-from tidemark.sources.raw import raw_path, raw_table, read_raw, write_mode, write_raw, write_with_retry
+from tidemark.sources.raw import noted_schema, raw_path, raw_table, read_raw, write_mode, write_raw, write_with_retry
 from tidemark.sources.storage import (
     KEPT_VERSIONS,
+    VersionTaken,
     child_names,
     control_rows,
     current_version,
@@ -61,7 +63,11 @@ def test_parallel_read_asks_for_the_bounds_of_the_same_rows():
 
 
 def test_bounds_of_nothing_and_of_dates():
-    assert split_options("id", None, None, 10)["upperBound"] == "0"
+    assert split_options("id", None, None, 10) == {} == split_options("d", None, None, 2)
+    assert split_options("id", Decimal("-1.50"), Decimal("9.01"), 3) == {
+        "partitionColumn": "id", "lowerBound": "-2", "upperBound": "10", "numPartitions": "3"
+    }
+    assert split_options("x", 0.25, 7.0, 2)["lowerBound"] == "0" and split_options("x", 0.25, 7.0, 2)["upperBound"] == "7"
     assert split_options("d", datetime(2024, 1, 2), datetime(2024, 1, 3), 2)["lowerBound"] == "2024-01-02 00:00:00"
 
 
@@ -203,6 +209,32 @@ def test_a_version_without_success_marker_does_not_count(spark, tmp_path):
     assert read_current(spark, path, spark.range(1).schema).count() == 5
 
 
+def test_of_two_publishers_one_gets_the_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish(spark.range(1), path)
+    publish(spark.range(2), path, 2)
+    with pytest.raises(VersionTaken):
+        publish(spark.range(3), path, 2)
+    assert read_current(spark, path, spark.range(1).schema).count() == 2
+    assert len(child_names(spark, path)) == 2
+
+
+def test_raw_columns_are_noted_and_hours_pruned(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+    loads = [(datetime(2025, 1, 1, 3), "id int, a int"), (datetime(2025, 1, 1, 9), "id int, b string"), (datetime(2025, 1, 2, 1), "id int")]
+    for n, (at, columns) in enumerate(loads):
+        values = [(n, None)] if "," in columns else [(n,)]
+        write_raw(stamp(spark.createDataFrame(values, columns), at), path, at, "append")
+    assert [f.name for f in noted_schema(spark, path).fields if f.name != "insert_timestamp"] in (["id", "a", "b"], ["id", "b", "a"])
+    assert rows(read_raw(spark, path), "id", "a", "b") == [(0, None, None), (1, None, None), (2, None, None)]
+    late = read_raw(spark, path, since=loads[1][0])
+    assert rows(late, "id") == [(1,), (2,)] and all("load_hour=08" not in f for f in late.inputFiles())
+    assert set(late.columns) >= {"a", "b"}
+    write_raw(stamp(spark.createDataFrame([(3, 1.5)], "id int, a double"), loads[2][0]), f"{path}2", loads[2][0], "append")
+    write_raw(stamp(spark.createDataFrame([(3, 1)], "id int, a int"), loads[1][0]), f"{path}2", loads[1][0], "append")
+    assert noted_schema(spark, f"{path}2") is None
+
+
 def test_long_replaced_versions_go(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(KEPT_VERSIONS + 2):
@@ -217,7 +249,7 @@ def test_seed_and_sync(spark, tmp_path, rows):
     seed(spark, str(csv), control, "line", kind="batch")
     config = load_config(spark, f"{control}/stream_config", "shop")
     assert rows(config, "table_name", "load_type", "partition_col", "is_partitioned") == [
-        (" a ", "full_load", "id", None),
+        ("a", "full_load", "id", None),
         ("b", "full_load", "key", None),
     ]
     assert load_config(spark, f"{control}/stream_config", "other").count() == 0

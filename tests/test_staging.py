@@ -10,7 +10,7 @@ from tidemark.operators.cdc import stamp
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.sources import staging as module
 from tidemark.sources.staging import BUCKET, StagingTable
-from tidemark.sources.storage import child_names, publish
+from tidemark.sources.storage import VersionTaken, child_names, publish
 
 START = datetime(2025, 11, 5)
 SCHEMA = "k int, seq int, v string"
@@ -106,10 +106,15 @@ def test_values_take_the_type_of_the_table(spark, table, rows, way):
     assert dict(table.read().dtypes)["k"] == "int" and rows(table.read(), "k", "seq", "v") == [(1, 2, "30")]
 
 
+def merges(table):
+    """Directories of the table's merges, in order."""
+    return [f"{table._data}/{n}" for n in child_names(table.spark, table._data)]
+
+
 def test_only_touched_buckets_are_written(spark, table, way):
     table.merge(load(spark, [(k, 1, "a") for k in range(50)], 0))
     table.merge(load(spark, [(7, 2, "b")], 1))
-    parts = child_names(spark, table._merge_path(2))
+    parts = child_names(spark, merges(table)[1])
     assert sum(p.startswith(BUCKET) for p in parts) == 1
     assert table.read().count() == 50
 
@@ -160,7 +165,7 @@ def test_buckets_of_a_first_load(spark, tmp_path, setting, monkeypatch):
     load(spark, [(k, 1, "a" * 20) for k in range(200)], 0).write.parquet(f"{tmp_path}/input")
     rows = spark.read.parquet(f"{tmp_path}/input")
     table = StagingTable(spark, f"{tmp_path}/staging", ["k"])
-    monkeypatch.setattr(module, "BUCKET_BYTES", module.planned_bytes(rows) // 10)
+    table._bucket_bytes = module.planned_bytes(rows) // 10
     for tasks, buckets in ((8, 8), (20, 10), (40, 10), (199, 10), (6, 6), (4, 10)):
         setting("spark.sql.shuffle.partitions", str(tasks))
         assert table._first_buckets(rows) == buckets
@@ -180,18 +185,18 @@ def test_first_load_is_shuffled_once_where_tasks_allow(spark, tmp_path, setting,
         table = StagingTable(spark, f"{tmp_path}/staging-{buckets}", ["k"], buckets)
         table.merge(load(spark, [(k, 1, "a") for k in range(50)], 0))
         assert table.read().count() == 50
-        assert sum(n.startswith(BUCKET) for n in child_names(spark, table._merge_path(1))) == buckets
+        assert sum(n.startswith(BUCKET) for n in child_names(spark, merges(table)[0])) == buckets
     assert [p.count("Exchange") for p in plans] == [1, 2]
 
 
-def test_large_buckets_are_shared_by_tasks(spark, table, rows, setting, monkeypatch):
+def test_large_buckets_are_shared_by_tasks(spark, table, rows, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(module, "BUCKET_BYTES", 100)
+    table = StagingTable(spark, table.path, ["k"], buckets=5, bucket_bytes=100, max_buckets=5)
     data = [(k, 1, "a" * 20) for k in range(200)]
     load(spark, data, 0).write.parquet(f"{table.path}-input")
     for n in range(2):
         table.merge(stamp(spark.read.parquet(f"{table.path}-input"), hour(n)))
-        parts = table._merge_path(n + 1)
+        parts = merges(table)[n]
         files = [f for p in child_names(spark, parts) if p.startswith(BUCKET) for f in child_names(spark, f"{parts}/{p}")]
         assert len(files) > 10
     assert rows(table.read(), "k", "seq", "v", "insert_timestamp") == sorted([(*r, hour(1)) for r in data], key=str)
@@ -207,3 +212,58 @@ def test_composite_keys_and_hot_keys(spark, tmp_path, rows, way):
     distinct = hot.select("a", "b").distinct().count()
     assert (done.updated, done.inserted) == (distinct, 0)
     assert rows(table.read().filter("a = 1"), "seq") == [(2998,)]
+
+
+def test_both_ways_agree_on_all_columns_when_a_load_lacks_some(spark, tmp_path, rows):
+    got = []
+    for limit in (-1, 1 << 30):
+        table = StagingTable(spark, f"{tmp_path}/staging{limit}", ["k"], buckets=3, broadcast_bytes=limit)
+        table.merge(load(spark, [(1, 1, "a", "old"), (2, 1, "b", "old")], 0, "k int, seq int, v string, extra string"))
+        table.merge(load(spark, [(2, 2, True), (3, 2, True)], 1, "k int, seq int, flag boolean"))
+        got.append(rows(table.read(), "k", "seq", "v", "extra", "flag"))
+    assert got[0] == got[1] == [(1, 1, "a", "old", None), (2, 2, None, None, True), (3, 2, None, None, True)]
+
+
+def test_rejected_rows_are_written_aside(spark, table, rows, way):
+    table.merge(load(spark, [(1, 1, "a"), (None, 1, "lost"), (None, 2, "lost too")], 0))
+    done = table.merge(load(spark, [(2, 1, "b"), (None, 3, "late")], 1))
+    assert done.rejected == 1 and rows(table.read(), "k") == [(1,), (2,)]
+    assert {r["v"] for r in table.rejects().collect()} == {"late", "lost", "lost too"}
+
+
+def test_a_load_of_rejects_only_keeps_a_table_that_would_split(spark, table, way):
+    table.merge(load(spark, [(k, 1, "a" * 50) for k in range(100)], 0))
+    grown = StagingTable(spark, table.path, ["k"], bucket_bytes=50)
+    assert grown.merge(load(spark, [(None, 1, "b")], 1)).rejected == 1
+    assert grown.read().count() == 100
+
+
+def test_of_two_writers_one_publishes(spark, table, rows, way, monkeypatch):
+    table.merge(load(spark, [(1, 1, "a")], 0))
+    write = StagingTable._write
+
+    def slow(self, *args):
+        monkeypatch.setattr(StagingTable, "_write", write)
+        StagingTable(spark, self.path, ["k"]).merge(load(spark, [(1, 5, "first")], 2))
+        return write(self, *args)
+
+    monkeypatch.setattr(StagingTable, "_write", slow)
+    with pytest.raises(VersionTaken):
+        table.merge(load(spark, [(1, 3, "second"), (2, 3, "second")], 1))
+    assert rows(table.read(), "k", "v") == [(1, "first")]
+    table.merge(load(spark, [(1, 3, "second"), (2, 3, "second")], 3))
+    assert rows(table.read(), "k", "v") == [(1, "second"), (2, "second")]
+
+
+def test_buckets_double_as_the_table_grows(spark, tmp_path, rows, way):
+    table = StagingTable(spark, f"{tmp_path}/staging", ["k"], buckets=2, bucket_bytes=2000)
+    seen, want = [], {}
+    for n in range(5):
+        data = [(k, n, f"{k * 7919 % 10007}-{n}") for k in range(n * 150, n * 150 + 400)]
+        want |= {r[0]: r for r in data}
+        table.merge(load(spark, data, n))
+        seen.append(table._current().first()["buckets"])
+    assert seen[0] == 2 and seen[-1] >= 8 and seen == sorted(seen)
+    assert rows(table.read(), "k", "seq", "v") == sorted(want.values(), key=str)
+    table.vacuum(keep=1)
+    assert table.read().count() == len(want)

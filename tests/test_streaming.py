@@ -7,6 +7,7 @@ import pytest
 from tidemark.operators.cdc import stamp
 from tidemark.sources.raw import write_raw
 from tidemark.sources.staging import StagingTable
+from tidemark.sources.storage import child_names
 from tidemark.streaming.merge import (
     raw_stream,
     read_updates,
@@ -83,5 +84,6 @@ def test_running_newest_row(spark, feed, rows):
     ):
         feed.land(data, at)
         latest = stream_latest(feed.stream().drop("insert_timestamp"), ["k"], ["ts"])
-        run_updates(latest, f"{feed.base}/out", f"{feed.base}/cp")
+        run_updates(latest, f"{feed.base}/out", f"{feed.base}/cp", ["k"])
+        assert child_names(feed.stream().sparkSession, f"{feed.base}/out/updates") == []
     assert rows(read_updates(spark, f"{feed.base}/out", ["k"])) == [(1, minute(5), "b"), (2, minute(7), None)]

@@ -34,4 +34,5 @@ def split_list(c: Column | str) -> Column:
 
 
 def quote_name(c: Column | str) -> Column:
-    return F.concat(F.lit('"'), as_column(c), F.lit('"'))
+    """A quoted identifier; quotes inside are doubled."""
+    return F.concat(F.lit('"'), F.replace(as_column(c), F.lit('"'), F.lit('""')), F.lit('"'))

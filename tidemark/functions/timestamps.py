@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import as_column
+from tidemark.functions.text import as_column, clean_text
 
 # The accepted shapes of timestamp text, the zero date of MySQL, the time
 # zone of load dates, and the start of time for a table that was never merged.
@@ -38,6 +38,12 @@ def parse_timestamp(c: Column | str, shapes: tuple[str, ...] = (SPACED, ZULU)) -
     return F.when(text.rlike(f"^({'|'.join(shapes)})$"), text.try_cast("timestamp_ntz"))
 
 
+def unreadable(text: Column | str, parsed: Column | str) -> Column:
+    """Is there text from which no time was read? Zero dates of a source are meant to be NULL."""
+    own = clean_text(as_column(text).cast("string"))
+    return own.isNotNull() & ~own.startswith(ZERO_DATE) & as_column(parsed).isNull()
+
+
 def parse_watermark(c: Column | str) -> Column:
     """Stored watermark: seconds, with or without a fraction (also takes a timestamp column)."""
     return parse_timestamp(as_column(c).cast("string"), (SPACED,))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.timestamps import EPOCH, ntz, zero_date_to_null
+from tidemark.functions.timestamps import EPOCH, ntz, unreadable, zero_date_to_null
 
 STAMP = "insert_timestamp"
 
@@ -84,6 +84,11 @@ def raw_high_mark(raw: DataFrame, last_run: datetime | str | Column | None) -> D
     return raw_since(raw, last_run).agg(F.coalesce(F.max(STAMP), kept).alias(STAMP))
 
 
+def count_unreadable(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row: for each text column how many of its values ``clean_zero_dates`` cannot read."""
+    return df.agg(*[F.count_if(unreadable(c, zero_date_to_null(c))).alias(c) for c in cols])
+
+
 def clean_zero_dates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Text columns of a source with zero dates as timestamps."""
     return df.withColumns({c: zero_date_to_null(c) for c in cols})

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import as_column, clean_text, normalise_name, quote_name
 from tidemark.functions.timestamps import format_watermark, ntz, parse_watermark
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import rejected_rows, upsert
 
 KEY = ["database_name", "table_name"]
 
 # The load types, and what a config row must state.
 FULL, CDC = "full_load", "cdc_load"
-REQUIRED = ["database_name", "table_name", "load_type", "partition_col"]
+REQUIRED = ["database_name", "table_name", "partition_col"]
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
@@ -26,12 +26,35 @@ def last_per_key(df: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame
     return df.groupBy(*keys).agg(last).select(*keys, "last.*").select(*[c for c in df.columns if c != sequence])
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
+    """One row per key, NULL being a value, and in ``repeated`` whether rows of it disagreed.
+
+    With ``sequence`` the row of the highest number counts, and nothing is in dispute.
+    Without it the largest row stands for the key. At most two rows of a key travel.
+    """
+    rest = [c for c in df.columns if c not in keys and c != sequence]
+    row = F.struct(*rest)
+    if sequence:
+        picked, repeated = F.max_by(row, F.col(sequence)), F.lit(False)
+    else:
+        picked, repeated = F.max(row), F.min(row) != F.max(row)
+    best = df.groupBy(*keys).agg(picked.alias("_row"), repeated.alias("repeated"))
+    return best.select(*keys, "_row.*", "repeated")
+
+
 def seed_config(current: DataFrame, incoming: DataFrame, sequence: str) -> DataFrame:
     """Config after the seed: each incoming row replaces its key, the last line of a key wins.
 
-    Lines have no order in a distributed read, so ``sequence`` carries it.
+    Lines have no order in a distributed read, so ``sequence`` carries it. Names compare
+    stripped, as they are planned. Lines without a name are left to ``unnamed_lines``.
     """
-    return upsert(current, last_per_key(incoming, KEY, sequence), KEY)
+    named = [df.withColumns({c: clean_text(c) for c in KEY}) for df in (current, incoming)]
+    return upsert(named[0], last_per_key(named[1], KEY, sequence), KEY)
+
+
+def unnamed_lines(incoming: DataFrame) -> DataFrame:
+    """Lines of a seed that name no database or table, and so cannot be put into the config."""
+    return rejected_rows(incoming.withColumns({c: clean_text(c) for c in KEY}), KEY)
 
 
 def sync_config(config: DataFrame) -> DataFrame:
@@ -45,7 +68,8 @@ def merge_config(config: DataFrame, schema: str, kind: str) -> DataFrame:
     ``kind`` picks the rows: ``batch``, in any case, or the stream rows for all else.
     """
     wanted = "batch" if kind.lower() == "batch" else "stream"
-    return config.filter((F.col("kind") == wanted) & (F.col("database_name") == schema)).select(
+    named = config.withColumns({c: clean_text(c) for c in KEY})
+    return named.filter((F.col("kind") == wanted) & (F.col("database_name") == schema)).select(
         *[normalise_name(c).alias(c) for c in KEY],
         F.col("database_name").alias("source_database"),
         F.col("table_name").alias("source_table"),
@@ -75,16 +99,15 @@ def merge_task(registry: DataFrame, database: str) -> str:
 
 
 def invalid_config(config: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
-    """Config rows with required fields that are missing or empty, and which those are."""
-    missing = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(c)) for c in required])
-    )
+    """Config rows with required fields that are missing or blank, and which those are. A blank
+    load type is none of them: it means a full load."""
+    missing = F.array_compact(F.array(*[F.when(clean_text(c).isNull(), F.lit(c)) for c in required]))
     return config.withColumn("missing", F.array_join(missing, ", ")).filter(F.col("missing") != "")
 
 
 def repeated_config(config: DataFrame) -> DataFrame:
-    """Keys with more than one config row."""
-    return config.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+    """Keys with more than one config row; names compare stripped."""
+    return config.groupBy(*[clean_text(c).alias(c) for c in KEY]).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
 def tables_per_database(config: DataFrame) -> DataFrame:
@@ -136,11 +159,14 @@ def _advance(state: DataFrame, updates: DataFrame, keys: list[str], mark: str, r
     return best.withColumn(mark, write(F.col(mark))).select(*state.columns)
 
 
-def column_list(catalogue: DataFrame) -> DataFrame:
-    """Per table its quoted column names, in order.
+def catalogue_of(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table_name, column_name, ordinal_position`` of the columns that the tables have."""
+    rows = [(t, c, i) for t, df in tables.items() for i, c in enumerate(df.schema.fieldNames(), 1)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, ordinal_position int")
 
-    ``catalogue`` has one row per column: ``table_name, column_name, ordinal_position``.
-    """
+
+def column_list(catalogue: DataFrame) -> DataFrame:
+    """Per table its quoted column names, in order. ``catalogue`` is as ``catalogue_of`` has it."""
     return _listed(catalogue, quote_name("column_name"), "column_list")
 
 
@@ -172,8 +198,3 @@ def expired_snapshots(manifest: DataFrame, now: datetime | str | Column, days: i
     """Copies made strictly before ``days`` days ago."""
     return manifest.filter(F.col("created_at") < ntz(now) - F.expr(f"interval {int(days)} days"))
 
-
-def normalised_config(config: DataFrame) -> DataFrame:
-    """All config text stripped, blank as NULL."""
-    return config.select(*[clean_text(c).alias(c) for c in config.columns])
-

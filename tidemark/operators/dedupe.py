@@ -11,6 +11,15 @@ from pyspark.sql import types as T
 _UNORDERED = (T.MapType, T.VariantType)
 
 
+def is_ordered(kind: T.DataType) -> bool:
+    """Can values of the type be compared? Not if a map or variant is in them at any depth."""
+    if isinstance(kind, T.StructType):
+        return all(is_ordered(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return is_ordered(kind.elementType)
+    return not isinstance(kind, _UNORDERED)
+
+
 def newest_first(df: DataFrame, order_cols: Sequence[str], keys: Sequence[str] = ()) -> list[Column]:
     """A total order: the given columns, then every other column that can be compared.
 
@@ -19,7 +28,7 @@ def newest_first(df: DataFrame, order_cols: Sequence[str], keys: Sequence[str] =
     rest = [
         f.name
         for f in df.schema.fields
-        if f.name not in order_cols and f.name not in keys and not isinstance(f.dataType, _UNORDERED)
+        if f.name not in order_cols and f.name not in keys and is_ordered(f.dataType)
     ]
     return [F.col(c).desc_nulls_last() for c in [*order_cols, *rest]]
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Our definitions: order sizes by total price, and days to ship before a line is late.
 SIZE_BANDS = {"small": 50000, "medium": 250000}
 LATE_AFTER_DAYS = 90
-UNKNOWN_KEY = -1
+# The member of a dimension that facts without a match belong to.
+UNKNOWN_KEY, UNKNOWN = -1, "unknown"
 
 
 def money(c: Column | str) -> Column:
@@ -53,21 +54,31 @@ def apply_rules(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Customers with the names of their nation and region; unmatched ones stay."""
+    """Customers with the names of their nation and region, and the unknown member; customers
+    without a nation stay."""
     places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "left").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"
     )
-    return customer.join(places, "c_nationkey", "left").select(
+    known = customer.join(places, "c_nationkey", "left").select(
         F.col("c_custkey").alias("customer_key"),
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("segment"),
         F.col("n_name").alias("nation"),
         F.col("r_name").alias("region"),
     )
+    texts = ["customer_name", "segment", "nation", "region"]
+    return known.unionByName(_unknown(known, "customer_key", {c: F.lit(UNKNOWN) for c in texts}))
+
+
+def _unknown(known: DataFrame, key: str, values: dict[str, Column]) -> DataFrame:
+    """The unknown member of a dimension, with its types; values that are not given are NULL."""
+    own = {key: F.lit(UNKNOWN_KEY), **values}
+    one = known.sparkSession.range(1)
+    return one.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in known.schema.fields])
 
 
 def dim_date(facts: DataFrame, date_col: str) -> DataFrame:
-    """Calendar from the first to the last date of a column, one row per day."""
+    """Calendar from the first to the last date of a column, one row per day, and the unknown day."""
     day = F.col(date_col).cast("date")
     span = facts.agg(F.min(day).alias("first"), F.max(day).alias("last"))
     days = span.filter(F.col("first").isNotNull()).select(
@@ -75,13 +86,14 @@ def dim_date(facts: DataFrame, date_col: str) -> DataFrame:
     )
     parts = {"year": F.year("date"), "month": F.month("date"), "day": F.day("date")}
     number = parts["year"] * 10000 + parts["month"] * 100 + parts["day"]
-    return days.select(
+    known = days.select(
         number.alias("date_key"),
         F.col("date").cast("timestamp_ntz").alias("date"),
         *[c.alias(name) for name, c in parts.items()],
         F.quarter("date").alias("quarter"),
         (F.weekday("date") + 1).alias("iso_weekday"),
     )
+    return known.unionByName(_unknown(known, "date_key", {}))
 
 
 def date_key(c: Column | str) -> Column:
@@ -132,14 +144,18 @@ def metrics_monthly(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue, orders and mean order value by nation, segment and month.
 
     ``customers`` is ``dim_customer``. Orders are summed per customer and month first, so a
-    customer with very many orders reaches the join as a few rows.
+    customer with very many orders reaches the join as a few rows. Orders of customers that
+    the dimension lacks count for its unknown member, so the revenue is that of all orders.
     """
     month = F.substring(F.col("o_orderdate").cast("string"), 1, 7)
     per_customer = orders.groupBy(F.col("o_custkey").alias("customer_key"), month.alias("month")).agg(
         F.sum(money("o_totalprice")).alias("revenue"), F.count(F.lit(1)).alias("orders")
     )
     return (
-        per_customer.join(customers.select("customer_key", "nation", "segment"), "customer_key")
+        per_customer.join(
+            customers.select("customer_key", "nation", "segment", F.lit(True).alias("known")), "customer_key", "left"
+        )
+        .withColumns({c: F.when(F.col("known"), F.col(c)).otherwise(UNKNOWN) for c in ("nation", "segment")})
         .groupBy("nation", "segment", "month")
         .agg(F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"))
         .select(

@@ -29,7 +29,7 @@ def upsert(
     The source has one row per key, and so has a target that was made by merges. Target rows
     without a match stay as they are, and nothing is deleted. With ``newer_by`` a matched
     target row that is newer in those columns is kept. NULL keys never match: such source
-    rows are left out, or added when ``null_keys`` is ``"insert"``.
+    rows are left to ``rejected_rows``, or added when ``null_keys`` is ``"insert"``.
 
     Each side is read once. A side that was just reduced to its newest rows is already
     partitioned by the key and is not shuffled again.
@@ -60,9 +60,20 @@ def upsert_stored(
 
 
 def _usable(source: DataFrame, keys: Sequence[str], null_keys: str) -> DataFrame:
+    return source if inserts_null_keys(null_keys) else source.filter(~has_null_key(keys))
+
+
+def inserts_null_keys(null_keys: str) -> bool:
+    """The one rule for source rows with a NULL key, which match nothing: ``"reject"`` leaves
+    them to ``rejected_rows``, ``"insert"`` adds them."""
     if null_keys not in ("reject", "insert"):
         raise ValueError(f"null_keys must be 'reject' or 'insert', not {null_keys!r}")
-    return source if null_keys == "insert" else source.filter(~has_null_key(keys))
+    return null_keys == "insert"
+
+
+def rejected_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows that a merge with ``null_keys="reject"`` leaves out: all with a NULL key."""
+    return source.filter(has_null_key(keys))
 
 
 def _overlay(
@@ -96,16 +107,22 @@ def merge_matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return source.join(target.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def merge_inserts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows that are new to the target."""
-    return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
+def merge_inserts(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_keys: str = "reject"
+) -> DataFrame:
+    """Source rows that the merge adds to the target; ``null_keys`` is as for ``upsert``."""
+    return _usable(source, keys, null_keys).join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def merge_stats(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: target rows updated, rows inserted, target rows kept.
+def merge_stats(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_keys: str = "reject"
+) -> DataFrame:
+    """One row: target rows updated, rows inserted, target rows kept, source rows rejected.
 
-    Counted per key before the shuffle, so neither wide rows nor hot keys travel.
+    ``null_keys`` is as for ``upsert``. Counted per key before the shuffle, so neither wide
+    rows nor hot keys travel.
     """
+    insert = inserts_null_keys(null_keys)
     sides = target.select(*keys, F.lit(1).alias("_old"), F.lit(0).alias("_new")).unionByName(
         source.select(*keys, F.lit(0).alias("_old"), F.lit(1).alias("_new"))
     )
@@ -115,8 +132,10 @@ def merge_stats(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     def total(name: str, condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0).cast("bigint"))
 
+    usable = F.lit(insert) | ~has_null_key(keys)
     return per_key.agg(
         total("_old", met).alias("updated"),
-        total("_new", ~met).alias("inserted"),
+        total("_new", ~met & usable).alias("inserted"),
         total("_old", ~met).alias("kept"),
+        total("_new", ~usable).alias("rejected"),
     )

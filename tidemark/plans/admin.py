@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.config import seed_config, sync_config
+from tidemark.operators.config import seed_config, sync_config, unnamed_lines
 from tidemark.schemas import LOAD_CONFIG
 from tidemark.sources.control import (
     expire_snapshots,
@@ -20,9 +20,11 @@ from tidemark.sources.storage import current_version, publish, read_current, ver
 
 
 def seed(spark: SparkSession, csv_path: str, control: str, sequence: str, kind: str = "stream") -> int:
-    """Put the lines of a CSV file into the load config; returns the new version."""
+    """Put the lines of a CSV file into the load config; returns the new version. Lines
+    without a name go to ``rejected_config``."""
     path = f"{control}/{kind}_config"
     lines = read_load_config_csv(spark, csv_path, sequence)
+    unnamed_lines(lines).withColumn("kind", F.lit(kind)).write.mode("append").parquet(f"{control}/rejected_config")
     return publish(seed_config(read_current(spark, path, LOAD_CONFIG), lines, sequence), path)
 
 

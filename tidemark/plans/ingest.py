@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.cdc import maxima, stamp
 from tidemark.operators.config import advance_source_watermark
 from tidemark.plans.load_plan import load_plan
+from tidemark.plans.pools import in_threads, use_pool
 from tidemark.schemas import AUDIT, RUN_STATE
 from tidemark.sources.control import append_audit, load_config
 from tidemark.sources.databases import FileSource, JdbcSource
@@ -49,7 +49,8 @@ def ingest_table(
     """
     name = (plan["database_name"], plan["table_name"])
     if plan["action"] not in ("FULL", "CDC"):
-        return TableResult(*name, "SKIPPED", error=plan["reason"])
+        status = "ERROR" if plan["action"] == "ERROR" else "SKIPPED"
+        return TableResult(*name, status, error=plan["reason"])
     cutoff = plan["cutoff"].strftime("%Y-%m-%d %H:%M:%S") if plan["action"] == "CDC" else None
     change_cols = plan["change_cols"]
     extract = source.extract(
@@ -87,7 +88,8 @@ def ingest_database(
     kind: str = "batch",
     workers: int = 4,
 ) -> list[TableResult]:
-    """Load every configured table of a database, ``workers`` at a time.
+    """Load every configured table of a database, ``workers`` at a time, each in a scheduler
+    pool of its own: under ``spark.scheduler.mode=FAIR`` small tables don't wait for large ones.
 
     State and audit are written for what was done, also when a table fails; the first
     failure is raised after that.
@@ -99,14 +101,14 @@ def ingest_database(
     errors: list[Exception] = []
 
     def run(plan: Row) -> TableResult:
+        use_pool(spark, plan["database_name"], plan["table_name"])
         try:
             return ingest_table(spark, plan, source, root, load_ts, attempts)
         except Exception as e:
             errors.append(e)
             return TableResult(plan["database_name"], plan["table_name"], "FAILED", error=str(e))
 
-    with ThreadPoolExecutor(workers) as pool:
-        results = list(pool.map(run, plans))
+    results = in_threads(spark, run, plans, workers)
     publish(advance_state(spark, state, results), f"{control}/state")
     append_audit(audit_rows(spark, results, load_ts), f"{control}/audit")
     if errors:

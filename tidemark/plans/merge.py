@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.cdc import raw_since
-from tidemark.operators.config import KEY, merge_config
+from tidemark.operators.config import KEY, merge_config, one_per_key
+from tidemark.plans.pools import in_threads, use_pool
 from tidemark.sources.control import split_names
 from tidemark.sources.raw import raw_table, read_raw
 from tidemark.sources.staging import MergeCounts, StagingTable
@@ -19,6 +19,8 @@ from tidemark.sources.storage import control_rows
 
 # Fixed value: tables merged at a time.
 MERGE_WORKERS = 5
+# States of a staging table that can be read while further merges run.
+KEPT_STATES = 3
 
 MERGE_RESULT = T.StructType(
     [
@@ -41,14 +43,19 @@ def merge_table(
     change_cols: Sequence[str] = (),
     full_loaded_at: datetime | None = None,
     null_keys: str = "reject",
+    keep_states: int | None = KEPT_STATES,
 ) -> MergeCounts:
-    """Merge the RAW rows stamped after the last merge into the staging table."""
+    """Merge the RAW rows stamped after the last merge into the staging table, and then delete
+    what none of its last ``keep_states`` states reads (None: delete nothing)."""
     last = staging.high_mark()
     rows = read_raw(spark, raw, since=max(filter(None, [last, full_loaded_at]), default=None))
     if rows is None:
         return MergeCounts(0, 0, 0, None)
     fresh = raw_since(raw_table(rows, full_loaded_at), last)
-    return staging.merge(fresh, change_cols, null_keys=null_keys)
+    done = staging.merge(fresh, change_cols, null_keys=null_keys)
+    if keep_states is not None and done.high_mark is not None:
+        staging.vacuum(keep_states)
+    return done
 
 
 def merge_schema(
@@ -63,10 +70,14 @@ def merge_schema(
 ) -> DataFrame:
     """Merge every configured table of a schema; one that fails is reported, the others go on.
 
+    Table names are normalised, and rows of one table that say the same count once. If they
+    differ, in the key or in the spelling of the source, the table fails and is not touched:
+    two merges must not write one table.
+
     ``raw_root`` is the directory of one source, as RAW paths have it. The load plan, if given,
     says which change columns order rows of one load, and where each RAW table starts.
     """
-    tables = merge_config(config, schema, kind)
+    tables = one_per_key(merge_config(config, schema, kind), KEY)
     if plan is None:
         tables = tables.withColumns(
             {"change_cols": F.array().cast("array<string>"), "full_loaded_at": F.lit(None).cast("timestamp_ntz")}
@@ -78,7 +89,10 @@ def merge_schema(
 
     def run(table: Row) -> tuple:
         name = (table["database_name"], table["table_name"])
+        use_pool(spark, *name)
         try:
+            if table["repeated"]:
+                raise ValueError("the config names this table more than once, in different ways")
             keys = split_names(table["partition_col"])
             staging = StagingTable(spark, f"{staging_root}/{name[0]}/{name[1]}", keys)
             raw = f"{raw_root}/{table['source_database']}/{table['source_table']}"
@@ -88,8 +102,6 @@ def merge_schema(
         except Exception as e:
             return (*name, "FAILED", None, None, None, None, str(e))
 
-    with ThreadPoolExecutor(workers) as pool:
-        results = list(pool.map(run, tables.collect()))
-    return control_rows(spark, results, MERGE_RESULT)
+    return control_rows(spark, in_threads(spark, run, tables.collect(), workers), MERGE_RESULT)
 
 

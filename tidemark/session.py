@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
 
@@ -26,12 +29,12 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a session whose executors are this process may do without the setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     return tempfile.gettempdir()
 

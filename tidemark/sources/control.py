@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import BLANKS, clean_text
 from tidemark.functions.timestamps import ntz
 from tidemark.operators.config import FULL, expired_snapshots, snapshot_name
 from tidemark.schemas import AUDIT, LOAD_CONFIG, SNAPSHOT_MANIFEST
@@ -29,7 +30,7 @@ def read_load_config_csv(spark: SparkSession, path: str, sequence: str | None =
 def load_config(spark: SparkSession, path: str, database: str | None = None) -> DataFrame:
     """Current load config, of one database or of all."""
     config = read_current(spark, path, LOAD_CONFIG)
-    return config if database is None else config.filter(F.col("database_name") == database)
+    return config if database is None else config.filter(clean_text("database_name") == database.strip(BLANKS))
 
 
 def append_audit(rows: DataFrame, path: str) -> None:

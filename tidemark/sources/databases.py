@@ -6,8 +6,10 @@ cut-off, in one shape.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,8 +117,15 @@ class JdbcSource:
 
 
 def split_options(split_col: str, low: Any, high: Any, splits: int) -> dict[str, str]:
-    """Range options of a parallel read; an empty extract has bounds 0 and 0."""
-    low, high = (0 if v is None else v for v in (low, high))
+    """Range options of a parallel read.
+
+    Numeric bounds are rounded outwards to whole numbers, which is all Spark takes; dates and
+    times stay as they are. Without bounds, as of an empty extract, the read is not split.
+    """
+    if low is None or high is None:
+        return {}
+    if isinstance(low, (int, float, Decimal)):
+        low, high = math.floor(low), math.ceil(high)
     return {
         "partitionColumn": split_col,
         "lowerBound": str(low),

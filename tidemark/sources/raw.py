@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 from typing import Any
@@ -9,10 +11,11 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.timestamps import LOAD_ZONE, load_partition, ntz
 from tidemark.operators.cdc import STAMP
-from tidemark.sources.storage import child_names
+from tidemark.sources.storage import child_names, read_text, write_text
 
 # The longest output file in rows, its codec, and the tries of a batch write.
 MAX_ROWS_PER_FILE = 1000000
@@ -20,6 +23,8 @@ CODEC = "snappy"
 WRITE_ATTEMPTS = 3
 
 PARTITIONS = ["load_date", "load_hour"]
+# Folder of the notes of columns; readers of files pass it over for its first letter.
+SCHEMAS = "_schemas"
 
 
 def raw_path(root: str, directory: str, database: str, table: str) -> str:
@@ -41,6 +46,7 @@ def write_raw(stamped: DataFrame, path: str, load_ts: datetime | str, mode: str,
     if taken:
         raise ValueError(f"columns {taken} name the RAW partitions: rename them in the extract")
     date, hour = load_partition(load_ts, zone)
+    record_schema(stamped.sparkSession, path, stamped.schema)
     (
         stamped.withColumns({"load_date": date, "load_hour": hour})
         .write.mode(mode)
@@ -52,6 +58,39 @@ def write_raw(stamped: DataFrame, path: str, load_ts: datetime | str, mode: str,
     )
 
 
+def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Note the columns of a load beside the files, before they land, so that readers need not
+    open every file to learn them. Files that were there before the first note are opened once."""
+    known = child_names(spark, f"{path}/{SCHEMAS}")
+    notes = [schema]
+    if not known and any(n.startswith("load_date=") for n in child_names(spark, path)):
+        notes.append(_opened(spark, path, [path]).drop(*PARTITIONS).schema)
+    for note in notes:
+        text = _nullable(note).json()
+        name = f"{hashlib.sha256(text.encode()).hexdigest()}.json"
+        if name not in known:
+            write_text(spark, f"{path}/{SCHEMAS}/{name}", text)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
+def noted_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """All columns of the loads so far; None without notes, or if loads disagree on a type."""
+    fields: dict[str, T.StructField] = {}
+    for name in child_names(spark, f"{path}/{SCHEMAS}"):
+        for f in T.StructType.fromJson(json.loads(read_text(spark, f"{path}/{SCHEMAS}/{name}"))).fields:
+            if fields.setdefault(f.name, f).dataType != f.dataType:
+                return None
+    return T.StructType(list(fields.values())) if fields else None
+
+
+def _opened(spark: SparkSession, path: str, paths: list[str]) -> DataFrame:
+    """Files with the columns of all of them, which takes a look at each."""
+    return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*paths)
+
+
 def write_with_retry(write: Callable[[], Any], attempts: int = WRITE_ATTEMPTS) -> Any:
     """Run a whole write again when it fails, on top of Spark's own retries of its tasks."""
     for left in reversed(range(attempts)):
@@ -67,17 +106,25 @@ def read_raw(
 ) -> DataFrame | None:
     """RAW rows with their load date and hour as text; None where no file qualifies.
 
-    ``since`` names a stamp below which nothing is wanted: directories of earlier load dates
-    are neither listed nor opened. Columns are merged over the files that are read.
+    ``since`` names a stamp below which nothing is wanted: directories of earlier load hours
+    are neither listed nor opened. Columns are those that any load noted; where there are no
+    notes, those of the files that are read.
     """
-    days = [n for n in child_names(spark, path) if n.startswith("load_date=")]
+    parts = [f"{path}/{n}" for n in child_names(spark, path) if n.startswith("load_date=")]
     if since is not None:
-        utc = datetime.fromisoformat(str(since)).replace(tzinfo=timezone.utc)
-        days = [n for n in days if n >= f"load_date={utc.astimezone(ZoneInfo(zone)).date()}"]
-    if not days:
+        local = datetime.fromisoformat(str(since)).replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone))
+        first = f"{path}/load_date={local.date()}"
+        hours = child_names(spark, first) if first in parts else []
+        wanted = [f"{first}/{n}" for n in hours if n >= f"load_hour={local.hour:02d}"]
+        parts = wanted + [p for p in parts if p > first]
+    if not parts:
         return None
-    reader = spark.read.option("basePath", path).option("mergeSchema", "true")
-    rows = reader.parquet(*[f"{path}/{day}" for day in days])
+    schema = noted_schema(spark, path)
+    if schema is None:
+        rows = _opened(spark, path, parts)
+    else:
+        columns = T.StructType(schema.fields + [T.StructField(p, T.StringType()) for p in PARTITIONS])
+        rows = spark.read.schema(columns).option("basePath", path).parquet(*parts)
     return rows.withColumns(
         {
             "load_date": F.col("load_date").cast("string"),

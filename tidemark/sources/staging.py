@@ -4,12 +4,17 @@ Rows lie in hash buckets of their key. A merge writes only the buckets its incre
 touches, below a directory of its own, and then publishes which directory each bucket is
 read from, together with the merge's high mark. The table and its watermark so change in
 one step: a crash before it leaves both as they were, and the merge is simply run again.
-One writer per table at a time.
+Of two writers that start from one state only one can publish; the other fails and may run
+again. Buckets double in number when they have grown past twice their planned size.
+
+What a merge does to a row depends on the row alone, never on the size of the load: columns
+of the table that the load lacks are NULL in its rows, whichever plan is taken.
 """
 
 from __future__ import annotations
 
 import json
+import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -20,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.cdc import STAMP
 from tidemark.operators.dedupe import dedupe_latest
-from tidemark.operators.upsert import FROM_SOURCE, has_null_key, upsert_stored
+from tidemark.operators.upsert import FROM_SOURCE, has_null_key, inserts_null_keys, rejected_rows, upsert_stored
 from tidemark.sources.storage import (
     child_names,
     control_rows,
@@ -34,10 +39,12 @@ from tidemark.sources.storage import (
 
 BUCKET, MERGE = "_bucket", "_merge"
 BUCKET_BYTES = 512 * 1024 * 1024
-MIN_BUCKETS, MAX_BUCKETS = 8, 16384
+MIN_BUCKETS, MAX_BUCKETS = 8, 1 << 20
 MAX_TASKS = 65536
 MAX_ROWS_PER_FILE = 10_000_000
 _UNKNOWN_SIZE = 1 << 60
+# Low bits of a merge's number, drawn anew for each attempt.
+_ATTEMPT_BITS = 20
 
 _CURRENT = T.StructType(
     [
@@ -75,19 +82,35 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 class StagingTable:
-    """A staging table at a path. ``buckets`` overrides the number its first load suggests."""
+    """A staging table at a path.
+
+    ``buckets`` overrides the number its first load suggests, ``bucket_bytes`` is the size
+    they are planned for. An increment of up to ``broadcast_bytes`` (Spark's limit unless
+    set) is merged without a shuffle of the table.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        buckets: int | None = None,
+        bucket_bytes: int = BUCKET_BYTES,
+        max_buckets: int = MAX_BUCKETS,
+        broadcast_bytes: int | None = None,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self._wanted_buckets = buckets
+        self._bucket_bytes, self._max_buckets = bucket_bytes, max_buckets
+        self._broadcast_bytes = broadcast_bytes
         self._data = f"{self.path}/data"
         self._state = f"{self.path}/current"
 
     def _merge_path(self, number: int) -> str:
         # The directory name becomes a partition column when read; tables have columns like "v".
-        return f"{self._data}/{MERGE}={number:010d}"
+        return f"{self._data}/{MERGE}={number:020d}"
 
     def _current(self) -> DataFrame:
         return read_current(self.spark, self._state, _CURRENT)
@@ -101,6 +124,11 @@ class StagingTable:
         entries = self._current().collect()
         return self._rows(entries).drop(BUCKET) if entries else None
 
+    def rejects(self) -> DataFrame | None:
+        """Rows that merges left out for a NULL key, each at least once; None if there are none."""
+        paths = [f"{self.path}/rejects/{n}" for n in child_names(self.spark, f"{self.path}/rejects")]
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
+
     def _rows(self, entries: Sequence[Row]) -> DataFrame:
         """Rows of the buckets. A merge of which every bucket is wanted is read as one
         directory; at most there is one path per bucket."""
@@ -127,14 +155,17 @@ class StagingTable:
 
         Newest is by stamp, then by change columns. The newest load wins over the table, or,
         with ``keep_newer``, only where the row of the table is not newer by the same order.
-        ``null_keys`` is as for ``upsert``.
+        ``null_keys`` is as for ``upsert``; rejected rows are written aside.
         """
+        reject = not inserts_null_keys(null_keys)
+        version = (current_version(self.spark, self._state) or 0) + 1
         entries = self._current().collect()
-        number = (current_version(self.spark, self._state) or 0) + 1
-        buckets = entries[0]["buckets"] if entries else self._first_buckets(rows)
+        number = version << _ATTEMPT_BITS | random.getrandbits(_ATTEMPT_BITS)
+        buckets = self._grown_buckets(entries) if entries else self._first_buckets(rows)
         order = [STAMP, *change_cols]
 
-        newest = dedupe_latest(_as_stored(rows, entries), self.keys, order)
+        rows = _as_stored(rows, entries)
+        newest = dedupe_latest(rows, self.keys, order)
         # Taken while the rows pass by; both hold when a task is run twice. The one row that
         # is left of a NULL key tells whether any was there.
         seen = Observation()
@@ -143,10 +174,11 @@ class StagingTable:
             F.max(has_null_key(self.keys)).alias("null_keys"),
             F.max(STAMP).cast("string").alias("high"),
         ).withColumn(BUCKET, bucket_of(self.keys, buckets))
-        if null_keys == "reject":
+        if reject:
             increment = increment.filter(~has_null_key(self.keys))
         if entries:
-            counts, touched = self._rewrite(number, increment, entries, order if keep_newer else [], null_keys)
+            newer_by = order if keep_newer else []
+            counts, touched, buckets = self._rewrite(number, increment, entries, buckets, newer_by, null_keys)
         else:
             first = increment.withColumn(FROM_SOURCE, F.lit(True))
             # Where the tasks of a shuffle are a multiple of the buckets, the newest rows lie by
@@ -157,40 +189,64 @@ class StagingTable:
         high = seen.get["high"]
         if high is None:
             return MergeCounts()
-        rejects = null_keys == "reject" and seen.get["null_keys"]
-        rejected = rows.filter(has_null_key(self.keys)).count() if rejects else 0
-        self._publish(number, entries, touched, buckets, increment, high)
+        rejected = self._write_rejects(number, rows) if reject and seen.get["null_keys"] else 0
+        kept = entries if entries and entries[0]["buckets"] == buckets else []
+        self._publish(version, number, entries, kept, touched, buckets, increment, high)
         return MergeCounts(*counts, rejected, datetime.fromisoformat(high))
 
+    def _write_rejects(self, number: int, rows: DataFrame) -> int:
+        """Only loads that have NULL keys are read a second time for them."""
+        seen = Observation()
+        target = f"{self.path}/rejects/{MERGE}={number:020d}"
+        out = rejected_rows(rows, self.keys).observe(seen, F.count(F.lit(1)).alias("rows"))
+        out.write.mode("overwrite").parquet(target)
+        return seen.get["rows"]
+
     def _rewrite(
-        self, number: int, increment: DataFrame, entries: Sequence[Row], newer_by: Sequence[str], null_keys: str
-    ) -> tuple[tuple[int, int], set[int]]:
-        """Store the increment, then write the buckets it touches anew.
+        self,
+        number: int,
+        increment: DataFrame,
+        entries: Sequence[Row],
+        buckets: int,
+        newer_by: Sequence[str],
+        null_keys: str,
+    ) -> tuple[tuple[int, int], set[int], int]:
+        """Store the increment, then write the buckets it touches anew, or all if their number
+        changes; returns that number too.
 
         The increment is read several times and its size decides how, so it is made once.
         """
         landing = version_path(f"{self.path}/increment", number)
-        increment.write.mode("overwrite").parquet(landing)
+        seen = Observation()
+        observed = increment.observe(seen, F.collect_set(BUCKET).alias("touched"))  # at most all buckets
+        observed.write.mode("overwrite").parquet(landing)
         stored = self.spark.read.schema(increment.schema).parquet(landing)
-        buckets = entries[0]["buckets"]
-        touched = {r[0] for r in stored.select(BUCKET).distinct().collect()}
-        old = [e for e in entries if e["bucket"] in touched]
-        if not old:
+        touched = set(seen.get["touched"])
+        if not touched:
+            buckets = entries[0]["buckets"]
+        doubled = entries[0]["buckets"] != buckets
+        old = entries if doubled else [e for e in entries if e["bucket"] in touched]
+        if doubled:
+            # Every bucket splits, so all are written anew.
+            target = self._rows(old).withColumn(BUCKET, bucket_of(self.keys, buckets))
+            merged, before = self._merge_by_bucket(target, stored, newer_by, buckets), target.count()
+        elif not touched or not old:
             merged, before = self._by_bucket(stored.withColumn(FROM_SOURCE, F.lit(True)), buckets), 0
         else:
             target = self._rows(old)
             before = target.count()  # from the footers
             size = planned_bytes(stored)
-            if size is not None and size <= broadcast_limit(self.spark):
+            limit = broadcast_limit(self.spark) if self._broadcast_bytes is None else self._broadcast_bytes
+            if size is not None and size <= limit:
                 # The table is not shuffled: a task reads a few of its buckets and writes them
                 # again. Only the new rows are brought together by bucket.
                 kept, added = upsert_stored(target, stored, self.keys, newer_by, null_keys)
                 merged = kept.unionByName(added.repartition(BUCKET), allowMissingColumns=True)
             else:
                 merged = self._merge_by_bucket(target, stored, newer_by, buckets)
-        done = self._write(number, merged, before)
+        counts, written = self._write(number, merged, before)
         delete(self.spark, landing)
-        return done
+        return counts, written, buckets
 
     def _merge_by_bucket(
         self, target: DataFrame, increment: DataFrame, newer_by: Sequence[str], buckets: int
@@ -209,7 +265,7 @@ class StagingTable:
     def _by_bucket(self, df: DataFrame, buckets: int) -> DataFrame:
         """Rows shuffled so that a task has rows of one bucket; buckets that have grown, or are
         few for a large load, are shared by several tasks."""
-        shares = (planned_bytes(df) or 0) // (buckets * BUCKET_BYTES)
+        shares = (planned_bytes(df) or 0) // (buckets * self._bucket_bytes)
         return df.repartition(buckets * max(1, min(shares, MAX_TASKS // buckets)), *self.keys)
 
     def _write(self, number: int, merged: DataFrame, before: int) -> tuple[tuple[int, int], set[int]]:
@@ -237,15 +293,25 @@ class StagingTable:
         possible a number that divides the tasks of a shuffle."""
         if self._wanted_buckets:
             return self._wanted_buckets
-        by_size = (planned_bytes(rows) or 0) // BUCKET_BYTES
-        wanted = min(MAX_BUCKETS, max(MIN_BUCKETS, by_size))
+        by_size = (planned_bytes(rows) or 0) // self._bucket_bytes
+        wanted = min(self._max_buckets, max(MIN_BUCKETS, by_size))
         even = max(n for n in range(1, wanted + 1) if self._shuffle_tasks() % n == 0)
         return even if even * 2 >= wanted else wanted
 
+    def _grown_buckets(self, entries: Sequence[Row]) -> int:
+        """The table's number of buckets, doubled as often as their mean size asks for."""
+        buckets = entries[0]["buckets"]
+        size = planned_bytes(self._rows(entries)) or 0
+        while size > 2 * buckets * self._bucket_bytes and 2 * buckets <= self._max_buckets:
+            buckets *= 2
+        return buckets
+
     def _publish(
         self,
+        version: int,
         number: int,
         entries: Sequence[Row],
+        kept: Sequence[Row],
         touched: set[int],
         buckets: int,
         increment: DataFrame,
@@ -256,9 +322,9 @@ class StagingTable:
             if f.name not in columns.fieldNames():
                 columns.add(f.name, f.dataType)
         mark = max([datetime.fromisoformat(high), *[e["high_mark"] for e in entries]])
-        merge_of = {e["bucket"]: e["merge"] for e in entries} | dict.fromkeys(touched, number)
+        merge_of = {e["bucket"]: e["merge"] for e in kept} | dict.fromkeys(touched, number)
         rows = [(bucket, merge, buckets, columns.json(), mark) for bucket, merge in merge_of.items()]
-        publish(control_rows(self.spark, rows, _CURRENT), self._state)
+        publish(control_rows(self.spark, rows, _CURRENT), self._state, version)
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete bucket directories that none of the last ``keep`` published states reads;
@@ -273,7 +339,8 @@ class StagingTable:
         for merge in [int(n.split("=")[1]) for n in child_names(self.spark, self._data)]:
             base = self._merge_path(merge)
             parts = [n for n in child_names(self.spark, base) if n.startswith(BUCKET)]
-            old = [n for n in parts if merge <= newest and (merge, int(n.split("=")[1])) not in used]
+            done = merge >> _ATTEMPT_BITS <= newest  # later ones may be under way
+            old = [n for n in parts if done and (merge, int(n.split("=")[1])) not in used]
             for part in old if len(old) < len(parts) else [""]:
                 delete(self.spark, f"{base}/{part}".rstrip("/"))
             gone += len(old)
@@ -286,12 +353,9 @@ def _columns(entries: Sequence[Row]) -> T.StructType:
 
 
 def _as_stored(rows: DataFrame, entries: Sequence[Row]) -> DataFrame:
-    """Rows with the types the table already has for its columns."""
+    """Rows with the types the table already has for its columns, and NULL in those they lack."""
     stored = {f.name: f.dataType for f in _columns(entries).fields}
-    return rows.withColumns(
-        {
-            f.name: F.col(f.name).cast(stored[f.name])
-            for f in rows.schema.fields
-            if f.name in stored and f.dataType != stored[f.name]
-        }
-    )
+    own = {f.name: f.dataType for f in rows.schema.fields}
+    cast = {name: F.col(name).cast(kind) for name, kind in stored.items() if name in own and own[name] != kind}
+    absent = {name: F.lit(None).cast(kind) for name, kind in stored.items() if name not in own}
+    return rows.withColumns({**cast, **absent})

@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Versions kept unless a caller says otherwise.
 KEPT_VERSIONS = 10
 
 
+class VersionTaken(RuntimeError):
+    """Another writer has published the version this one was about to."""
+
+
+def _conf(spark: SparkSession):
+    return spark._jsparkSession.sessionState().newHadoopConf()
+
+
 def _locate(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+    return where.getFileSystem(_conf(spark)), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -31,6 +41,25 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, there as a whole or not at all."""
+    fs, where = _locate(spark, path)
+    aside = where.getParent().suffix(f"/_{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    fs.rename(aside, where)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _locate(spark, path)
+    source = fs.open(where)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def control_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A few rows of the driver's own as a frame; by way of Arrow no Python worker is started."""
     columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.fieldNames())}
@@ -60,14 +89,39 @@ def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(version_path(path, version))
 
 
-def publish(df: DataFrame, path: str) -> int:
-    """Write the next version. It counts only once it is whole, and the version being read
-    to make it stays in place; a crash leaves the one before as the newest. Versions long
-    replaced are removed."""
+def publish(df: DataFrame, path: str, number: int | None = None, keep: int = KEPT_VERSIONS) -> int:
+    """Write version ``number``, the next one by default. It is written aside and takes its
+    name in one step, which fails if the version is there already: of two writers that start
+    from one version, one gets ``VersionTaken`` and changes nothing. A crash leaves the version
+    before as the newest. All but the last ``keep`` versions are removed."""
     spark = df.sparkSession
-    number = (current_version(spark, path) or 0) + 1
-    df.write.mode("overwrite").parquet(version_path(path, number))
+    number = number or (current_version(spark, path) or 0) + 1
+    aside = f"{path}/_aside-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    taken = version_path(path, number)
+    if exists(spark, taken) and not exists(spark, f"{taken}/_SUCCESS"):
+        delete(spark, taken)  # what a write in place left unfinished
+    if not _take_name(spark, aside, version_path(path, number)):
+        delete(spark, aside)
+        raise VersionTaken(f"version {number} of {path} was published by another writer")
     for old in versions(spark, path):
-        if old <= number - KEPT_VERSIONS:
+        if old <= number - keep:
             delete(spark, version_path(path, old))
     return number
+
+
+def _take_name(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a directory its final name unless that is taken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    files = hadoop.FileContext.getFileContext(
+        new.toUri() if new.toUri().getScheme() else hadoop.FileSystem.get(_conf(spark)).getUri(), _conf(spark)
+    )
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        files.rename(old, new, options)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or exists(spark, target):
+            return False
+        raise
+    return True

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedupe import dedupe_latest
-from tidemark.sources.raw import PARTITIONS
+from tidemark.sources.raw import PARTITIONS, noted_schema
 from tidemark.sources.staging import StagingTable
+from tidemark.sources.storage import child_names, current_version, delete, publish, version_path
+
+# Column with the micro-batch an update is from.
+BATCH = "batch"
 
 _DISK_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -28,8 +33,14 @@ def use_disk_state(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
-def raw_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """RAW files of one table as a stream, in the order they land."""
+def raw_stream(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None
+) -> DataFrame:
+    """RAW files of one table as a stream, in the order they land. Without a schema it has the
+    columns of all loads so far, so a run takes up the columns that have come since the last."""
+    schema = schema or noted_schema(spark, path)
+    if schema is None:
+        raise ValueError(f"no columns are noted for {path}: give a schema")
     columns = T.StructType(schema.fields + [T.StructField(p, T.StringType()) for p in PARTITIONS])
     reader = spark.readStream.schema(columns)
     if max_files:
@@ -62,7 +73,8 @@ def stream_dedupe(
 ) -> DataFrame:
     """First copy of each key; a copy may come up to ``delay`` after it, in event time.
 
-    State is dropped once the delay has passed, and rows later than it are dropped too. The
+    State is dropped once the delay has passed. Rows later than that are not in the output:
+    ``run_deduped`` counts them and keeps those that were never seen. The
     copies of a hot key are first reduced to one per salt, over as many tasks; a key without
     copies costs the same for any number. ``salts=1`` leaves that pass out.
     """
@@ -80,23 +92,55 @@ def stream_latest(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
-def run_to_files(rows: DataFrame, path: str, checkpoint: str) -> None:
-    """Append the stream's rows to Parquet until all input is in."""
-    (
+def run_to_files(rows: DataFrame, path: str, checkpoint: str) -> int:
+    """Append the stream's rows to Parquet until all input is in; returns how many rows its
+    operators dropped as too late."""
+    query = (
         rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
-
-
-def run_updates(rows: DataFrame, path: str, checkpoint: str) -> None:
-    """Write the updates of each micro-batch below ``path`` until all input is in."""
+    query.awaitTermination()
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def run_deduped(
+    rows: DataFrame,
+    landed: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    path: str,
+    late_path: str,
+    checkpoint: str,
+    delay: str = "10 minutes",
+) -> int:
+    """Run ``stream_dedupe`` to files; returns how many rows came too late for it.
+
+    ``landed`` has the same rows as the stream as a plain table, from the load on that may hold
+    late ones. Only if some came too late it is compared with the output by key, and first
+    copies that are in neither are appended to ``late_path``: output and late rows together
+    have every key once.
+    """
+    spark = rows.sparkSession
+    dropped = run_to_files(stream_dedupe(rows, keys, ts, delay), path, checkpoint)
+    if dropped:
+        seen = spark.read.parquet(path).select(*keys)
+        if child_names(spark, late_path):
+            seen = seen.unionByName(spark.read.parquet(late_path).select(*keys))
+        lost = landed.join(seen, list(keys), "left_anti")
+        dedupe_latest(lost, keys, [ts]).write.mode("append").parquet(late_path)
+    return dropped
+
+
+def run_updates(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """Write the updates of each micro-batch below ``path`` until all input is in, and then put
+    them into one state, so what is kept does not grow with the number of batches."""
+    spark = rows.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/updates/{BATCH}={number}")
 
     (
         rows.writeStream.outputMode("update")
@@ -106,8 +150,21 @@ def run_updates(rows: DataFrame, path: str, checkpoint: str) -> None:
         .start()
         .awaitTermination()
     )
+    pending = child_names(spark, f"{path}/updates")
+    if pending:
+        publish(_last_updates(spark, path, keys), f"{path}/state", keep=2)
+        for name in pending:
+            delete(spark, f"{path}/updates/{name}")
 
 
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """State after all updates: per key the row of its last batch."""
-    return dedupe_latest(spark.read.parquet(path), keys, ["batch"]).drop("batch")
+    return _last_updates(spark, path, keys).drop(BATCH)
+
+
+def _last_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    version = current_version(spark, f"{path}/state")
+    parts = [] if version is None else [spark.read.parquet(version_path(f"{path}/state", version))]
+    if child_names(spark, f"{path}/updates"):
+        parts.append(spark.read.parquet(f"{path}/updates"))
+    return dedupe_latest(reduce(DataFrame.unionByName, parts), keys, [BATCH])

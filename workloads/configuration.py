@@ -9,6 +9,7 @@ from tidemark.functions.text import split_list
 from tidemark.operators.config import (
     KEY,
     advance_source_watermark,
+    catalogue_of,
     column_list,
     expired_snapshots,
     insert_values,
@@ -51,6 +52,18 @@ def _plan(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     return plan.drop("full_loaded_at").withColumn("change_cols", F.array_join("change_cols", ","))
 
 
+def repeated_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Every table twice: with the same row, padded, or with another one, and then by line number."""
+    config = _config(spark, sf)
+    other = F.when(F.col("partition_col") == " o_orderkey ", F.lit("o_custkey")).otherwise(F.col("partition_col"))
+    again = config.withColumns({"table_name": F.concat(F.lit(" "), "table_name", F.lit("\t")), "partition_col": other})
+    both = config.withColumn("line", F.lit(1)).unionByName(again.withColumn("line", F.lit(2)))
+    state = run_state_from(spark, sf)
+    without = load_plan(both.drop("line"), state).withColumn("numbered", F.lit(False))
+    plans = without.unionByName(load_plan(both, state, sequence="line").withColumn("numbered", F.lit(True)))
+    return plans.select("numbered", *KEY, "merge_key", "action", "reason")
+
+
 def batch_plan(spark: SparkSession, sf: str) -> DataFrame:
     return _plan(spark, sf, "batch")
 
@@ -148,9 +161,10 @@ def lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def task_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer's nation as a database; nations of one region are not registered, and
-    all others twice, in different case."""
-    nation = table(spark, sf, "nation").filter(F.col("n_regionkey") != 4)
+    """Every customer's nation as a database; nations of one region are registered by another
+    name, and all twice, in different case."""
+    other = F.when(F.col("n_regionkey") == 4, F.lit("former_")).otherwise("")
+    nation = table(spark, sf, "nation").withColumn("n_name", F.concat(other, "n_name"))
     registry = nation.select(
         F.col("n_name").alias("database_name"),
         F.concat("n_name", F.lit("_DAILY_LOAD")).alias("task_name"),
@@ -181,14 +195,10 @@ def repeated(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _catalogue(spark: SparkSession, sf: str) -> DataFrame:
-    """The properties of the feed as columns: one table per event type, a column per value seen."""
-    number = F.get_json_object("props", "$.k").cast("int")
-    return (
-        table(spark, sf, "events")
-        .select(F.col("event_type").alias("table_name"), number.alias("ordinal_position"))
-        .distinct()
-        .withColumn("column_name", F.concat(F.lit("k_"), F.col("ordinal_position").cast("string")))
-    )
+    """The columns of two of the given tables, and one with a quote in its name."""
+    lines = table(spark, sf, "lineitem")
+    tables = {"orders": table(spark, sf, "orders"), "lineitem": lines.withColumn('net "price"', F.lit(0))}
+    return catalogue_of(spark, tables)
 
 
 def columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,9 +214,11 @@ def values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _CATALOGUE = """catalogue as (
-  select distinct event_type as table_name, cast(props ->> '$.k' as integer) as ordinal_position,
-         'k_' || (props ->> '$.k') as column_name
-  from events)"""
+  select 'orders' as table_name, column_name, row_number() over () as ordinal_position from (describe orders)
+  union all
+  select 'lineitem', column_name, row_number() over () from (describe lineitem)
+  union all
+  select 'lineitem', 'net ""price""', 1000)"""
 
 
 def _list_sql(item: str, alias: str) -> str:
@@ -215,18 +227,18 @@ def _list_sql(item: str, alias: str) -> str:
 
 
 def watermark_advance(spark: SparkSession, sf: str) -> DataFrame:
-    """Per customer the last finished order as state, the last open one as what an extract saw."""
+    """Per customer the last finished order as state, the last other one as what an extract saw."""
     orders = table(spark, sf, "orders")
 
-    def last(status: str, suffix: str) -> DataFrame:
+    def last(finished: bool, suffix: str) -> DataFrame:
         text = F.concat(F.max("o_orderdate").cast("string"), F.lit(suffix))
         return (
-            orders.filter(F.col("o_orderstatus") == status)
+            orders.filter((F.col("o_orderstatus") == "F") == finished)
             .groupBy(F.lit("shop").alias("database_name"), F.col("o_custkey").cast("string").alias("table_name"))
             .agg(text.alias("last_updated_on"))
         )
 
-    return advance_source_watermark(last("F", ".5"), last("O", ""))
+    return advance_source_watermark(last(True, ".5"), last(False, ""))
 
 
 def names(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,17 +305,27 @@ _SEED_SQL = f"""with {LOAD_CONFIG},
 QUERIES = {
     "load_plan": Query(batch_plan, _plan_sql(10, 10)),
     "load_plan_stream": Query(stream_plan, _plan_sql(2, 5)),
+    "load_plan_repeats": Query(
+        repeated_plan,
+        f"""with plan as ({_plan_sql(10, 10)}),
+              differs as (select *, coalesce(merge_key = 'o_orderkey', false) as other from plan)
+            select false as numbered, database_name, table_name,
+                   case when other then 'o_custkey' else merge_key end as merge_key,
+                   case when other or reason = 'unknown_load_type' then 'ERROR' else action end as action,
+                   case when other then 'repeated_config' else reason end as reason
+            from differs
+            union all
+            select true, database_name, table_name, case when other then 'o_custkey' else merge_key end, action, reason
+            from differs""",
+    ),
     "config_validation": Query(
         validation,
         f"""with {LOAD_CONFIG}
             select database_name, table_name,
-                   concat_ws(', ', case when coalesce(database_name, '') = '' then 'database_name' end,
-                             case when coalesce(table_name, '') = '' then 'table_name' end,
-                             case when coalesce(load_type, '') = '' then 'load_type' end,
-                             case when coalesce(partition_col, '') = '' then 'partition_col' end) as missing
-            from load_config
-            where '' in (coalesce(database_name, ''), coalesce(table_name, ''), coalesce(load_type, ''),
-                         coalesce(partition_col, ''))""",
+                   concat_ws(', ', case when {clean("database_name")} is null then 'database_name' end,
+                             case when {clean("table_name")} is null then 'table_name' end,
+                             case when {clean("partition_col")} is null then 'partition_col' end) as missing
+            from load_config where missing <> ''""",
     ),
     "config_seed": Query(seeded, _SEED_SQL),
     "config_sync": Query(
@@ -347,7 +369,7 @@ QUERIES = {
              select cast(o_custkey as varchar) as table_name,
                     case when o_orderstatus = 'F' then o_orderdate + interval 500 millisecond
                          else o_orderdate end as mark
-             from orders where o_orderstatus in ('F', 'O')),
+             from orders),
            last as (select table_name, max(mark) as mark from marks group by 1)
            select 'shop' as database_name, table_name,
                   strftime(mark, '%Y-%m-%d %H:%M:%S') ||

@@ -11,11 +11,13 @@ from tidemark.functions.timestamps import (
     load_partition,
     parse_timestamp,
     parse_watermark,
+    unreadable,
 )
 from tidemark.operators.cdc import (
     append_extract,
     cdc_filter,
     clean_zero_dates,
+    count_unreadable,
     new_watermark,
     raw_high_mark,
     raw_since,
@@ -105,7 +107,17 @@ _TEXTS = """texts as (
 
 
 def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
-    return _texts(spark, sf).select("event_id", parse_timestamp("text").alias("parsed"))
+    parsed = parse_timestamp("text")
+    return _texts(spark, sf).select("event_id", parsed.alias("parsed"), unreadable("text", parsed).alias("unreadable"))
+
+
+def unreadable_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many texts of the feed and of orders with zero dates are no times."""
+    zero = F.when(F.col("o_orderstatus") == "P", "0000-00-00 00:00:00").otherwise(F.col("o_orderdate").cast("string"))
+    orders = table(spark, sf, "orders").select(zero.alias("text"))
+    parts = {"events": _texts(spark, sf), "orders": orders}
+    counts = [count_unreadable(df, ["text"]).withColumn("table_name", F.lit(t)) for t, df in parts.items()]
+    return counts[0].unionByName(counts[1])
 
 
 def watermark_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,9 +208,16 @@ QUERIES = {
         parse_timestamps,
         f"""with {_TEXTS}
             select event_id, try_strptime(text, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S.%fZ',
-                                                 '%Y-%m-%dT%H:%M:%SZ', '%Y-%m-%d %H:%M:%S.%f']) as parsed
+                                                 '%Y-%m-%dT%H:%M:%SZ', '%Y-%m-%d %H:%M:%S.%f']) as parsed,
+                   parsed is null as unreadable
             from texts""",
     ),
+    "unreadable_texts": Query(
+        unreadable_texts,
+        f"""with {_TEXTS}
+            select 'events' as table_name, count(*) filter (text like 'at %') as text from texts
+            union all select 'orders', cast(0 as bigint)""",
+    ),
     "format_watermark": Query(
         watermark_text,
         """select event_id, case when event_type = 'view' or microsecond(ts) % 1000000 = 0

@@ -106,13 +106,13 @@ def clean(column: str) -> str:
 
 
 def run_state_from(spark: SparkSession, sf: str) -> DataFrame:
-    """A run state: per customer with urgent finished orders the date of the last one, as text
-    with or without a fraction, or empty text."""
+    """A run state: per customer with orders the date of the last urgent finished one, as text
+    with or without a fraction, empty text, or NULL where there is none."""
+    urgent = (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").startswith("1")
     last = (
         table(spark, sf, "orders")
-        .filter((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").startswith("1"))
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.max("o_orderdate").cast("string").alias("last"))
+        .agg(F.max(F.when(urgent, F.col("o_orderdate"))).cast("string").alias("last"))
     )
     balance = F.col("c_acctbal")
     text = (
@@ -135,10 +135,11 @@ def run_state_from(spark: SparkSession, sf: str) -> DataFrame:
 RUN_STATE = """run_state as (
   select c_mktsegment as database_name, c_name as table_name,
          case when c_acctbal >= 9000 then ''
-              when c_acctbal >= 5000 then strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') || '.125000'
-              else strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') end as last_updated_on
-  from customer join orders on o_custkey = c_custkey
-  where o_orderstatus = 'F' and o_orderpriority like '1%'
+              when c_acctbal >= 5000
+              then strftime(max(o_orderdate) filter (urgent), '%Y-%m-%d %H:%M:%S') || '.125000'
+              else strftime(max(o_orderdate) filter (urgent), '%Y-%m-%d %H:%M:%S') end as last_updated_on
+  from customer join (select *, o_orderstatus = 'F' and o_orderpriority like '1%' as urgent from orders)
+    on o_custkey = c_custkey
   group by c_mktsegment, c_name, c_acctbal)"""
 
 

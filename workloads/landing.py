@@ -181,7 +181,7 @@ QUERIES = {
               union all select 'lineitem', 'SUCCESS', count(*), null from lineitem
               union all select 'events', 'SUCCESS', count(*), null from events where ts > {_EVENTS_MARK}
               union all select 'part', 'SKIPPED', 0, 'no_watermark'
-              union all select 'supplier', 'SKIPPED', 0, 'unknown_load_type'
+              union all select 'supplier', 'ERROR', 0, 'unknown_load_type'
               union all select 'customer', 'SKIPPED', 0, 'no_change_columns')
             select 'shop' as database_name, table_name, 'RAW' as layer, status, row_count,
                    {sql_ts(T3)} as inserted_at, error from audit""",

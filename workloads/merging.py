@@ -22,6 +22,7 @@ from workloads.inputs import (
     ORDERS_CUT,
     T1,
     T2,
+    T3,
     Query,
     between,
     sql_ts,
@@ -74,13 +75,13 @@ def stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    """One table per event type and user; some have nothing new."""
+    """One table per event type and user: the state up to a cut, and what came after it."""
     events = table(spark, sf, "events").select(
         F.col("event_type").alias("schema_name"), F.col("user_id").cast("string").alias("table_name"), "ts"
     )
     mark = F.max("ts").alias("insert_timestamp")
     state = between(events, "ts", up_to="2024-01-15 00:00:00").groupBy("schema_name", "table_name").agg(mark)
-    fresh = between(events, "ts", after="2024-01-28 00:00:00").groupBy("schema_name", "table_name").agg(mark)
+    fresh = between(events, "ts", after="2024-01-15 00:00:00").groupBy("schema_name", "table_name").agg(mark)
     return advance_merge_watermark(state, fresh)
 
 
@@ -99,6 +100,51 @@ def merged_table(spark: SparkSession, sf: str) -> DataFrame:
     return staging.read()
 
 
+def merged_by_shuffle(spark: SparkSession, sf: str) -> DataFrame:
+    """``merge_table`` with increments beyond the broadcast limit, into buckets that double."""
+    base = work_dir(spark, "merge_table_shuffled")
+    events = table(spark, sf, "events")
+    staging = StagingTable(
+        spark, f"{base}/staging", ["user_id"], buckets=2, bucket_bytes=4096, max_buckets=8, broadcast_bytes=-1
+    )
+    loads = [(T1, None, EVENTS_CUT), (T2, EVENTS_BACK, "2024-01-25 00:00:00"), (T3, "2024-01-24 23:50:00", None)]
+    for at, after, up_to in loads:
+        _land(between(events, "ts", after, up_to), f"{base}/raw", at)
+        merge_table(spark, f"{base}/raw", staging, ["ts"])
+    return staging.read()
+
+
+def _schema_change(spark: SparkSession, sf: str, limit: int) -> DataFrame:
+    base = work_dir(spark, "merge_schema_change")
+    orders = table(spark, sf, "orders")
+    staging = StagingTable(spark, f"{base}/staging", ["o_orderkey"], broadcast_bytes=limit)
+    later = between(orders, "o_orderdate", after=ORDERS_BACK)
+    staging.merge(stamp(between(orders, "o_orderdate", up_to=ORDERS_CUT), T1))
+    staging.merge(stamp(later.withColumn("urgent", F.col("o_orderpriority") < "3").drop("o_orderpriority"), T2))
+    return staging.read()
+
+
+def schema_change(spark: SparkSession, sf: str) -> DataFrame:
+    """A later load lacks one column and has a new one; merged without a shuffle of the table and with."""
+    parts = [_schema_change(spark, sf, n).withColumn("limit_bytes", F.lit(n).cast("bigint")) for n in (-1, 1 << 30)]
+    return parts[0].unionByName(parts[1])
+
+
+def null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose later load lost the key of pending orders: the rows of the table and the rejects."""
+    base = work_dir(spark, "merge_null_keys")
+    older, later = _order_sides(spark, sf)
+    key = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
+    staging = StagingTable(spark, f"{base}/staging", ["o_orderkey"])
+    staging.merge(stamp(older, T1))
+    later = later.withColumn("o_orderkey", key)
+    staging.merge(stamp(later, T2))
+    kept = staging.read().withColumn("kind", F.lit("merged"))
+    rejects = staging.rejects().withColumn("kind", F.lit("rejected"))
+    rejected = merge_stats(older, later, ["o_orderkey"]).first()["rejected"]
+    return kept.unionByName(rejects).withColumn("rejected", F.lit(rejected).cast("bigint"))
+
+
 def merged_schema(spark: SparkSession, sf: str) -> DataFrame:
     """Outcome of the second of two merges of the batch tables of a schema."""
     base = work_dir(spark, "merge_schema")
@@ -123,6 +169,18 @@ def merged_schema(spark: SparkSession, sf: str) -> DataFrame:
     return merge().drop("error")
 
 
+def schema_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """A config that repeats one table, names another in two spellings, and has a third once."""
+    base = work_dir(spark, "merge_schema_repeats")
+    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    rows = [("orders", "o_orderkey"), (" orders ", "o_orderkey"), ("lines", "l_orderkey"), ("LINES", "l_orderkey"), ("events", "event_id")]
+    config = spark.createDataFrame([("shop", *r, "batch") for r in rows], [*KEY, "partition_col", "kind"])
+    for name, df in {"orders": orders, "lines": lines, "LINES": lines, "events": table(spark, sf, "events")}.items():
+        _land(df, f"{base}/raw/shop/{name}", T1)
+    done = merge_schema(spark, config, "shop", "batch", f"{base}/raw", f"{base}/staging")
+    return done.select("table_name", "status", "updated", "inserted", "rejected")
+
+
 QUERIES = {
     "dedupe_latest": Query(
         newest_event,
@@ -167,7 +225,7 @@ QUERIES = {
         stats,
         f"""select count(*) filter (t.o_orderkey is not null and s.o_orderkey is not null) as updated,
                    count(*) filter (t.o_orderkey is null) as inserted,
-                   count(*) filter (s.o_orderkey is null) as kept
+                   count(*) filter (s.o_orderkey is null) as kept, cast(0 as bigint) as rejected
             from (select o_orderkey from orders where o_orderdate <= {sql_ts(ORDERS_CUT)}) t
             full join (select o_orderkey from orders where o_orderdate > {sql_ts(ORDERS_BACK)}) s
             on t.o_orderkey = s.o_orderkey""",
@@ -175,13 +233,54 @@ QUERIES = {
     "merge_watermark_advance": Query(
         merge_watermark,
         """select event_type as schema_name, cast(user_id as varchar) as table_name, max(ts) as insert_timestamp
-           from events where ts <= timestamp '2024-01-15' or ts > timestamp '2024-01-28' group by 1, 2""",
+           from events group by 1, 2""",
     ),
     "merge_table": Query(
         merged_table,
         f"""select *, case when ts > {sql_ts(EVENTS_BACK)} then {sql_ts(T2)} else {sql_ts(T1)} end as insert_timestamp
             from events qualify row_number() over (partition by user_id order by ts desc) = 1""",
     ),
+    "merge_table_shuffled": Query(
+        merged_by_shuffle,
+        f"""select *, case when ts > timestamp '2024-01-24 23:50:00' then {sql_ts(T3)}
+                           when ts > {sql_ts(EVENTS_BACK)} then {sql_ts(T2)} else {sql_ts(T1)} end as insert_timestamp
+            from events qualify row_number() over (partition by user_id order by ts desc) = 1""",
+    ),
+    "merge_schema_change": Query(
+        schema_change,
+        f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+                   case when o_orderdate <= {sql_ts(ORDERS_BACK)} then o_orderpriority end as o_orderpriority,
+                   case when o_orderdate > {sql_ts(ORDERS_BACK)} then o_orderpriority < '3' end as urgent,
+                   case when o_orderdate > {sql_ts(ORDERS_BACK)} then {sql_ts(T2)} else {sql_ts(T1)} end
+                     as insert_timestamp,
+                   limit_bytes
+            from orders, (values (cast(-1 as bigint)), (1073741824)) as limits (limit_bytes)""",
+    ),
+    "merge_null_keys": Query(
+        null_keys,
+        f"""with later as (
+              select * replace (case when o_orderstatus <> 'P' then o_orderkey end as o_orderkey)
+              from orders where o_orderdate > {sql_ts(ORDERS_BACK)}),
+            lost as (select * from later where o_orderkey is null),
+            rows as (
+              select *, {sql_ts(T2)} as insert_timestamp, 'merged' as kind from later where o_orderkey is not null
+              union all
+              select *, {sql_ts(T1)}, 'merged' from orders
+              where o_orderdate <= {sql_ts(ORDERS_CUT)} and o_orderkey not in
+                (select o_orderkey from later where o_orderkey is not null)
+              union all
+              select *, {sql_ts(T2)}, 'rejected' from lost)
+            select *, (select count(*) from lost) as rejected from rows""",
+    ),
+    "merge_schema_repeats": Query(
+        schema_repeats,
+        """select 'ORDERS' as table_name, 'SUCCESS' as status, cast(0 as bigint) as updated, count(*) as inserted,
+                  cast(0 as bigint) as rejected from orders
+           union all
+           select 'LINES', 'FAILED', null, null, null
+           union all
+           select 'EVENTS', 'SUCCESS', 0, count(*), 0 from events""",
+    ),
     "merge_schema": Query(
         merged_schema,
         f"""with old_o as (select distinct o_orderkey k from orders where o_orderdate <= {sql_ts(ORDERS_CUT)}),

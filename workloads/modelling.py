@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.gold import apply_rules, dim_customer, dim_date, fact_order_line, metrics_monthly
+from tidemark.plans.gold import build_gold
+from tidemark.schemas import EXTRACTION_STATUS
+from tidemark.session import work_dir
+from tidemark.sources.storage import control_rows, publish
 from workloads.inputs import Query, table
 
 
@@ -22,15 +26,35 @@ def dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Pending orders are left out and customers in debt too, so some keys are unknown."""
-    orders = table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P")
-    known = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
-    parts, suppliers = table(spark, sf, "part"), table(spark, sf, "supplier")
-    return fact_order_line(table(spark, sf, "lineitem"), orders, known, parts, suppliers)
+    """Pending orders and customers in debt have other keys, so those of their lines are unknown."""
+    orders = table(spark, sf, "orders").withColumn(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "P", -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    )
+    return fact_order_line(
+        table(spark, sf, "lineitem"), orders, _some_renamed(spark, sf), table(spark, sf, "part"), table(spark, sf, "supplier")
+    )
+
+
+def _some_renamed(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.when(F.col("c_acctbal") < 0, -2 - F.col("c_custkey")).otherwise(F.col("c_custkey"))
+    return table(spark, sf, "customer").withColumn("c_custkey", key)
+
+
+def gated(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold job for two databases, of which the extraction of one is complete."""
+    base = work_dir(spark, "gold_job")
+    status = control_rows(spark, [("shop", "batch", " true "), ("outlet", "batch", "FALSE")], EXTRACTION_STATUS)
+    publish(status, f"{base}/control/extraction_status")
+    names = ("orders", "lineitem", "customer", "nation", "region", "part", "supplier")
+    staged = {name: table(spark, sf, name) for name in names}
+    done = [build_gold(spark, d, staged, f"{base}/control", f"{base}/{d}") for d in ("shop", "outlet")]
+    return done[0].unionByName(done[1])
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics_monthly(table(spark, sf, "orders"), customers(spark, sf))
+    """Orders of customers in debt count for the unknown member."""
+    known = dim_customer(_some_renamed(spark, sf), table(spark, sf, "nation"), table(spark, sf, "region"))
+    return metrics_monthly(table(spark, sf, "orders"), known)
 
 
 _NET = """cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2)))
@@ -49,7 +73,9 @@ QUERIES = {
         customers,
         """select c_custkey as customer_key, c_name as customer_name, c_mktsegment as segment,
                   n_name as nation, r_name as region
-           from customer left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey""",
+           from customer left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey
+           union all
+           select -1, 'unknown', 'unknown', 'unknown', 'unknown'""",
     ),
     "gold_dim_date": Query(
         dates,
@@ -57,7 +83,9 @@ QUERIES = {
                   cast(month(d) as integer) as month, cast(day(d) as integer) as day,
                   cast(quarter(d) as integer) as quarter, cast(isodow(d) as integer) as iso_weekday
            from (select unnest(generate_series(min(l_shipdate), max(l_shipdate), interval 1 day)) as d
-                 from lineitem)""",
+                 from lineitem)
+           union all
+           select -1, null, null, null, null, null, null""",
     ),
     "gold_fact_order_line": Query(
         order_lines,
@@ -67,17 +95,36 @@ QUERIES = {
                    coalesce(cast(strftime(l_shipdate, '%Y%m%d') as integer), -1) as ship_date_key,
                    cast(l_quantity as decimal(18,2)) as quantity, {_NET}
             from lineitem
-            left join (select * from orders where o_orderstatus <> 'P') on l_orderkey = o_orderkey
-            left join (select * from customer where c_acctbal >= 0) on o_custkey = c_custkey
+            left join orders on l_orderkey = o_orderkey and o_orderstatus <> 'P'
+            left join customer on o_custkey = c_custkey and c_acctbal >= 0
             left join part on l_partkey = p_partkey
             left join supplier on l_suppkey = s_suppkey""",
     ),
     "gold_monthly_metrics": Query(
         monthly,
-        """select n_name as nation, c_mktsegment as segment, strftime(o_orderdate, '%Y-%m') as month,
+        """select case when c_custkey is null then 'unknown' else n_name end as nation,
+                  case when c_custkey is null then 'unknown' else c_mktsegment end as segment,
+                  strftime(o_orderdate, '%Y-%m') as month,
                   cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) as revenue, count(*) as orders,
                   cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(*) as mean_order_value
-           from orders join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey
+           from orders left join customer on o_custkey = c_custkey and c_acctbal >= 0
+           left join nation on c_nationkey = n_nationkey
            group by 1, 2, 3""",
     ),
+    "gold_job": Query(
+        gated,
+        """with made (table_name, rows) as (
+             select 'dim_customer', count(*) + 1 from customer
+             union all
+             select 'dim_date', date_diff('day', min(l_shipdate), max(l_shipdate)) + 2 from lineitem
+             union all
+             select 'fact_order_line', count(*) from lineitem
+             union all
+             select 'metrics_monthly', count(*) from (
+               select distinct n_name, c_mktsegment, strftime(o_orderdate, '%Y-%m'), c_custkey is null
+               from orders left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey))
+           select 'shop' as database_name, table_name, 'SUCCESS' as status, rows from made
+           union all
+           select 'outlet', table_name, 'WAITING', null from made""",
+    ),
 }

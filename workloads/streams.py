@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import stamp
 from tidemark.session import work_dir
-from tidemark.sources.raw import write_raw
+from tidemark.functions.timestamps import ntz
+from tidemark.sources.raw import raw_table, read_raw, write_raw
 from tidemark.sources.staging import StagingTable
 from tidemark.streaming.merge import (
     raw_stream,
     read_updates,
+    run_deduped,
     run_to_files,
     run_updates,
     stream_dedupe,
@@ -45,7 +48,7 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
     base = work_dir(spark, "stream_merge")
     staging = StagingTable(spark, f"{base}/staging", ["user_id"])
     for _ in _landings(spark, sf, f"{base}/raw"):
-        rows = raw_stream(spark, f"{base}/raw", _schema(spark, sf))
+        rows = raw_stream(spark, f"{base}/raw")
         stream_merge(rows, staging, f"{base}/checkpoint", ["ts"]).awaitTermination()
     return staging.read()
 
@@ -59,12 +62,31 @@ def deduped(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def deduped_late(spark: SparkSession, sf: str) -> DataFrame:
+    """One event in fifty misses the first load and comes with the third, days late."""
+    use_disk_state(spark)
+    base = work_dir(spark, "stream_dedupe_late")
+    events = table(spark, sf, "events")
+    held = (F.col("event_id") % 50 == 7) & (F.col("ts") <= ntz(LOADS[0][2]))
+    for number, (at, after, up_to) in enumerate(LOADS):
+        load = between(events, "ts", after, up_to)
+        load = load.filter(~held) if number == 0 else load.unionByName(events.filter(held)) if number == 2 else load
+        write_raw(stamp(load, at), f"{base}/raw", at, "append")
+        rows = raw_stream(spark, f"{base}/raw").drop("insert_timestamp")
+        landed = raw_table(read_raw(spark, f"{base}/raw", since=at), None).filter(F.col("insert_timestamp") >= ntz(at))
+        run_deduped(
+            rows, landed.drop("insert_timestamp"), ["event_id"], "ts", f"{base}/out", f"{base}/late", f"{base}/checkpoint"
+        )
+    on_time = spark.read.parquet(f"{base}/out").withColumn("late", F.lit(False))
+    return on_time.unionByName(spark.read.parquet(f"{base}/late").withColumn("late", F.lit(True)))
+
+
 def latest(spark: SparkSession, sf: str) -> DataFrame:
     use_disk_state(spark)
     base = work_dir(spark, "stream_latest")
     for _ in _landings(spark, sf, f"{base}/raw"):
         rows = raw_stream(spark, f"{base}/raw", _schema(spark, sf)).drop("insert_timestamp")
-        run_updates(stream_latest(rows, ["user_id"], ["ts", "event_id"]), f"{base}/out", f"{base}/checkpoint")
+        run_updates(stream_latest(rows, ["user_id"], ["ts", "event_id"]), f"{base}/out", f"{base}/checkpoint", ["user_id"])
     return read_updates(spark, f"{base}/out", ["user_id"])
 
 
@@ -78,5 +100,9 @@ QUERIES = {
             from ({_NEWEST})""",
     ),
     "stream_dedupe": Query(deduped, "select distinct * from events"),
+    "stream_dedupe_late": Query(
+        deduped_late,
+        f"""select distinct *, event_id % 50 = 7 and ts <= {sql_ts(LOADS[1][1])} as late from events""",
+    ),
     "stream_latest": Query(latest, _NEWEST),
 }
