@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: one for each operator, and the pipeline."""
+"""The registered queries of this subpackage: one for each operator, and the pipeline. ORACLES has checks in SQL."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidemark.llm.decontamination import op4_decontamination
+from tidemark.llm.oracles import ORACLES
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.quality_classifier import op3_quality_classifier
 from tidemark.llm.quality_rules import op9_quality_rules
@@ -20,6 +21,7 @@ from tidemark.llm.suffix_dedup import op5_suffix_dedup
 from tidemark.llm.token_files import op8_token_files
 from tidemark.llm.warc import op7_warc
 
+__all__ = ["ORACLES", "QUERIES"]
 ROOT = str(Path(corpus_pipeline.__file__).resolve().parent)
 
 
@@ -48,5 +50,3 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: importable(run) for name, run in QUERIES.items()}
-#: Checks in SQL, for those that DuckDB can express.
-ORACLES: dict[str, str] = {}
