@@ -17,13 +17,13 @@ def _windows(n: int) -> str:
                from (select rid, doc_id, ws, unnest(range(1, len(ws) - {n - 2})) as i from docs))"""
 
 
-def _covered(n: int) -> str:
-    """Words and characters of each text in windows of n words that it has twice."""
-    return f"""c{n} as (
+def _covered(name: str, n: int, repeats: str) -> str:
+    """Words and characters of each text in windows of n words that repeat."""
+    return f"""{name} as (
   select rid, count(*) as words, cast(sum(length(word)) as bigint) as chars
   from words join (
     select distinct rid, unnest(range(i, i + {n})) as i
-    from (select rid, i, count(*) over (partition by rid, g) as k from {_windows(n)}) where k > 1) using (rid, i)
+    from (select rid, i, {repeats} as k from {_windows(n)}) where k > 1) using (rid, i)
   group by rid)"""
 
 
@@ -40,11 +40,11 @@ select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_removed, 0) as n_r
        sha256(coalesce(kept.text, '')) as kept_sha256
 from docs left join kept using (rid)"""
 
-_GRAMS = sorted({WINDOW, *COVERAGE})
 _OVER = " or ".join(f"coalesce(c{n}.chars, 0) > cast({share} as double) * word_chars" for n, share in COVERAGE.items())
 
 QUALITY_RULES = f"""with {_DOCS},
-{", ".join(_covered(n) for n in _GRAMS)},
+{_covered("base", WINDOW, "count(*) over (partition by rid, g)")},
+{", ".join(_covered(f"c{n}", n, "row_number() over (partition by rid, g order by i)") for n in COVERAGE)},
 counts as (select rid, cast(sum(length(word)) as bigint) as word_chars from words group by rid),
 lines as (
   select rid, line, row_number() over (partition by rid, line order by i) as k
@@ -56,14 +56,14 @@ repeats as (
 joined as (
   select doc_id, cast(len(ws) as bigint) as n_words, coalesce(counts.word_chars, 0) as word_chars,
          cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
-         coalesce(repeats.n, 0) as n_dup_lines, coalesce(c{WINDOW}.words, 0) as n_repeat_words,
-         len(ws) < {FEWEST_WORDS} or 100 * coalesce(c{WINDOW}.words, 0) > {MOST_REPEATED} * len(ws) as base_failed,
+         coalesce(repeats.n, 0) as n_dup_lines, coalesce(base.words, 0) as n_repeat_words,
+         len(ws) < {FEWEST_WORDS} or 100 * coalesce(base.words, 0) > {MOST_REPEATED} * len(ws) as base_failed,
          {_OVER.replace("word_chars", "coalesce(counts.word_chars, 0)")}
            or coalesce(repeats.chars, 0) > cast({LINE_COVERAGE} as double) * coalesce(counts.word_chars, 0) as over,
          coalesce(repeats.chars, 0) as dup_line_chars,
          {", ".join(f"coalesce(c{n}.chars, 0) as dup_{n}gram_chars" for n in COVERAGE)}
   from docs left join counts using (rid) left join repeats using (rid)
-       {" ".join(f"left join c{n} using (rid)" for n in _GRAMS)})
+       left join base using (rid) {" ".join(f"left join c{n} using (rid)" for n in COVERAGE)})
 select * exclude (over), not base_failed and not over as kept from joined"""
 
 # Base 32 writes five hexadecimal digits as four characters.

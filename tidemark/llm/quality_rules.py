@@ -3,7 +3,8 @@
 Rolling hashes of word windows of several lengths, computed in numpy over whole Arrow batches of texts;
 a window is repeated if its hash occurs twice in the same text (64-bit hashes of hashes of words, so two
 different windows of one text meet with a chance of 2^-64 per pair). The characters of words in repeated
-windows, and of lines that equal an earlier line, are measured against all characters of words.
+windows, and of lines that equal an earlier line, are measured against all characters of words. A first occurrence
+is no repetition; only the base rule on words counts it.
 
 Defined cases: a null or empty text has no words and fails the base rules; every row of the table gives
 one row, repeated rows too; other columns are ignored; an empty table gives none. No shuffle.
@@ -22,7 +23,7 @@ from tidemark.llm.common import WORDS, Words, covered, mix, pieces, texts, utf8
 #: Characters that count as symbols.
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-#: Largest share of the characters of a text in repeated n-grams of each length.
+#: Largest share of the characters of a text in n-grams of each length that occurred before (as published for web texts).
 COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of characters in lines that repeat an earlier one.
 LINE_COVERAGE = 0.20
@@ -36,8 +37,9 @@ SCHEMA = (
 )
 
 
-def repeated(words: Words, n: int) -> np.ndarray:
-    """Which words lie in a window of n words that occurs twice or more in its text."""
+def repeated(words: Words, n: int, first: bool) -> np.ndarray:
+    """Which words lie in a window of n words that occurs twice or more in its text; with ``first`` also in the first of
+    its places, else in later ones only."""
     ok = np.flatnonzero(words.inside(n))
     if not len(ok):
         return np.zeros(len(words), bool)
@@ -48,7 +50,12 @@ def repeated(words: Words, n: int) -> np.ndarray:
     if not len(twice):
         return np.zeros(len(words), bool)
     at = np.minimum(np.searchsorted(twice, key), len(twice) - 1)
-    return covered(ok[twice[at] == key], n, len(words))
+    found = np.flatnonzero(twice[at] == key)
+    if not first:
+        order = np.argsort(key[found], kind="stable")  # by place within a key
+        own = key[found[order]]
+        found = found[order[1:][own[1:] == own[:-1]]]
+    return covered(ok[found], n, len(words))
 
 
 def repeated_lines(text: str) -> tuple[int, int]:
@@ -81,8 +88,8 @@ def measure(ids: pa.Array, text: pa.Array) -> pa.RecordBatch:
         total = np.concatenate(([0], np.cumsum(weight)))
         return total[words.bounds[1:]] - total[words.bounds[:-1]]
 
-    word_chars, in_windows = per_text(chars), per_text(repeated(words, WINDOW))
-    grams = {k: per_text(chars * repeated(words, k)) for k in COVERAGE}
+    word_chars, in_windows = per_text(chars), per_text(repeated(words, WINDOW, True))
+    grams = {k: per_text(chars * repeated(words, k, False)) for k in COVERAGE}
     failed = (words.counts < FEWEST_WORDS) | (100 * in_windows > MOST_REPEATED * words.counts)
     over = lines[:, 1] > LINE_COVERAGE * word_chars
     for k, share in COVERAGE.items():
