@@ -262,7 +262,7 @@ def test_buckets_double_as_the_table_grows(spark, tmp_path, rows, way):
         data = [(k, n, f"{k * 7919 % 10007}-{n}") for k in range(n * 150, n * 150 + 400)]
         want |= {r[0]: r for r in data}
         table.merge(load(spark, data, n))
-        seen.append(table._current().first()["buckets"])
+        seen.append(table._entries()[1][0]["buckets"])
     assert seen[0] == 2 and seen[-1] >= 8 and seen == sorted(seen)
     assert rows(table.read(), "k", "seq", "v") == sorted(want.values(), key=str)
     table.vacuum(keep=1)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -10,7 +12,10 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and benches; clusters bring their own session."""
+    """A local session for tests and benches; clusters bring their own session. Its shared folder
+    goes with the process."""
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemark")
@@ -20,7 +25,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))
+        .config("spark.checkpoint.dir", folder)
         .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )

@@ -32,7 +32,6 @@ from tidemark.sources.storage import (
     current_version,
     delete,
     publish,
-    read_current,
     version_path,
     versions,
 )
@@ -105,6 +104,7 @@ class StagingTable:
         self._wanted_buckets = buckets
         self._bucket_bytes, self._max_buckets = bucket_bytes, max_buckets
         self._broadcast_bytes = broadcast_bytes
+        self._seen: tuple[int, list[Row]] | None = None
         self._data = f"{self.path}/data"
         self._state = f"{self.path}/current"
 
@@ -112,16 +112,21 @@ class StagingTable:
         # The directory name becomes a partition column when read; tables have columns like "v".
         return f"{self._data}/{MERGE}={number:020d}"
 
-    def _current(self) -> DataFrame:
-        return read_current(self.spark, self._state, _CURRENT)
+    def _entries(self) -> tuple[int, list[Row]]:
+        """The published state and its number. States do not change, so each is read once."""
+        version = current_version(self.spark, self._state) or 0
+        if self._seen is None or self._seen[0] != version:
+            state = self.spark.read.schema(_CURRENT).parquet(version_path(self._state, version)) if version else None
+            self._seen = version, [] if state is None else state.collect()
+        return self._seen
 
     def high_mark(self) -> datetime | None:
         """Stamp up to which RAW rows have been merged."""
-        return self._current().agg(F.max("high_mark")).first()[0]
+        return max((e["high_mark"] for e in self._entries()[1]), default=None)
 
     def read(self) -> DataFrame | None:
         """All rows; None before the first merge."""
-        entries = self._current().collect()
+        _, entries = self._entries()
         return self._rows(entries).drop(BUCKET) if entries else None
 
     def rejects(self) -> DataFrame | None:
@@ -158,8 +163,8 @@ class StagingTable:
         ``null_keys`` is as for ``upsert``; rejected rows are written aside.
         """
         reject = not inserts_null_keys(null_keys)
-        version = (current_version(self.spark, self._state) or 0) + 1
-        entries = self._current().collect()
+        published, entries = self._entries()
+        version = published + 1
         number = version << _ATTEMPT_BITS | random.getrandbits(_ATTEMPT_BITS)
         buckets = self._grown_buckets(entries) if entries else self._first_buckets(rows)
         order = [STAMP, *change_cols]
@@ -330,11 +335,11 @@ class StagingTable:
         """Delete bucket directories that none of the last ``keep`` published states reads;
         returns how many. Readers of older states must be done."""
         newest = current_version(self.spark, self._state) or 0
-        used: set[tuple[int, int]] = set()
-        for number in versions(self.spark, self._state):
-            if newest - keep < number <= newest:
-                state = self.spark.read.schema(_CURRENT).parquet(version_path(self._state, number))
-                used |= {(r["merge"], r["bucket"]) for r in state.collect()}
+        recent = [n for n in versions(self.spark, self._state) if newest - keep < n <= newest]
+        if not recent:
+            return 0
+        states = self.spark.read.schema(_CURRENT).parquet(*[version_path(self._state, n) for n in recent])
+        used = {(r["merge"], r["bucket"]) for r in states.select("merge", "bucket").collect()}
         gone = 0
         for merge in [int(n.split("=")[1]) for n in child_names(self.spark, self._data)]:
             base = self._merge_path(merge)
