@@ -14,7 +14,7 @@ from tidemark.plans import ingest
 from tidemark.plans.ingest import ingest_database, ingest_table
 from tidemark.plans.load_plan import load_plan
 from tidemark.plans.merge import merge_schema, merge_table
-from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG, RUN_STATE
+from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG, MERGE_STATE, RUN_STATE
 from tidemark.sources.control import read_audit
 from tidemark.sources.databases import FileSource
 from tidemark.sources.raw import read_raw, write_raw
@@ -232,6 +232,8 @@ def test_schema_merge_goes_on_after_a_failure(spark, shop, rows):
         ("SHOP", "U", "FAILED", None, None),
     ]
     assert merge_schema(spark, merge, "none", "batch", shop.root, shop.staging).count() == 0
+    merge_schema(spark, merge, "shop", "batch", f"{shop.root}/Files", shop.staging, control=shop.control)
+    assert rows(read_current(spark, f"{shop.control}/merge_state", MERGE_STATE)) == [("SHOP", "T", T1)]
 
 
 def test_a_table_configured_in_two_ways_is_not_merged(spark, shop, rows):

@@ -82,6 +82,15 @@ def test_credentials_are_not_printed():
     assert "secret" not in repr(JdbcSource("mysql", "jdbc:x", {"password": "secret"}))
 
 
+def test_splits_follow_the_range_of_keys():
+    source = JdbcSource("mysql", "jdbc:x", rows_per_split=100)
+    for bounds, splits in (((1, 1000), "10"), ((1, 150), "2"), ((Decimal("0.5"), Decimal("999.5")), "10")):
+        assert record_reads(source, "t", [], None, "id", 2, bounds=bounds)[1]["numPartitions"] == splits
+    day = (datetime(2024, 1, 1), datetime(2025, 1, 1))
+    assert record_reads(source, "t", [], None, "d", 2, bounds=day)[1]["numPartitions"] == "2"
+    assert "numPartitions" not in record_reads(source, "t", [], None, "d", 2, bounds=(None, None))[1]
+
+
 def record_reads(source, *args, bounds=(0, 0)):
     """Options of each read the source asks of a session."""
     asked = []

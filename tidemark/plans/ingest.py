@@ -87,6 +87,7 @@ def ingest_database(
     load_ts: datetime,
     kind: str = "batch",
     workers: int = 4,
+    splits: int | None = None,
 ) -> list[TableResult]:
     """Load every configured table of a database, ``workers`` at a time, each in a scheduler
     pool of its own: under ``spark.scheduler.mode=FAIR`` small tables don't wait for large ones.
@@ -96,7 +97,7 @@ def ingest_database(
     """
     state = read_current(spark, f"{control}/state", RUN_STATE)
     config = load_config(spark, f"{control}/{kind}_config", database)
-    plans = load_plan(config, state, kind).collect()
+    plans = load_plan(config, state, kind, splits=splits).collect()
     attempts = WRITE_ATTEMPTS if kind == "batch" else 1
     errors: list[Exception] = []
 

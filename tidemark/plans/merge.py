@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.cdc import raw_since
-from tidemark.operators.config import KEY, merge_config, one_per_key
+from tidemark.operators.config import KEY, advance_merge_watermark, merge_config, one_per_key
 from tidemark.plans.pools import in_threads, use_pool
+from tidemark.schemas import MERGE_STATE
 from tidemark.sources.control import split_names
 from tidemark.sources.raw import raw_table, read_raw
 from tidemark.sources.staging import MergeCounts, StagingTable
-from tidemark.sources.storage import control_rows
+from tidemark.sources.storage import control_rows, publish, read_current
 
 # Fixed value: tables merged at a time.
 MERGE_WORKERS = 5
@@ -67,6 +68,7 @@ def merge_schema(
     staging_root: str,
     plan: DataFrame | None = None,
     workers: int = MERGE_WORKERS,
+    control: str | None = None,
 ) -> DataFrame:
     """Merge every configured table of a schema; one that fails is reported, the others go on.
 
@@ -75,7 +77,8 @@ def merge_schema(
     two merges must not write one table.
 
     ``raw_root`` is the directory of one source, as RAW paths have it. The load plan, if given,
-    says which change columns order rows of one load, and where each RAW table starts.
+    says which change columns order rows of one load, and where each RAW table starts. With
+    ``control`` the merge state there, one mark per table, is advanced to what was merged.
     """
     tables = one_per_key(merge_config(config, schema, kind), KEY)
     if plan is None:
@@ -102,6 +105,10 @@ def merge_schema(
         except Exception as e:
             return (*name, "FAILED", None, None, None, None, str(e))
 
-    return control_rows(spark, in_threads(spark, run, tables.collect(), workers), MERGE_RESULT)
+    results = control_rows(spark, in_threads(spark, run, tables.collect(), workers), MERGE_RESULT)
+    if control is not None:
+        state = read_current(spark, f"{control}/merge_state", MERGE_STATE)
+        publish(advance_merge_watermark(state, results.filter("status = 'SUCCESS'")), f"{control}/merge_state")
+    return results
 
 

@@ -50,12 +50,15 @@ class FileSource:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Tables of one MySQL or PostgreSQL database. Credentials come in ``options``."""
+    """Tables of one MySQL or PostgreSQL database. Credentials come in ``options``. With
+    ``rows_per_split`` a table with a numeric split column is read in as many parts as its
+    range of keys asks for, and no fewer than planned."""
 
     kind: str
     url: str
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
     fetch_size: int = FETCH_SIZE
+    rows_per_split: int | None = None
 
     def __post_init__(self) -> None:
         if self.kind.lower() not in DIALECTS:
@@ -111,6 +114,8 @@ class JdbcSource:
             col = self.quoted(split_col)
             bounds = f"SELECT MIN({col}) AS min_val, MAX({col}) AS max_val{rows_of}"
             low, high = spark.read.format("jdbc").options(**self.read_options(bounds)).load().first()
+            if self.rows_per_split and isinstance(low, (int, Decimal)):
+                splits = max(splits, math.ceil((high - low + 1) / self.rows_per_split))
             ranged = split_options(split_col, low, high, splits)
         query = f"SELECT *{rows_of}"
         return spark.read.format("jdbc").options(**self.read_options(query, **ranged)).load()

@@ -14,7 +14,9 @@ from tidemark.operators.upsert import merge_inserts, merge_matched, merge_stats,
 from tidemark.plans.merge import merge_schema, merge_table
 from tidemark.session import work_dir
 from tidemark.sources.raw import write_raw
+from tidemark.schemas import MERGE_STATE
 from tidemark.sources.staging import StagingTable
+from tidemark.sources.storage import read_current
 from workloads.inputs import (
     EVENTS_BACK,
     EVENTS_CUT,
@@ -169,6 +171,23 @@ def merged_schema(spark: SparkSession, sf: str) -> DataFrame:
     return merge().drop("error")
 
 
+def merge_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The merge state after two merges; the second has news of one table only."""
+    base = work_dir(spark, "merge_state")
+    orders, events = table(spark, sf, "orders"), table(spark, sf, "events")
+    config = spark.createDataFrame(
+        [("shop", "orders", "o_orderkey", "batch"), ("shop", "events", "user_id", "batch")],
+        [*KEY, "partition_col", "kind"],
+    )
+    _land(between(orders, "o_orderdate", up_to=ORDERS_CUT), f"{base}/raw/shop/orders", T1)
+    _land(events, f"{base}/raw/shop/events", T1)
+    for late in (False, True):
+        if late:
+            _land(between(orders, "o_orderdate", after=ORDERS_BACK), f"{base}/raw/shop/orders", T2)
+        merge_schema(spark, config, "shop", "batch", f"{base}/raw", f"{base}/staging", control=f"{base}/control")
+    return read_current(spark, f"{base}/control/merge_state", MERGE_STATE)
+
+
 def schema_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """A config that repeats one table, names another in two spellings, and has a third once."""
     base = work_dir(spark, "merge_schema_repeats")
@@ -272,6 +291,14 @@ QUERIES = {
               select *, {sql_ts(T2)}, 'rejected' from lost)
             select *, (select count(*) from lost) as rejected from rows""",
     ),
+    "merge_state": Query(
+        merge_state,
+        f"""select 'SHOP' as schema_name, 'ORDERS' as table_name,
+                   case when count(*) filter (o_orderdate > {sql_ts(ORDERS_BACK)}) > 0 then {sql_ts(T2)}
+                        else {sql_ts(T1)} end as insert_timestamp from orders
+            union all
+            select 'SHOP', 'EVENTS', {sql_ts(T1)} from events having count(*) > 0""",
+    ),
     "merge_schema_repeats": Query(
         schema_repeats,
         """select 'ORDERS' as table_name, 'SUCCESS' as status, cast(0 as bigint) as updated, count(*) as inserted,
