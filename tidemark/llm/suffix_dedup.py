@@ -71,13 +71,11 @@ def anchors(offsets: np.ndarray, data: np.ndarray, width: int, gram: int) -> tup
         part = data[b : min(end, b + BLOCK + width - 1)]
         if len(part) < width:
             break
-        prefix = BYTES.prefix(part.astype(np.uint64))
-        m = len(part) - gram + 1
-        at = np.arange(m)
-        h = BYTES.between(prefix, at, at + gram)
+        h = BYTES.windows(part.astype(np.uint64), gram)
+        at = np.arange(len(h), dtype=np.uint64)
         # the high bits order the anchors, the low ones are the place: of equal ones the first counts
         low = np.uint64((1 << 21) - 1)
-        least = sliding_least((h & ~low) | at.astype(np.uint64), width - gram + 1)[:BLOCK]
+        least = sliding_least((h & ~low) | at, width - gram + 1)[:BLOCK]
         starts = np.flatnonzero(valid[b - lo : b - lo + len(least)])
         if not len(starts):
             continue

@@ -107,16 +107,16 @@ class Induction:
         """Scans suffixes that start with ``symbol``: queues the suffixes left of them that are of the wanted type, and
         returns those among them that start with the same symbol (if ``same``), which come next."""
         left = at - 1
-        before = self.text[np.maximum(left, 0)]
+        before = self.text.take(np.maximum(left, 0))
         ok = left >= 0
         if self.rising:
             ok &= before >= symbol if same else before > symbol
         else:
             ok &= before <= symbol if same else before < symbol
         picked = np.flatnonzero(ok)
-        symbols = before[picked]
+        symbols = before.take(picked)
         order = np.argsort(symbols, kind="stable")
-        picked, symbols = picked[order], symbols[order]
+        picked, symbols = picked.take(order), symbols.take(order)
         edges = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1]))) if len(picked) else np.zeros(0, np.int64)
         heads = symbols[edges].astype(np.int64)
         if self.common and len(common):
@@ -133,7 +133,7 @@ class Induction:
             self.carry[heads] = np.where(lasts + 1 < len(common), tail[np.minimum(lasts + 1, len(common) - 1)], self.cap)
         else:
             value = np.zeros(len(picked), np.uint16)
-        own = left[picked], value
+        own = left.take(picked), value
         here = np.zeros(0, np.int64), np.zeros(0, np.uint16)
         for head, a, b in zip(heads.tolist(), edges.tolist(), [*edges[1:].tolist(), len(picked)]):
             if head == symbol:
@@ -143,19 +143,31 @@ class Induction:
         return here
 
 
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Length of the common prefix of suffixes, up to ``cap``; ``text`` has ``cap`` more symbols at its end."""
-    out = np.zeros(len(a), np.uint16)
-    active = np.arange(len(a))
-    depth = 0
-    windows = np.lib.stride_tricks.sliding_window_view(text, 8)
+def words_at(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """For every place the next symbols packed into 64 bits, the first one lowest, and how many they are."""
+    bits = 8 * text.itemsize
+    out = text.astype(np.uint64)
+    for k in range(6 - bits.bit_length() + 1):  # 1, 2, 4 symbols become twice as many
+        ahead = 1 << k
+        out[:-ahead] |= out[ahead:] << np.uint64(bits * ahead)
+    return out, 64 // bits
+
+
+def common_prefix(words: tuple[np.ndarray, int], a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Length of the common prefix of suffixes, up to ``cap``. ``words`` are those of a text with ``cap`` more symbols."""
+    packed, each = words
+    out = np.full(len(a), cap, np.uint16)
+    active, x, y, depth = np.arange(len(a)), a, b, 0
     while depth < cap and len(active):
-        wide = min(8, cap - depth)
-        equal = windows[a[active] + depth][:, :wide] == windows[b[active] + depth][:, :wide]
-        n = np.where(equal.all(1), wide, np.argmin(equal, 1))
-        out[active] += n.astype(np.uint16)
-        active = active[n == wide]
-        depth += wide
+        differ = packed.take(x + depth) ^ packed.take(y + depth)
+        ends = np.flatnonzero(differ)
+        if len(ends):
+            own = differ.take(ends)
+            lowest = np.bitwise_count((own & (~own + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+            out[active.take(ends)] = np.minimum(depth + lowest * each // 64, cap)
+            more = np.flatnonzero(differ == 0)
+            active, x, y = active.take(more), x.take(more), y.take(more)
+        depth += each
     return out
 
 
@@ -165,6 +177,7 @@ class SuffixSorter:
     def __init__(self, text: np.ndarray, cap: int, limit: int = 256 << 20, folder: str | None = None) -> None:
         self.n, self.cap, self.limit, self.folder = len(text), cap, limit, folder
         self.text = np.concatenate((text, np.zeros(cap + 8, text.dtype)))
+        self.words = words_at(self.text)
         body = text.astype(np.int16) if text.dtype == np.uint8 else text.astype(np.int32)
         step = np.sign(np.diff(body, append=-1))  # after the end there is less than any symbol
         # equal neighbours have the type of the next change
@@ -197,7 +210,7 @@ class SuffixSorter:
             a, b = edges[symbol], edges[symbol + 1]
             if a < b:
                 own = common[a:b].copy()
-                own[0] = 0 if last is None or not carried else common_prefix(self.text, np.array([last]), lms[a : a + 1], self.cap)[0]
+                own[0] = 0 if last is None or not carried else common_prefix(self.words, np.array([last]), lms[a : a + 1], self.cap)[0]
                 scan.step(symbol, lms[a:b], own, False)
         self.spilled += queue.files
         queue = DiskQueue(self.limit, self.folder)
@@ -217,7 +230,7 @@ class SuffixSorter:
                 down = np.empty(len(at), np.uint16)
                 down[1:] = own[:0:-1]
                 at = at[::-1]
-                down[0] = 0 if last is None or not carried else common_prefix(self.text, np.array([last]), at[:1], self.cap)[0]
+                down[0] = 0 if last is None or not carried else common_prefix(self.words, np.array([last]), at[:1], self.cap)[0]
                 yield at, down
                 scan.step(symbol, at, down, False)
         self.spilled += queue.files + kept.files
@@ -238,40 +251,44 @@ class SuffixSorter:
         length = end[order] - order + 1
         # Substrings of over ``cap`` symbols are told apart by that many.
         same = np.minimum(length[:-1], self.cap) == np.minimum(length[1:], self.cap)
-        same[same] = common_prefix(self.text, a[same], b[same], self.cap) >= np.minimum(length[:-1], self.cap)[same]
+        same[same] = common_prefix(self.words, a[same], b[same], self.cap) >= np.minimum(length[:-1], self.cap)[same]
         name = np.empty(self.n + 1, np.int64)
         name[order] = np.cumsum(np.concatenate(([0], ~same)))
         rank = name[lms]
-        rank = self.double(rank, int(rank.max()) + 1)
-        out = lms[np.argsort(rank, kind="stable")]
+        rank = self.double(rank)
+        out = lms[np.argsort(rank)]
         common = np.zeros(len(out), np.uint16)
-        common[1:] = common_prefix(self.text, out[:-1], out[1:], self.cap)
+        common[1:] = common_prefix(self.words, out[:-1], out[1:], self.cap)
         return out, common
 
-    def double(self, rank: np.ndarray, names: int) -> np.ndarray:
-        """Ranks of the suffixes of a string of names. A name stands for two symbols at least, so ``cap`` names do."""
+    def double(self, rank: np.ndarray) -> np.ndarray:
+        """Ranks of the suffixes of a string of names, told apart by twice as many names each time. A name stands for two
+        symbols at least. Ranks are places in the order, so equal ones are re-ranked among themselves only."""
         n, ahead = len(rank), 1
-        while names < n and ahead < self.cap:
-            counts = np.bincount(rank, minlength=names)
-            active = np.flatnonzero(counts[rank] > 1)
-            if not len(active):
-                break
-            following = np.where(active + ahead < n, rank[np.minimum(active + ahead, n - 1)] + 1, 0)
-            order = np.lexsort((following, rank[active]))
-            r, f = rank[active][order], following[order]
-            new = np.concatenate(([True], (r[1:] != r[:-1]) | (f[1:] != f[:-1])))
-            # dense ranks: names before this one, and new ones made of it
-            extra = np.concatenate(([False], (r[1:] == r[:-1]) & (f[1:] != f[:-1])))
-            made = np.bincount(r, extra, minlength=names).astype(np.int64)
-            shift = np.cumsum(made) - made
-            inside = np.cumsum(extra)
-            begin = np.concatenate(([True], r[1:] != r[:-1]))
-            inside = inside - np.maximum.accumulate(np.where(begin, inside, 0))
-            rank = rank + shift[rank]
-            rank[active[order]] += inside
-            names += int(extra.sum())
+        order = np.argsort(rank, kind="stable")
+        own = rank.take(order)
+        new = np.concatenate(([True], own[1:] != own[:-1]))
+        first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        rank = np.empty(n, np.int64)
+        rank[order] = first
+        alone = new & np.append(new[1:], True)
+        active = order.take(np.flatnonzero(~alone))
+        while len(active) and 2 * ahead < self.cap:
+            at = rank.take(active)
+            then = active + ahead
+            following = np.where(then < n, rank.take(np.minimum(then, n - 1)) + 1, 0)
+            key = at.astype(np.uint64) << np.uint64(32) | following.astype(np.uint64)
+            order = np.argsort(key)
+            key, active = key.take(order), active.take(order)
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            group = key >> np.uint64(32)
+            begin = np.concatenate(([True], group[1:] != group[:-1]))
+            k = np.arange(len(key))
+            inside = np.maximum.accumulate(np.where(new, k, 0)) - np.maximum.accumulate(np.where(begin, k, 0))
+            rank[active] = group.astype(np.int64) + inside
+            alone = new & np.append(new[1:], True)
+            active = active.take(np.flatnonzero(~alone))
             ahead *= 2
-            del new
         return rank
 
     def neighbours(self):
