@@ -40,7 +40,11 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def by_chunk(df: DataFrame, total: int, chunk_bytes: int = 4 << 20) -> DataFrame:
+#: Text in a chunk of documents.
+CHUNK_BYTES = 4 << 20
+
+
+def by_chunk(df: DataFrame, total: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Rows dealt by a hash of doc_id into chunks of about chunk_bytes; one copy of each exchange is
     shared by all uses of the frame in a plan."""
     n = tasks(df.sparkSession)

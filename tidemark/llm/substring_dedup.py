@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORDS, WORDS2, Words, by_chunk, covered, pieces, sorted_rows, spans, tasks, text_bytes, texts, utf8
+from tidemark.llm.common import CHUNK_BYTES, WORDS, WORDS2, Words, by_chunk, covered, pieces, sorted_rows, spans, tasks, text_bytes, texts, utf8
 from tidemark.llm.hashsets import pack, ranges, runs, unpack
 
 SENT = "range int, chunk int, kind int, data binary, more binary"
@@ -101,8 +101,9 @@ def ranks_of(notes: pa.Table, sent: list[tuple[int, int, int]], n: int, kind: in
 
 
 def dedup(
-    docs: DataFrame, window: int = 20, block: int = 10, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, window: int = 20, block: int = 10, chunk_bytes: int = CHUNK_BYTES,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """doc_id, n_words, n_removed, text (kept words joined by one space), removed (spans of words) of every row."""
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it starts")
@@ -112,7 +113,7 @@ def dedup(
     count = max(n, math.ceil(total / RANGE_BYTES))
     # So many bits that few different probes meet: these would only add windows to compare.
     bits = min(64, max(24, 2 * max(1, total // 4).bit_length() - 6))
-    chunks = by_chunk(rows, total)
+    chunks = by_chunk(rows, total, chunk_bytes)
 
     def send(table: pa.Table) -> pa.Table:
         chunk = Chunk(table)

@@ -12,7 +12,8 @@
 4. The answers, one bit for each string, return to the chunks, where the covered bytes are removed.
 
 Chunks are dealt by a hash of doc_id and their exchange is shared by the steps. A hash or passage travels once a chunk,
-however often it occurs there, and no pairs are made.
+however often it occurs there, and no pairs are made. So a passage in very many documents costs its shard one entry a
+chunk; larger chunks (``chunk_bytes``) make fewer of them.
 
 Texts are UTF-8 bytes; strings never cross documents, and may overlap. Defined cases: a null text is empty; texts shorter than
 ``width`` stay as they are; repeated rows are documents of their own, so both are removed; a null doc_id is kept; an
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import BYTES, by_chunk, covered, sorted_rows, spans, tasks, text_bytes, texts, utf8
+from tidemark.llm.common import BYTES, CHUNK_BYTES, by_chunk, covered, sorted_rows, spans, tasks, text_bytes, texts, utf8
 from tidemark.llm.hashsets import pack, ranges, runs, unpack
 from tidemark.llm.simhash import signed
 from tidemark.llm.suffix_sort import repeated_prefixes
@@ -134,7 +135,7 @@ def repeated(passages: list[bytes], many: list[bool], width: int, memory: int, f
 
 def suffix_dedup(
     docs: DataFrame, width: int = WIDTH, gram: int = GRAM, memory: int = 64 << 20,
-    whole_characters: bool = False, id_col: str = "doc_id", text_col: str = "text",
+    whole_characters: bool = False, chunk_bytes: int = CHUNK_BYTES, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, text_hash (xxhash64 of the text), n_bytes, n_removed, n_spans, kept (bytes), removed (byte spans) of every row.
 
@@ -143,7 +144,7 @@ def suffix_dedup(
     total = text_bytes(rows)
     n = tasks(docs.sparkSession)
     shards, count = max(n, math.ceil(total / (4 << 20))), max(n, math.ceil(total / (64 << 20)))
-    chunks = by_chunk(rows, total)
+    chunks = by_chunk(rows, total, chunk_bytes)
     scratch = work_dir(docs.sparkSession, "suffix-queues")
 
     def send(table: pa.Table) -> pa.Table:

@@ -42,19 +42,17 @@ class DiskQueue:
             self._spill(max(self.sizes, key=self.sizes.__getitem__))
 
     def _spill(self, symbol: int) -> None:
+        """One more file with all arrays of a symbol that are in memory; those come after its earlier files."""
         fs, root = self._fs()
-        kept = []
         fs.create_dir(root)
-        for part in self.parts[symbol]:
-            if isinstance(part[0], str):
-                kept.append(part)
-                continue
-            name = f"{root}/{uuid.uuid4().hex}.part"
-            with fs.open_output_stream(name) as f:
-                f.write(part[0].astype("<i8").tobytes() + part[1].tobytes())
-            kept.append((name, len(part[0]), part[1].dtype))
-            self.files += 1
-        self.parts[symbol] = kept
+        files = [p for p in self.parts[symbol] if isinstance(p[0], str)]
+        arrays = [p for p in self.parts[symbol] if not isinstance(p[0], str)]
+        name = f"{root}/{uuid.uuid4().hex}.part"
+        with fs.open_output_stream(name) as f:
+            f.write(np.concatenate([p for p, _ in arrays]).astype("<i8").tobytes())
+            f.write(np.concatenate([c for _, c in arrays]).astype("<u2").tobytes())
+        self.files += 1
+        self.parts[symbol] = [*files, (name, sum(len(p) for p, _ in arrays))]
         self.held -= self.sizes[symbol]
         self.sizes[symbol] = 0
 
@@ -64,11 +62,11 @@ class DiskQueue:
         for part in self.parts.pop(symbol, []):
             if isinstance(part[0], str):
                 fs, _ = self._fs()
-                name, n, kind = part
+                name, n = part
                 with fs.open_input_file(name) as f:
                     raw = f.read()
                 fs.delete_file(name)
-                part = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, kind, n, 8 * n)
+                part = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<u2", n, 8 * n)
             out.append(part)
         self.held -= self.sizes.pop(symbol, 0)
         if not out:
