@@ -216,6 +216,19 @@ def test_decontamination_finds_changed_slots(spark):
     assert got[1, 70][1] == 0 and got[2, 70][1] == 3 and out.count() == len(got)
 
 
+def decontaminated(spark, docs, items):
+    """(doc_id, item_id) of the texts and items, each numbered from 0."""
+    frame = lambda rows, key: spark.createDataFrame(list(enumerate(rows)), f"{key} long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+
+
+def test_decontamination_finds_windows_of_few_words_verbatim(spark):
+    sums, long = "What is 12 + 5 * 3 - 4 ?", "add up the numbers 1 2 3 4 5 6 7 8 9 10 and tell us the sum"
+    docs = ["We ask you this. " + sums + " The answer is 23.", "We ask you this. What is 12 + 6 * 3 - 4 ?", " ".join(map(str, range(1, 40))),
+            "now " + long + " please", "We ask you this. What is 9 + 9 * 9 - 9 ?"]
+    assert decontaminated(spark, docs, [sums, long, "1 2 3 4 5 6 7 8 9 10", "add " + " ".join(map(str, range(1, 20)))]) == {(0, 0), (3, 1)}
+
+
 def test_decontamination_of_given_tables(spark, given):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     clean = lambda t: [re.sub(r"[^\w]", "", w).lower() for w in t.split()]

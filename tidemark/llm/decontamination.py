@@ -7,8 +7,10 @@ and an item are lined up by their shift, and the values in the slots are compare
 stand for one value of the document throughout. A document is reported with an item if lined-up, consistent windows cover at
 least ``least_words`` words, or the whole item if that is shorter.
 
-Windows with fewer than ``literal`` ordinary words are not probed, as they would match any table of numbers; items
-without any other window can't be found. Items shorter than a window are one window of their own length.
+Windows with fewer than ``literal`` ordinary words would match any table of numbers by their template; they are joined
+by their words as they are, without case and punctuation, so they match verbatim only. At least one matched
+word must have a letter: items of numbers and signs alone are found nowhere. Items shorter than a window are one window of
+their own length.
 
 Spark chooses how to join by the size of the items' windows; nothing is broadcast by hint.
 
@@ -19,6 +21,8 @@ or item_id is kept as it is; an empty table gives no rows; other columns are ign
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,27 +57,55 @@ def is_slot(word: Column) -> Column:
     return word.rlike("[\\x01-\\x03]")
 
 
+def plain(text: Column) -> Column:
+    """The words of a text as they are, without case and punctuation (but for that between two digits), one for each of
+    ``words_of``."""
+    out = F.trim(F.regexp_replace(text, _SPACE, " "))
+    out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\x20]+(?![0-9])|(?<![0-9])[^\\p{L}\\p{N}\\x20]+", "")
+    return F.split(F.lower(out), " ", -1)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _windows(each: Column, n: int, both: Callable[[Column, Column], Column]) -> Column:
+    """For every window of n elements what ``both`` makes of them, from windows of half the size."""
+
+    def ahead(a: Column, b: Column, k: int) -> Column:
+        return F.zip_with(a, F.slice(b, F.lit(k + 1), F.size(b)), both)
+
+    def grown(one: Column, k: int) -> Column:
+        if k == 1:
+            return one
+        even = _let(grown(one, k // 2), lambda half: ahead(half, half, k // 2))
+        return ahead(even, one, k - 1) if k % 2 else even
+
+    whole = _let(each, lambda one: grown(one, n))
+    return F.slice(whole, F.lit(1), F.greatest(F.size(each) - (n - 1), F.lit(0)))
+
+
 def window_hashes(words: Column, n: int) -> Column:
     """A hash of every window of n words."""
-    last = F.size(words) - n
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))
-
-
-def item_windows(items: DataFrame, window: int, literal: int) -> DataFrame:
-    """(item_id, item_words, n, item_at, h): the windows of each item that can be probed."""
-    words = F.col("item_template")
-    n = F.least(F.size(words), F.lit(window))
-    at = F.explode(F.sequence(F.lit(0), F.size(words) - n))
-    rows = (
-        items.filter(F.trim(F.regexp_replace("item_text", _SPACE, " ")) != "")
-        .withColumn("item_template", template(F.col("item_text")))
-        .select("item_id", "item_text", "item_template", n.alias("n"), at.alias("item_at"))
-    )
-    own = F.slice("item_template", F.col("item_at") + 1, F.col("n"))
-    ordinary = F.size(F.filter(own, lambda w: ~is_slot(w) & (w != "")))
-    return rows.filter(ordinary >= F.least(F.lit(literal), F.col("n"))).select(
-        "item_id", "item_text", F.size("item_template").alias("item_size"), "n", "item_at", own.alias("own")
+    return _windows(F.transform(words, lambda w: F.xxhash64(w)), n, lambda a, b: F.xxhash64(a, b))
+
+
+def ordinary_words(words: Column, n: int) -> Column:
+    """How many ordinary words are in every window of n words."""
+    return _windows(F.transform(words, lambda w: F.when(is_slot(w) | (w == ""), 0).otherwise(1)), n, lambda a, b: a + b)
+
+
+def window_keys(words: Column, exact: Column, n: int, literal: int) -> Column:
+    """The key of every window of n words: a hash of the template, or of the words as they are if fewer than
+    ``literal`` of the template are ordinary."""
+    few = lambda count: count < min(literal, n)
+    return _let(
+        ordinary_words(words, n),
+        lambda count: F.when(
+            F.exists(count, few),
+            _let(window_hashes(exact, n), lambda e: F.transform(window_hashes(words, n), lambda h, i: F.when(few(F.get(count, i)), F.get(e, i)).otherwise(h))),
+        ).otherwise(window_hashes(words, n)),
     )
 
 
@@ -83,16 +115,17 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, item_words, matched_words, slots, changed_slots) of each document that holds an item."""
     named = items.select(items[item_col].alias("item_id"), items[item_text_col].cast("string").alias("item_text")).distinct()
-    probes = saved(item_windows(named, window, literal), "item-windows")
-    sizes = [r[0] for r in probes.select("n").distinct().collect()]  # window sizes, at most ``window``
+    read = named.withColumns({"w": template(F.col("item_text")), "e": plain(F.col("item_text"))})
+    read = read.filter(F.exists("e", lambda w: w.rlike("\\p{L}")))
+    read = saved(read.select("item_id", F.size("w").alias("item_size"), F.least(F.size("w"), F.lit(window)).alias("n"), "w", "e"), "item-words")
+    sizes = sorted(r[0] for r in read.select("n").distinct().collect())  # window sizes, at most ``window``
     rows = texts(docs, id_col, text_col).filter("text is not null")
     hits = None
-    for n in sorted(sizes):
-        own = probes.filter(F.col("n") == n).select(
-            F.xxhash64(*[F.get("own", F.lit(k)) for k in range(n)]).alias("h"), "item_id", "item_size", "n", "item_at"
-        )
-        hashed = rows.select("doc_id", F.xxhash64("text").alias("t"), template(F.col("text")).alias("w"))
-        probed = hashed.select("doc_id", "t", F.posexplode(window_hashes(F.col("w"), n)).alias("at", "h"))
+    for n in sizes:
+        keys = window_keys(F.col("w"), F.col("e"), n, literal)
+        own = read.filter(F.col("n") == n).select("item_id", "item_size", "n", F.posexplode(keys).alias("item_at", "h"))
+        hashed = rows.select("doc_id", F.xxhash64("text").alias("t"), template(F.col("text")).alias("w"), plain(F.col("text")).alias("e"))
+        probed = hashed.select("doc_id", "t", F.posexplode(keys).alias("at", "h"))
         found = probed.join(own, "h").select("doc_id", "t", "item_id", "item_size", "n", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
@@ -122,7 +155,9 @@ def contaminated(
     both = both.withColumn("pairs", slots)
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["asked"]))) == F.size("pairs")
     changed = F.size(F.filter("pairs", lambda p: p["asked"] != p["found"]))
-    judged = both.filter(consistent).filter(F.size("inside") >= F.least(F.lit(least_words), F.col("item_size")))
+    # windows of numbers alone are a table of numbers
+    worded = F.exists("inside", lambda i: F.get(plain(F.col("item_text")), i).rlike("\\p{L}"))
+    judged = both.filter(consistent).filter(worded).filter(F.size("inside") >= F.least(F.lit(least_words), F.col("item_size")))
     best = judged.groupBy("doc_id", "item_id").agg(
         F.max(F.struct(F.size("inside").alias("matched_words"), "item_size", F.size("pairs").alias("slots"), (-changed).alias("changed"))).alias("b")
     )
