@@ -229,6 +229,15 @@ def test_decontamination_finds_windows_of_few_words_verbatim(spark):
     assert decontaminated(spark, docs, [sums, long, "1 2 3 4 5 6 7 8 9 10", "add " + " ".join(map(str, range(1, 20)))]) == {(0, 0), (3, 1)}
 
 
+def test_decontamination_counts_the_words_of_windows_with_gaps(spark):
+    item = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(45)]
+    ninth = ["other" if i % 9 == 8 else w for i, w in enumerate(item)]
+    apart = [*item[:8], *["other"] * 4, *item[12:20], *["other"] * 25]
+    one = [*item[:8], *["other"] * 37]
+    docs = [" ".join(["begin", *d, "end"]) for d in (ninth, apart, one)]
+    assert decontaminated(spark, docs, [" ".join(item)]) == {(0, 0), (1, 0)}
+
+
 def test_decontamination_of_given_tables(spark, given):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     clean = lambda t: [re.sub(r"[^\w]", "", w).lower() for w in t.split()]

@@ -109,6 +109,12 @@ def window_keys(words: Column, exact: Column, n: int, literal: int) -> Column:
     )
 
 
+def cover(places: str, n: Column) -> Column:
+    """How many words windows of n words at the sorted places cover."""
+    to_next = F.zip_with(places, F.slice(places, F.lit(2), F.size(places)), lambda p, q: F.least(n, q - p))  # least skips null
+    return F.aggregate(to_next, F.lit(0), lambda a, b: a + b)
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, literal: int = LITERAL,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -132,7 +138,7 @@ def contaminated(
         hits = docs.sparkSession.createDataFrame([], HITS)
     # One row for each alignment; the places in an item are no more than its words.
     lined = hits.groupBy("doc_id", "t", "item_id", "item_size", "n", "shift").agg(F.sort_array(F.collect_set("item_at")).alias("places"))
-    lined = saved(lined.filter((F.size("places") + F.col("n") - 1) >= F.least(F.lit(least_words), F.col("item_size"))), "lined-up")
+    lined = saved(lined.filter(cover("places", F.col("n")) >= F.least(F.lit(least_words), F.col("item_size"))), "lined-up")
     raw = rows.select(F.col("doc_id").alias("raw_id"), F.xxhash64("text").alias("raw_t"), "text")
     same = F.col("raw_id").eqNullSafe(F.col("doc_id")) & (F.col("raw_t") == F.col("t"))
     raw = raw.join(lined.select("doc_id", "t").distinct(), same, "left_semi").distinct()
