@@ -238,6 +238,19 @@ def test_decontamination_counts_the_words_of_windows_with_gaps(spark):
     assert decontaminated(spark, docs, [" ".join(item)]) == {(0, 0), (1, 0)}
 
 
+def test_decontamination_drops_windows_in_dispute_only(spark):
+    short = "a train goes at 60 km an hour and a car goes at 60 km an hour which is the first there"
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    words[5] = words[50] = "60"
+    altered = [*words[:50], "75", *words[51:]]
+    every = " ".join("61" if w == "60" and i == 4 else "62" if w == "60" else w for i, w in enumerate(short.split()))
+    docs = [short[:20] + short[20:].replace("60", "**60**"), " ".join(altered), every, short.replace("60", "75.")]
+    # of 2, which gives 60 two values, the windows without 60 are left, which cover 16 words
+    assert decontaminated(spark, docs, [short, " ".join(words)]) == {(0, 0), (1, 1), (2, 0), (3, 0)}
+    brief = "he paid 60 for a hat and 60 for a coat"
+    assert decontaminated(spark, [brief.replace("a hat and 60", "a hat and **60**"), brief.replace("and 60", "and 70")], [brief]) == {(0, 0)}
+
+
 def test_decontamination_of_given_tables(spark, given):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     clean = lambda t: [re.sub(r"[^\w]", "", w).lower() for w in t.split()]

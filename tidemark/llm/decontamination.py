@@ -3,9 +3,10 @@
 Built from DataFrame functions only. Texts and items become templates: numbers, names (capitalised words within a
 sentence) and units after numbers turn into typed placeholders, other words lose punctuation and case. Windows of
 ``window`` template words, taken at every word of every document, meet the items' windows in a hash join. Hits of a document
-and an item are lined up by their shift, and the values in the slots are compared: a value of the item must
-stand for one value of the document throughout. A document is reported with an item if lined-up, consistent windows cover at
-least ``least_words`` words, or the whole item if that is shorter.
+and an item are lined up by their shift, and the values in the slots are compared without case and
+punctuation: a value of the item must stand for one value of the document throughout. Windows with a slot in dispute are left
+out, unless all their slots are as in the item. A document is reported with an item if lined-up, consistent windows cover
+at least ``least_words`` words, or the whole item if that is shorter.
 
 Windows with fewer than ``literal`` ordinary words would match any table of numbers by their template; they are joined
 by their words as they are, without case and punctuation, so they match verbatim only. At least one matched
@@ -48,7 +49,8 @@ def template(text: Column) -> Column:
     out = F.trim(F.regexp_replace(text, _SPACE, " "))
     out = F.regexp_replace(out, "(?<=[\\p{L}\\p{N},;]\\x20)\\p{Lu}\\p{Ll}+", NAME)
     out = F.regexp_replace(out, "[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
-    out = F.regexp_replace(out, f"(?i)(?<=\\x01\\x20?)(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", UNIT)
+    mark = "[^\\p{L}\\p{N}\\x02\\x20]{0,4}"
+    out = F.regexp_replace(out, f"(?i)(\\x01{mark}\\x20?{mark})(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", f"$1{UNIT}")
     out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\x01-\\x03\\x20]+", "")
     return F.split(F.lower(out), " ", -1)
 
@@ -115,6 +117,26 @@ def cover(places: str, n: Column) -> Column:
     return F.aggregate(to_next, F.lit(0), lambda a, b: a + b)
 
 
+def judged_slots(lined: DataFrame) -> DataFrame:
+    """Alignments with the places whose windows are consistent, the item's words ``inside`` them and the ``pairs`` of
+    values in their slots. A value is in dispute if it stands for several values; windows that hold a slot of such a
+    value go, but for windows without any changed slot."""
+    n, shift = F.col("n"), F.col("shift")
+    holds = lambda p, i: (p <= i) & (i < p + n)
+    inside = F.filter(F.sequence(F.lit(0), F.col("item_size") - 1), lambda i: F.exists("places", lambda p: holds(p, i)))
+    value = lambda i: F.struct(F.get("iw", i).alias("asked"), F.get("dw", i + shift).alias("found"))
+    slots = F.filter("inside", lambda i: is_slot(F.get("it", i)))
+    pairs = F.array_distinct(F.transform("at", value))
+    asked = F.array_distinct(F.transform("pairs", lambda p: p["asked"]))
+    disputed = F.filter(asked, lambda v: F.size(F.filter("pairs", lambda p: p["asked"] == v)) > 1)
+    changed = F.filter("at", lambda i: F.get("iw", i) != F.get("dw", i + shift))
+    doubtful = _let(disputed, lambda values: F.filter("at", lambda i: F.array_contains(values, F.get("iw", i))))
+    any_in = lambda p, places: F.exists(places, lambda i: holds(p, i))
+    kept = _let(changed, lambda c: _let(doubtful, lambda d: F.filter("places", lambda p: ~(any_in(p, c) & any_in(p, d)))))
+    out = lined.withColumn("inside", inside).withColumn("at", slots).withColumn("pairs", pairs).withColumn("places", kept)
+    return out.withColumn("inside", inside).withColumn("at", slots).withColumn("pairs", pairs)
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, literal: int = LITERAL,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -146,24 +168,14 @@ def contaminated(
     asked = named.select(F.col("item_id").alias("named_id"), "item_text")
     both = both.join(asked, F.col("item_id").eqNullSafe(F.col("named_id")))
     both = both.withColumns({
-        "dw": words_of(F.col("text")), "iw": words_of(F.col("item_text")), "it": template(F.col("item_text")),
+        "dw": plain(F.col("text")), "iw": plain(F.col("item_text")), "it": template(F.col("item_text")),
     })
-    # The item's words that lie in a matched window, and the values of their slots on either side.
-    near = lambda i: F.exists("places", lambda p: (p <= i) & (i < p + F.col("n")))
-    inside = F.filter(F.sequence(F.lit(0), F.col("item_size") - 1), near)
-    both = both.withColumn("inside", inside)
-    slots = F.array_distinct(
-        F.transform(
-            F.filter("inside", lambda i: is_slot(F.get("it", i))),
-            lambda i: F.struct(F.get("iw", i).alias("asked"), F.get("dw", i + F.col("shift")).alias("found")),
-        )
-    )
-    both = both.withColumn("pairs", slots)
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["asked"]))) == F.size("pairs")
-    changed = F.size(F.filter("pairs", lambda p: p["asked"] != p["found"]))
+    # Written, so filters are not pushed below and the columns not worked out once more for them.
+    both = saved(judged_slots(both).select("doc_id", "item_id", "item_size", "n", "places", "inside", "pairs", "iw"), "judged")
+    both = both.filter(cover("places", F.col("n")) >= F.least(F.lit(least_words), F.col("item_size")))
     # windows of numbers alone are a table of numbers
-    worded = F.exists("inside", lambda i: F.get(plain(F.col("item_text")), i).rlike("\\p{L}"))
-    judged = both.filter(consistent).filter(worded).filter(F.size("inside") >= F.least(F.lit(least_words), F.col("item_size")))
+    judged = both.filter(F.exists("inside", lambda i: F.get("iw", i).rlike("\\p{L}")))
+    changed = F.size(F.filter("pairs", lambda p: p["asked"] != p["found"]))
     best = judged.groupBy("doc_id", "item_id").agg(
         F.max(F.struct(F.size("inside").alias("matched_words"), "item_size", F.size("pairs").alias("slots"), (-changed).alias("changed"))).alias("b")
     )
