@@ -251,6 +251,13 @@ def test_decontamination_drops_windows_in_dispute_only(spark):
     assert decontaminated(spark, [brief.replace("a hat and 60", "a hat and **60**"), brief.replace("and 60", "and 70")], [brief]) == {(0, 0)}
 
 
+def test_decontamination_reads_sentence_starts_as_words_and_names(spark):
+    asks, tom = "What is the capital city of the state?", "Tom has 5 apples. Tom buys 3 more in the shop. Ann eats one. How many are left for Tom"
+    docs = ["Geography quiz\n" + asks, "quiz: what is the capital city of the state", tom.replace("Tom", "Bob").replace("5", "7"),
+            "A label\n" + tom, tom.replace("Tom", "Bob", 1).replace("Ann eats", "Eve sells"), "Label Lima is the town"]
+    assert decontaminated(spark, docs, [asks, tom, "What is the town"]) == {(0, 0), (1, 0), (2, 1), (3, 1)}
+
+
 def test_decontamination_of_given_tables(spark, given):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     clean = lambda t: [re.sub(r"[^\w]", "", w).lower() for w in t.split()]

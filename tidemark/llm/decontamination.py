@@ -1,7 +1,8 @@
 """Benchmark decontamination: questions found in documents, also where their numbers, names or units were changed.
 
 Built from DataFrame functions only. Texts and items become templates: numbers, names (capitalised words within a
-sentence) and units after numbers turn into typed placeholders, other words lose punctuation and case. Windows of
+sentence) and units after numbers turn into typed placeholders, other words lose punctuation and case. Where a sentence
+may start, a capitalised word is read both as a word and as a name, so what is before an item does not matter. Windows of
 ``window`` template words, taken at every word of every document, meet the items' windows in a hash join. Hits of a document
 and an item are lined up by their shift, and the values in the slots are compared without case and
 punctuation: a value of the item must stand for one value of the document throughout. Windows with a slot in dispute are left
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import saved, texts
 
 WINDOW, LEAST_WORDS, LITERAL = 8, 13, 3
-# Placeholders, and the unit words that follow a number.
+# Placeholders, the marks around what may be a name, and the unit words that follow a number.
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
+OPEN, CLOSE = "\x04", "\x05"
 UNITS = (
     "mm|cm|m|km|mi|miles?|ft|feet|inch(?:es)?|yards?|mg|g|kg|lbs?|pounds?|ounces?|tons?|ml|l|lit(?:er|re)s?|gallons?|ms|s|sec(?:onds?)?|"
     "min(?:utes?)?|h|hours?|days?|weeks?|months?|years?|met(?:er|re)s?|grams?|kmh|mph|dollars?|euros?|cents?|percent|degrees?"
@@ -40,19 +42,30 @@ HITS = "doc_id long, t long, item_id long, item_size int, n int, item_at int, sh
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
-def words_of(text: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(text, _SPACE, " ")), " ", -1)
-
-
 def template(text: Column) -> Column:
-    """The words of a text as a template, one for each of ``words_of``."""
+    """The words of a text as a template, one for each word between blanks. A capitalised word where a sentence may
+    start is a word or a name, and stands between marks."""
     out = F.trim(F.regexp_replace(text, _SPACE, " "))
     out = F.regexp_replace(out, "(?<=[\\p{L}\\p{N},;]\\x20)\\p{Lu}\\p{Ll}+", NAME)
+    out = F.regexp_replace(out, "(?<![\\p{L}\\p{N}\\x02])(\\p{Lu}\\p{Ll}+)", f"{OPEN}$1{CLOSE}")
     out = F.regexp_replace(out, "[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
-    mark = "[^\\p{L}\\p{N}\\x02\\x20]{0,4}"
+    mark = "[^\\p{L}\\p{N}\\x02\\x04\\x05\\x20]{0,4}"
     out = F.regexp_replace(out, f"(?i)(\\x01{mark}\\x20?{mark})(?:{UNITS})(?![\\p{{L}}\\p{{N}}])", f"$1{UNIT}")
-    out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\x01-\\x03\\x20]+", "")
-    return F.split(F.lower(out), " ", -1)
+    return F.lower(F.regexp_replace(out, "[^\\p{L}\\p{N}\\x01-\\x05\\x20]+", ""))
+
+
+def as_words(marked: Column) -> Column:
+    """The reading of a template, or of a word of it, with words where a sentence may start."""
+    return F.translate(marked, OPEN + CLOSE, "")
+
+
+def as_names(marked: Column) -> Column:
+    """The reading with names where a sentence may start; it does not depend on what is before a word."""
+    return F.regexp_replace(marked, f"{OPEN}[^{CLOSE}]*{CLOSE}", NAME)
+
+
+def split(line: Column) -> Column:
+    return F.split(line, " ", -1)
 
 
 def is_slot(word: Column) -> Column:
@@ -60,8 +73,8 @@ def is_slot(word: Column) -> Column:
 
 
 def plain(text: Column) -> Column:
-    """The words of a text as they are, without case and punctuation (but for that between two digits), one for each of
-    ``words_of``."""
+    """The words of a text as they are, without case and punctuation (but for that between two digits), one for each word
+    between blanks."""
     out = F.trim(F.regexp_replace(text, _SPACE, " "))
     out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\x20]+(?![0-9])|(?<![0-9])[^\\p{L}\\p{N}\\x20]+", "")
     return F.split(F.lower(out), " ", -1)
@@ -95,20 +108,45 @@ def window_hashes(words: Column, n: int) -> Column:
 
 def ordinary_words(words: Column, n: int) -> Column:
     """How many ordinary words are in every window of n words."""
-    return _windows(F.transform(words, lambda w: F.when(is_slot(w) | (w == ""), 0).otherwise(1)), n, lambda a, b: a + b)
+    return _windows(F.transform(words, lambda w: F.when(is_ordinary(w), 1).otherwise(0)), n, lambda a, b: a + b)
 
 
-def window_keys(words: Column, exact: Column, n: int, literal: int) -> Column:
-    """The key of every window of n words: a hash of the template, or of the words as they are if fewer than
-    ``literal`` of the template are ordinary."""
+def is_ordinary(word: Column) -> Column:
+    return ~is_slot(word) & (word != "")
+
+
+def document_keys(rows: DataFrame, n: int, literal: int) -> DataFrame:
+    """(doc_id, t, at, h): the keys of every window of n words of the documents. The reading with names counts; it gives way
+    to the words as they are where it has fewer than ``literal`` ordinary words. The reading with words comes on top."""
+    lines = rows.select("doc_id", F.xxhash64("text").alias("t"), template(F.col("text")).alias("m"), plain(F.col("text")).alias("e"))
+    lines = lines.select("doc_id", "t", split(as_words(F.col("m"))).alias("w"), split(as_names(F.col("m"))).alias("v"), "e")
+    hashed = lines.select(
+        "doc_id", "t", window_hashes(F.col("w"), n).alias("hw"), window_hashes(F.col("v"), n).alias("hv"),
+        ordinary_words(F.col("v"), n).alias("count"), "e",
+    )
     few = lambda count: count < min(literal, n)
-    return _let(
-        ordinary_words(words, n),
-        lambda count: F.when(
-            F.exists(count, few),
-            _let(window_hashes(exact, n), lambda e: F.transform(window_hashes(words, n), lambda h, i: F.when(few(F.get(count, i)), F.get(e, i)).otherwise(h))),
-        ).otherwise(window_hashes(words, n)),
-    )
+    hashed = hashed.withColumn("he", F.when(F.exists("count", few), window_hashes(F.col("e"), n)))
+    key = lambda i, h: F.struct(i.alias("at"), h.alias("h"))
+    names = F.transform("hv", lambda h, i: key(i, F.when(few(F.get("count", i)), F.get("he", i)).otherwise(h)))
+    words = F.filter(F.transform("hw", lambda h, i: F.when(h != F.get("hv", i), key(i, h))), lambda k: k.isNotNull())
+    return hashed.select("doc_id", "t", F.inline(F.concat(names, words)))
+
+
+def item_keys(read: DataFrame, n: int, literal: int) -> DataFrame:
+    """(item_id, item_size, n, item_at, h): the keys of the windows of the items of this window size, for each reading of
+    a window that has enough ordinary words, and for its words as they are if the one with names has not."""
+    rows = read.filter(F.col("n") == n).withColumn("item_at", F.explode(F.sequence(F.lit(0), F.col("item_size") - n)))
+    own = lambda c: F.slice(c, F.col("item_at") + 1, F.lit(n))
+    rows = rows.select("item_id", "item_size", "n", "item_at", own("m").alias("m"), own("e").alias("e"))
+    longer = lambda all_, word: F.transform(all_, lambda one: F.concat(one, F.array(word)))
+    readings = F.aggregate(
+        "m", F.array(F.array().cast("array<string>")),
+        lambda all_, m: F.when(m.contains(OPEN), F.concat(longer(all_, as_words(m)), longer(all_, as_names(m)))).otherwise(longer(all_, m)),
+    )
+    enough = lambda one: F.size(F.filter(one, is_ordinary)) >= min(literal, n)
+    exact = F.when(enough(F.element_at("r", -1)), F.array().cast("array<array<string>>")).otherwise(F.array("e"))
+    rows = rows.withColumn("r", readings).withColumn("words", F.explode(F.concat(F.filter("r", enough), exact)))
+    return rows.select("item_id", "item_size", "n", "item_at", F.get(window_hashes(F.col("words"), n), F.lit(0)).alias("h"))
 
 
 def cover(places: str, n: Column) -> Column:
@@ -117,24 +155,30 @@ def cover(places: str, n: Column) -> Column:
     return F.aggregate(to_next, F.lit(0), lambda a, b: a + b)
 
 
-def judged_slots(lined: DataFrame) -> DataFrame:
+def judged_slots(lined: DataFrame, window: int) -> DataFrame:
     """Alignments with the places whose windows are consistent, the item's words ``inside`` them and the ``pairs`` of
     values in their slots. A value is in dispute if it stands for several values; windows that hold a slot of such a
-    value go, but for windows without any changed slot."""
+    value go, but for windows without any changed slot. What may be a name is a word where it is as in the item, and always in
+    an item shorter than a window: 'What is the capital?' is not 'Paris is the capital.'"""
     n, shift = F.col("n"), F.col("shift")
     holds = lambda p, i: (p <= i) & (i < p + n)
     inside = F.filter(F.sequence(F.lit(0), F.col("item_size") - 1), lambda i: F.exists("places", lambda p: holds(p, i)))
     value = lambda i: F.struct(F.get("iw", i).alias("asked"), F.get("dw", i + shift).alias("found"))
-    slots = F.filter("inside", lambda i: is_slot(F.get("it", i)))
+    slots = F.filter("inside", lambda i: F.get("im", i).rlike("[\\x01-\\x04]"))
     pairs = F.array_distinct(F.transform("at", value))
     asked = F.array_distinct(F.transform("pairs", lambda p: p["asked"]))
     disputed = F.filter(asked, lambda v: F.size(F.filter("pairs", lambda p: p["asked"] == v)) > 1)
-    changed = F.filter("at", lambda i: F.get("iw", i) != F.get("dw", i + shift))
-    doubtful = _let(disputed, lambda values: F.filter("at", lambda i: F.array_contains(values, F.get("iw", i))))
+    differs = lambda i: F.get("iw", i) != F.get("dw", i + shift)
+    maybe = lambda i: F.get("im", i).contains(OPEN)
+    changed = F.filter("at", differs)
+    in_dispute = lambda i, values: F.array_contains(values, F.get("iw", i)) & (differs(i) | ~maybe(i))
+    renamed = lambda i: differs(i) & maybe(i) & (F.col("item_size") < window)
+    doubtful = _let(disputed, lambda values: F.filter("at", lambda i: in_dispute(i, values) | renamed(i)))
     any_in = lambda p, places: F.exists(places, lambda i: holds(p, i))
     kept = _let(changed, lambda c: _let(doubtful, lambda d: F.filter("places", lambda p: ~(any_in(p, c) & any_in(p, d)))))
     out = lined.withColumn("inside", inside).withColumn("at", slots).withColumn("pairs", pairs).withColumn("places", kept)
-    return out.withColumn("inside", inside).withColumn("at", slots).withColumn("pairs", pairs)
+    at = F.filter(slots, lambda i: differs(i) | ~maybe(i))
+    return out.withColumn("inside", inside).withColumn("at", at).withColumn("pairs", pairs)
 
 
 def contaminated(
@@ -143,17 +187,14 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, item_words, matched_words, slots, changed_slots) of each document that holds an item."""
     named = items.select(items[item_col].alias("item_id"), items[item_text_col].cast("string").alias("item_text")).distinct()
-    read = named.withColumns({"w": template(F.col("item_text")), "e": plain(F.col("item_text"))})
+    read = named.withColumns({"m": split(template(F.col("item_text"))), "e": plain(F.col("item_text"))})
     read = read.filter(F.exists("e", lambda w: w.rlike("\\p{L}")))
-    read = saved(read.select("item_id", F.size("w").alias("item_size"), F.least(F.size("w"), F.lit(window)).alias("n"), "w", "e"), "item-words")
+    read = saved(read.select("item_id", F.size("m").alias("item_size"), F.least(F.size("m"), F.lit(window)).alias("n"), "m", "e"), "item-words")
     sizes = sorted(r[0] for r in read.select("n").distinct().collect())  # window sizes, at most ``window``
     rows = texts(docs, id_col, text_col).filter("text is not null")
     hits = None
     for n in sizes:
-        keys = window_keys(F.col("w"), F.col("e"), n, literal)
-        own = read.filter(F.col("n") == n).select("item_id", "item_size", "n", F.posexplode(keys).alias("item_at", "h"))
-        hashed = rows.select("doc_id", F.xxhash64("text").alias("t"), template(F.col("text")).alias("w"), plain(F.col("text")).alias("e"))
-        probed = hashed.select("doc_id", "t", F.posexplode(keys).alias("at", "h"))
+        own, probed = item_keys(read, n, literal), document_keys(rows, n, literal)
         found = probed.join(own, "h").select("doc_id", "t", "item_id", "item_size", "n", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
@@ -168,10 +209,10 @@ def contaminated(
     asked = named.select(F.col("item_id").alias("named_id"), "item_text")
     both = both.join(asked, F.col("item_id").eqNullSafe(F.col("named_id")))
     both = both.withColumns({
-        "dw": plain(F.col("text")), "iw": plain(F.col("item_text")), "it": template(F.col("item_text")),
+        "dw": plain(F.col("text")), "iw": plain(F.col("item_text")), "im": split(template(F.col("item_text"))),
     })
     # Written, so filters are not pushed below and the columns not worked out once more for them.
-    both = saved(judged_slots(both).select("doc_id", "item_id", "item_size", "n", "places", "inside", "pairs", "iw"), "judged")
+    both = saved(judged_slots(both, window).select("doc_id", "item_id", "item_size", "n", "places", "inside", "pairs", "iw"), "judged")
     both = both.filter(cover("places", F.col("n")) >= F.least(F.lit(least_words), F.col("item_size")))
     # windows of numbers alone are a table of numbers
     judged = both.filter(F.exists("inside", lambda i: F.get("iw", i).rlike("\\p{L}")))
