@@ -127,7 +127,9 @@ def document_keys(rows: DataFrame, n: int, literal: int) -> DataFrame:
     few = lambda count: count < min(literal, n)
     hashed = hashed.withColumn("he", F.when(F.exists("count", few), window_hashes(F.col("e"), n)))
     key = lambda i, h: F.struct(i.alias("at"), h.alias("h"))
-    names = F.transform("hv", lambda h, i: key(i, F.when(few(F.get("count", i)), F.get("he", i)).otherwise(h)))
+    # bound outside the lambda, in which it would be worked out for every window
+    exact = lambda he: F.transform("hv", lambda h, i: key(i, F.when(few(F.get("count", i)), F.get(he, i)).otherwise(h)))
+    names = _let(F.col("he"), exact)
     words = F.filter(F.transform("hw", lambda h, i: F.when(h != F.get("hv", i), key(i, h))), lambda k: k.isNotNull())
     return hashed.select("doc_id", "t", F.inline(F.concat(names, words)))
 
