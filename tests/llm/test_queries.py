@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, db, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
 
 
 @pytest.fixture(scope="module")

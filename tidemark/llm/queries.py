@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from tidemark.llm.byte_bpe import op11_byte_bpe
 from tidemark.llm.decontamination import op4_decontamination
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.packing import op6_packing
@@ -47,6 +48,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_shard": op10_shard,
+    "op11_byte_bpe": op11_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: importable(run) for name, run in QUERIES.items()}
