@@ -9,8 +9,10 @@ range is as large as its share of the distinct words. Hashes only choose the ran
 To decode, the distinct ids of a block are joined with the token-byte table (one row an id), and the bytes that come
 back are put together by the places of the ids. The table has one row for each id of a vocabulary, whatever the corpus.
 
-Blocks are written to the shared folder once, so their numbers hold when an executor is lost. A block has about
-``block_bytes`` of text; a longer text is a block of its own, cut and put together in numpy in parts.
+Blocks are shuffled by their key once, and both the words and the assembly read that one exchange, as do the two users of the
+answers. The key of a block is a digest of what is in it, so a block that were dealt otherwise when computed anew would find no
+answers and raise an error. A block has about ``block_bytes`` of text; a longer text is a block of its own, cut and put
+together in numpy in parts.
 
 Defined cases: null texts count as empty, which have no ids and decode to nothing; every row gives one row, whatever its
 doc_id (null and repeated ones too); strings that look like special tokens are ordinary text; decoding gives the bytes of
@@ -36,19 +38,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import saved, tasks, text_bytes, texts, utf8
+from tidemark.llm.common import saved, text_bytes, texts, utf8
 from tidemark.llm.pretokens import gathered, matches, numbered, slices
 
 BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 200_000
 #: Text whose distinct words one range meets, and matches that are put together at a time.
-RANGE_BYTES, SLICE = 256 << 20, 1 << 20
+RANGE_BYTES, SLICE = 96 << 20, 1 << 20
 BLOCKS = pa.schema([
     ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("places", pa.binary()),
     ("packs", pa.list_(pa.struct([("part", pa.int32()), ("numbers", pa.binary()), ("words", pa.binary())]))),
 ])
-ANSWERS = pa.schema([
-    ("block", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary()), ("used", pa.list_(pa.int32())),
-])
+SENT = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("numbers", pa.binary()), ("words", pa.binary())])
+ANSWERS = pa.schema([("block", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
+USED = pa.schema([("block", pa.int64()), ("used", pa.list_(pa.int32()))])
 DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 ID_BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("ids", pa.list_(pa.int32()))])
 _ZSTD, _WIDE = pa.Codec("zstd", 3), 65535
@@ -102,7 +104,7 @@ def token_bytes(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def _block(number: int, ids: pa.Array, text: pa.Array, parts: int) -> dict:
+def _block(task: int, ids: pa.Array, text: pa.Array, parts: int) -> dict:
     found, ends = matches(text)
     index, words = numbered(found)
     # common words get small numbers; rare ones lie next to similar ones
@@ -118,16 +120,19 @@ def _block(number: int, ids: pa.Array, text: pa.Array, parts: int) -> dict:
         own = dealt[lo:hi]
         packs.append({"part": int(part[own[0]]), "numbers": pack(np.diff(own, prepend=0)), "words": pack_words(words.take(pa.array(own)))})
     counts = np.diff(ends, prepend=0)
-    return {"block": number, "doc_ids": ids.to_pylist(), "counts": counts, "places": pack(number_of[index]), "packs": packs}
+    places, key = pack(number_of[index]), xxhash.xxh3_64(str((task, ids.to_pylist())))
+    for part in (places, counts.tobytes(), *(p["words"] for p in packs)):
+        key.update(part)
+    return {"block": key.intdigest() - (1 << 63), "doc_ids": ids.to_pylist(), "counts": counts, "places": places, "packs": packs}
 
 
 def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(block, doc_ids, counts, places, packs): the documents of each block, how many matches each has, the numbers of the words at
-    all places, and the distinct words by range with their numbers. A written table."""
-    parts = max(tasks(docs.sparkSession), math.ceil(text_bytes(docs) / range_bytes))
+    all places, and the distinct words by range with their numbers."""
+    parts = max(1, math.ceil(text_bytes(docs) / range_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size, rows = TaskContext.get().partitionId() << 32, [], 0, 0
+        held, size, rows, n = [], 0, 0, 0
         for batch in batches:
             offsets, _ = utf8(batch["text"])
             lo = 0
@@ -138,23 +143,38 @@ def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES, range_bytes: int
                     held.append(batch.slice(lo, hi - lo))
                     size, rows = size + int(offsets[hi] - offsets[lo]), rows + hi - lo
                 if hi < len(batch) or size >= block_bytes or rows >= BLOCK_ROWS:
-                    yield pa.RecordBatch.from_pylist([_one(number, held)], BLOCKS)
-                    number, held, size, rows = number + 1, [], 0, 0
+                    yield _one(n, held)
+                    held, size, rows, n = [], 0, 0, n + 1
                 lo = hi
         if held:
-            yield pa.RecordBatch.from_pylist([_one(number, held)], BLOCKS)
+            yield _one(n, held)
 
-    def _one(number: int, held: list[pa.RecordBatch]) -> dict:
+    def _one(n: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
-        text = table["text"].cast(pa.large_string())
-        return _block(number, table["doc_id"].combine_chunks(), text, parts)
+        task = TaskContext.get().partitionId() << 32 | n
+        row = _block(task, table["doc_id"].combine_chunks(), table["text"].cast(pa.large_string()), parts)
+        return pa.RecordBatch.from_pylist([row], BLOCKS)
+
+    return docs.mapInArrow(run, from_arrow_schema(BLOCKS)).repartition("block")
+
+
+def sent_by(blocks: DataFrame) -> DataFrame:
+    """(part, block, numbers, words): what the blocks send to the ranges. Takes all columns, so that the exchange below is the one
+    which the assembly reads."""
 
-    return saved(docs.mapInArrow(run, from_arrow_schema(BLOCKS)), "bpe-blocks")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                packs = pa.RecordBatch.from_struct_array(batch["packs"].slice(k, 1).flatten())
+                own = pa.array([batch["block"][k].as_py()] * len(packs), pa.int64())
+                yield pa.RecordBatch.from_arrays([packs["part"], own, packs["numbers"], packs["words"]], schema=SENT)
+
+    return blocks.mapInArrow(run, from_arrow_schema(SENT))
 
 
 def answers_of(blocks: DataFrame, path: str) -> DataFrame:
-    """(block, numbers, sizes, ids, used): for the words that a block sent to a range, their ids, and which ids are used. Each range
-    encodes each of its distinct words once. A written table."""
+    """(block, numbers, sizes, ids): the ids of the words that a block sent to a range, one word after another. Each range encodes each
+    of its distinct words once."""
 
     def run(table: pa.Table) -> pa.Table:
         sent = [unpack_words(w) for w in table["words"].to_pylist()]
@@ -167,17 +187,26 @@ def answers_of(blocks: DataFrame, path: str) -> DataFrame:
         for block, numbers, own in zip(table["block"].to_pylist(), table["numbers"].to_pylist(), sent):
             asked = index[at : at + len(own)]
             ids, _ = gathered(asked, bounds, flat)
-            rows.append({"block": block, "numbers": numbers, "sizes": pack(size[asked]), "ids": pack(ids), "used": np.unique(ids)})
+            rows.append({"block": block, "numbers": numbers, "sizes": pack(size[asked]), "ids": pack(ids)})
             at += len(own)
         return pa.Table.from_pylist(rows, ANSWERS)
 
-    sent = blocks.select("block", F.inline("packs")).repartition(tasks(blocks.sparkSession), "part")
-    return saved(sent.groupBy("part").applyInArrow(run, from_arrow_schema(ANSWERS)), "bpe-answers")
+    return sent_by(blocks).groupBy("part").applyInArrow(run, from_arrow_schema(ANSWERS)).repartition("block")
+
+
+def used_by(answers: DataFrame) -> DataFrame:
+    """(block, id): the distinct ids in the answers to each block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        used = np.unique(np.concatenate([unpack(ids) for ids in table["ids"].to_pylist()]))
+        return pa.Table.from_pylist([{"block": table["block"][0].as_py(), "used": used}], USED)
+
+    return answers.groupBy("block").applyInArrow(run, from_arrow_schema(USED)).select("block", F.explode("used").alias("id"))
 
 
 def with_tokens(owners: DataFrame, used: DataFrame, table: DataFrame) -> DataFrame:
     """The owners, each with the rows of the token-byte table that it uses: no more than the vocabulary has."""
-    found = used.distinct().join(table, "id").groupBy("block").agg(F.collect_list(F.struct("id", "token")).alias("tokens"))
+    found = used.join(table, "id").groupBy("block").agg(F.collect_list(F.struct("id", "token")).alias("tokens"))
     return owners.join(found, "block", "left")
 
 
@@ -254,7 +283,7 @@ def _digests(block: pa.Table, answers: pa.Table) -> pa.Table:
 
 
 def _met(blocks: DataFrame, answers: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: StructType | str) -> DataFrame:
-    return blocks.groupBy("block").cogroup(answers.drop("used").groupBy("block")).applyInArrow(run, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -266,7 +295,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         ids = pa.array([x.astype(np.int32) for _, x in found], pa.list_(pa.int32()))
         return pa.table({"doc_id": pa.array([name for name, _ in found], pa.int64()), "ids": ids})
 
-    return _met(blocks.drop("packs"), answers_of(blocks, path), run, "doc_id long, ids array<int>")
+    return _met(blocks, answers_of(blocks, path), run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, table: DataFrame, ids_col: str = "ids", rows: int = 1000) -> DataFrame:
@@ -294,15 +323,14 @@ def decode(encoded: DataFrame, table: DataFrame, ids_col: str = "ids", rows: int
 
     given = encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), encoded[ids_col].cast("array<int>").alias("ids"))
     owners = saved(given.mapInArrow(run, from_arrow_schema(ID_BLOCKS)), "bpe-ids")
-    return with_tokens(owners, owners.select("block", F.explode("ids").alias("id")), table).mapInArrow(back, "doc_id long, bytes binary")
+    return with_tokens(owners, owners.select("block", F.explode(F.array_distinct("ids")).alias("id")), table).mapInArrow(back, "doc_id long, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: texts encoded, and the ids decoded again."""
     blocks = blocks_of(texts(docs, id_col, text_col), block_bytes, range_bytes)
     answers = answers_of(blocks, path)
-    used = answers.select("block", F.explode("used").alias("id"))
-    return _met(with_tokens(blocks.drop("packs"), used, token_bytes(docs.sparkSession, path)), answers, _digests, from_arrow_schema(DIGESTS))
+    return _met(with_tokens(blocks, used_by(answers), token_bytes(docs.sparkSession, path)), answers, _digests, from_arrow_schema(DIGESTS))
 
 
 def default_ranks() -> str:
