@@ -13,6 +13,7 @@ from tidemark.llm.byte_bpe import op11_byte_bpe
 from tidemark.llm.decontamination import op4_decontamination
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.packing import op6_packing
+from tidemark.llm.periodic_runs import op12_periodic_runs
 from tidemark.llm.quality_classifier import op3_quality_classifier
 from tidemark.llm.quality_rules import op9_quality_rules
 from tidemark.llm.sharding import op10_shard
@@ -49,6 +50,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_shard": op10_shard,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: importable(run) for name, run in QUERIES.items()}
