@@ -116,6 +116,13 @@ def numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
+def listed(values: pa.Array) -> list[bytes]:
+    """The values of a binary array."""
+    offsets, data = utf8(values)
+    raw, at = data[offsets[0] : offsets[-1]].tobytes(), (offsets - offsets[0]).tolist()
+    return [raw[a:b] for a, b in zip(at, at[1:])]
+
+
 def gathered(index: np.ndarray, bounds: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(flat[bounds[i]:bounds[i + 1]] for every i of the index, one after another; where each ends)."""
     start = bounds.take(index)

@@ -1,99 +1,69 @@
-"""Token ids of texts by a public tokenizer, with a cache of short pieces.
+"""Token ids of texts by a public tokenizer, with a cache of pre-tokens.
 
-A byte-level tokenizer first cuts a text by a pattern into letters, digits, other visible characters, and white space, each
-with one space before it at most, and merges within these parts only. So the ids of a text are those of its parts, one
-after another, and the library's merge model is asked once per distinct part as long as that is cached.
-
-Texts of Latin letters, digits, ASCII marks, single spaces and single line ends, about whose kinds there is no doubt, are cut in
-numpy over a whole batch, and their parts are looked up by a 64-bit hash and length. Other texts are cut by a pattern
-where that is safe, which is between visible characters and white space. Texts in which the two notions of
-white space differ, or that hold the text of a special token, are given to the library whole.
+A byte-level tokenizer first cuts a text by a pattern and merges within the matches only (``pretokens``). So the ids of a text
+are those of its matches, one after another, and the library's merge model is asked once per distinct match as long as
+that is cached. Matches are told apart by their bytes. Texts that hold the text of a special token, and all texts of
+tokenizers of another kind, are given to the library whole.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from array import array
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import BYTES, utf8
+from tidemark.llm.pretokens import gathered, listed, matches, numbered
 
-#: Characters about whose kind all versions of the character tables agree. An apostrophe may start a part of letters.
-LETTER, DIGIT, MARK = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9", r"!-&(-/:-@\[-`{-~"
-SURE = "|".join(f" ?[{own}]++(?![^\\s{a}{b}])" for own, a, b in ((LETTER, DIGIT, MARK), (MARK, LETTER, DIGIT), (DIGIT, LETTER, MARK)))
-PIECE = re.compile(rf"{SURE}| ?\S+|\s+(?!\S)|\s+")
-PLAIN = re.compile(rf" ?(?:[{LETTER}]+|[{MARK}]+|[{DIGIT}]+)")
-BREAK = re.compile(r"(?<=\S) (?=\S)")
-#: White space to Python's pattern only.
-ODD = re.compile("[\x1c-\x1f]")
 #: How byte-level vocabularies spell bytes that are no visible characters.
 VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 SPELLING = {b: chr(b) for b in VISIBLE} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*VISIBLE}))}
-#: Kinds of bytes; of two-byte letters both bytes count as letters.
-SPACE, LINE, WORD, NUMBER, SIGN, UNSURE = range(6)
-KIND = np.full(256, UNSURE, np.uint8)
-for _kind, _chars in ((SPACE, b" "), (LINE, b"\n"), (NUMBER, b"0123456789")):
-    KIND[list(_chars)] = _kind
-for _code in range(33, 127):
-    KIND[_code] = NUMBER if 48 <= _code < 58 else WORD if chr(_code).isalpha() else UNSURE if _code == 39 else SIGN
-KIND[0xC3] = WORD
-#: Second bytes of the letters from U+00C0 to U+00FF, which the signs for times and divided by are not.
-SECOND = np.zeros(256, bool)
-SECOND[0x80:0xC0] = True
-SECOND[[0x97, 0xB7]] = False
 _loaded: dict[str, "Encoder"] = {}
 
 
-class Table:
-    """Numbers of 64-bit keys in an open hash table, read and written many keys at a time."""
-
-    def __init__(self, bits: int) -> None:
-        self.bits, self.used = bits, 0
-        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+class Known:
+    """Ids of strings of bytes. ``ask`` gives those of new ones, each distinct one once while it is kept; with more than ``keep`` the
+    cache begins anew."""
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The number of each key, -1 if it has none."""
-        slot = self._slots(keys)
-        there = self.keys.take(slot)
-        out = np.where(there == keys, self.values.take(slot), -1)
-        todo = np.flatnonzero((there != keys) & (there != 0))
-        while len(todo):
-            slot = (slot if len(slot) == len(todo) else slot.take(todo)) + 1 & (1 << self.bits) - 1
-            own = keys.take(todo)
-            there = self.keys.take(slot)
-            out[todo] = np.where(there == own, self.values.take(slot), -1)
-            more = np.flatnonzero((there != own) & (there != 0))
-            todo, slot = todo.take(more), slot.take(more)
-        return out
+    def __init__(self, ask: Callable[[list[bytes]], Iterable[list[int]]], keep: int = 1 << 20) -> None:
+        self.ask, self.keep = ask, keep
+        self._begin()
 
-    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Keys that differ from each other and from those in the table."""
-        self.used += len(keys)
-        slot = self._slots(keys)
-        while len(keys):
-            free = self.keys.take(slot) == 0
-            self.keys[slot[free]] = keys[free]
-            won = self.keys.take(slot) == keys
-            self.values[slot[won]] = values[won]
-            keys, values, slot = keys[~won], values[~won], slot[~won] + 1 & (1 << self.bits) - 1
+    def _begin(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.bounds = array("I"), array("q", [0])
+
+    def _learn(self, words: list[bytes]) -> None:
+        for word, ids in zip(words, self.ask(words)):
+            self.known[word] = len(self.known)
+            self.flat.extend(ids)
+            self.bounds.append(len(self.flat))
+
+    def of(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all values, one after another; where those of each end)."""
+        index, distinct = numbered(values)
+        words = listed(distinct)
+        new = [w for w in words if w not in self.known]
+        if new and len(self.known) + len(new) > self.keep:
+            self._begin()
+            new = words
+        self._learn(new)
+        row = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        bounds, flat = np.frombuffer(self.bounds, np.int64), np.frombuffer(self.flat, np.uint32)
+        return gathered(row[index], bounds, flat)  # copies; the arrays can't grow while they are viewed
 
 
 class Encoder:
-    """Ids of texts. Keeps 2^(bits - 1) parts by hash, and for texts that are cut by pattern twice ``keep`` pieces: when that
-    cache is full it becomes the older one, from which pieces that are met again move to the new one."""
+    """Ids of texts. With ``plain`` the texts of special tokens are ordinary text."""
 
-    def __init__(self, path: str, keep: int = 100_000, bits: int = 22) -> None:
+    def __init__(self, path: str, keep: int = 1 << 20, plain: bool = False) -> None:
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
-        self.keep = keep
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.library.encode_special_tokens = plain
+        self.special = [] if plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         # only for this kind are the cuts known; others are encoded whole
@@ -102,160 +72,34 @@ class Encoder:
             cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
             and kind.get("normalizer") is None and kind["model"].get("type") == "BPE" and not kind["model"].get("ignore_merges")
         )
-        self.bits, self.table = bits, Table(bits)
-        self.parts, self.ends = array("I"), array("q", [0])
-        self.older: tuple[dict[str, int], array, array] = ({}, array("I"), array("q"))
-        self._begin()
+        self.known = Known(self.merge, keep)
 
-    def _begin(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.at = array("I"), array("q", [0])
-        self.ids_view, self.at_view = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self, pieces: list[str]) -> None:
-        self.ids_view = self.at_view = None  # the arrays can't grow while they are viewed
-        known, ids, at, plain, merge = self.known, self.ids, self.at, PLAIN.fullmatch, self.model.tokenize
-        older, older_ids, older_at = self.older
-        rest, n = [], len(known)
-        for piece in pieces:
-            k = older.get(piece)
-            if k is not None:
-                ids.extend(older_ids[older_at[k] : older_at[k + 1]])
-            elif plain(piece):
-                if piece.isascii():
-                    spelt = "Ġ" + piece[1:] if piece[0] == " " else piece
-                else:
-                    spelt = piece.encode().decode("latin-1").translate(SPELLING)
-                ids.extend([t.id for t in merge(spelt)])
-            else:
-                rest.append(piece)
-                continue
-            at.append(len(ids))
-            known[piece] = n
-            n += 1
-        if rest:
-            for piece, got in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-                ids.extend(got.ids)
-                at.append(len(ids))
-                known[piece] = n
-                n += 1
-        self.ids_view, self.at_view = np.frombuffer(ids, np.uint32), np.frombuffer(at, np.int64)
+    def merge(self, words: list[bytes]) -> Iterable[list[int]]:
+        """The ids of words that are no further cut."""
+        merge = self.library.model.tokenize
+        return ([t.id for t in merge(w.decode("latin-1").translate(SPELLING))] for w in words)
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.cuts or ODD.search(text) or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        cuts = [0]  # a long text goes in parts, cut before a space between visible characters
-        while len(text) - cuts[-1] > 1 << 20 and (found := BREAK.search(text, cuts[-1] + (1 << 20))):
-            cuts.append(found.start())
-        if len(cuts) == 1:
-            return self._encode(text)
-        return np.concatenate([self._encode(text[a:b]) for a, b in zip(cuts, [*cuts[1:], len(text)])])
+        return self.encode_all(pa.array([text]))[0]
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and where those of each text end."""
-        offsets, data = utf8(texts)
-        own, n = offsets - offsets[0], len(texts)
-        data = data[offsets[0] : offsets[-1]]
-        sure = self._cut(own, data) if self.cuts and len(data) else None
-        if sure is None:
-            index, bounds, plain = np.zeros(0, np.int64), np.zeros(n + 1, np.int64), np.diff(own) == 0
-        else:
-            index, bounds, plain = sure
-        ends, flat = np.frombuffer(self.ends, np.int64), np.frombuffer(self.parts, np.uint32)
-        start = ends.take(index)
-        size = ends.take(index + 1) - start
-        stop = np.cumsum(size)
-        total = int(stop[-1]) if len(stop) else 0
-        ids = flat.take(np.arange(total) + np.repeat(start - stop + size, size))
-        del ends, flat  # the arrays can't grow while they are viewed
-        lengths = np.diff(np.concatenate(([0], stop)).take(bounds))
-        rest = np.flatnonzero(~plain)
-        if not len(rest):
-            return ids, np.cumsum(lengths)
-        # the other texts, put in at their places
-        cuts = np.concatenate(([0], np.cumsum(lengths)))
-        found, at = [], 0
-        for i in rest.tolist():
-            found += [ids[cuts[at] : cuts[i]], self.encode(texts[i].as_py() or "")]
-            lengths[i], at = len(found[-1]), i
-        return np.concatenate([*found, ids[cuts[at] :]]), np.cumsum(lengths)
-
-    def _cut(self, own: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers of the parts of all sure texts, the bounds of each text among them, and which texts are sure."""
-        n = len(data)
-        kind = KIND.take(data)
-        second = np.flatnonzero(data[:-1] == 0xC3) + 1
-        kind[second] = np.where(SECOND.take(data.take(second)), WORD, UNSURE)
-        blank = kind <= LINE
-        bad = kind == UNSURE
-        bad[1:] |= blank[1:] & blank[:-1]
-        edge = np.zeros(n + 1, bool)
-        edge[own] = True
-        text = np.searchsorted(own, np.flatnonzero(bad), "right") - 1
-        plain = np.ones(len(own) - 1, bool)
-        plain[text] = False
-        raw = data.tobytes()
-        for special in self.special:
-            at = raw.find(special.encode())
-            while at >= 0:
-                plain[np.searchsorted(own, at, "right") - 1] = False
-                at = raw.find(special.encode(), at + 1)
-        change = np.empty(n, bool)
-        change[0] = True
-        change[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != SPACE)
-        change |= edge[:-1]
-        first = np.flatnonzero(change)
-        last = np.append(first[1:], n)
-        keep = plain.take(np.searchsorted(own, first, "right") - 1)
-        if not keep.all():
-            first, last = first[keep], last[keep]
-        bounds = np.searchsorted(first, own)
-        keys = BYTES.between(BYTES.prefix(data.astype(np.uint64)), first, last) ^ (last - first).astype(np.uint64)
-        keys[keys == 0] = 1
-        index = self.table.find(keys)
-        missing = np.flatnonzero(index < 0)
-        if len(missing):
-            new, where = np.unique(keys.take(missing), return_index=True)
-            if 2 * (self.table.used + len(new)) > 1 << self.bits:
-                self.table, self.parts, self.ends = Table(max(self.bits, (4 * len(keys)).bit_length())), array("I"), array("q", [0])
-                missing = np.arange(len(keys))
-                new, where = np.unique(keys, return_index=True)
-            where = missing.take(where)
-            self._merge([raw[a:b] for a, b in zip(first.take(where).tolist(), last.take(where).tolist())])
-            self.table.add(new, np.arange(self.table.used, self.table.used + len(new), dtype=np.int32))
-            index[missing] = self.table.find(keys.take(missing))
-        return index.astype(np.int64), bounds, plain
-
-    def _merge(self, parts: list[bytes]) -> None:
-        ids, ends, merge = self.parts, self.ends, self.model.tokenize
-        for part in parts:
-            if part.isascii():
-                spelt = part.decode().replace(" ", "Ġ").replace("\n", "Ċ")
-            else:
-                spelt = part.decode("latin-1").translate(SPELLING)
-            ids.extend([t.id for t in merge(spelt)])
-            ends.append(len(ids))
-
-    def _encode(self, text: str) -> np.ndarray:
-        found = PIECE.findall(text)
-        index = list(map(self.known.get, found))
-        if None in index:
-            missing = dict.fromkeys(p for p, k in zip(found, index) if k is None)
-            if len(self.known) + len(missing) > self.keep:
-                self.older = self.known, self.ids, self.at
-                self._begin()
-                missing = dict.fromkeys(found)
-                index = [None] * len(found)
-            self.learn(list(missing))
-            known = self.known
-            index = [known[p] if k is None else k for p, k in zip(found, index)]
-        k = np.array(index, np.int64)
-        start = self.at_view[k]
-        n = self.at_view[k + 1] - start
-        ends = np.cumsum(n)
-        if not len(ends):
-            return np.zeros(0, np.uint32)
-        return self.ids_view[np.arange(ends[-1]) + np.repeat(start - ends + n, n)]
+        texts = pc.fill_null(texts, "")
+        whole = np.full(len(texts), not self.cuts)
+        for special in self.special if self.cuts else ():
+            whole |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(whole).tolist()
+        found, ends = matches(pc.if_else(pa.array(whole), "", texts) if rest else texts)
+        ids, stop = self.known.of(found)
+        ends = np.append(0, stop)[ends]
+        if not rest:
+            return ids, ends
+        lengths, parts, at = np.diff(ends, prepend=0), [], 0
+        for i in rest:  # the other texts, put in at their places
+            own = np.array(self.library.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            parts += [ids[at : ends[i]], own]
+            at, lengths[i] = ends[i], len(own)
+        return np.concatenate([*parts, ids[at:]]), np.cumsum(lengths)
 
 
 def encoder(path: str) -> Encoder:
