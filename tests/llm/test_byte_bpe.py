@@ -15,16 +15,12 @@ import tiktoken
 
 from tests.conftest import SF
 from tests.llm.test_operators import CLASHES, HARD, bag
+from tests.llm.test_parts import TWINS
 from tidemark.llm import byte_bpe
 from tidemark.llm.byte_bpe import decode, default_ranks, encode, ranks_of, round_trip, token_bytes
 from tidemark.llm.pretokens import PATTERN, matches
 from tidemark.llm.queries import QUERIES
 
-# Two words of 1,024 letters that polynomial hashes modulo 2^64 can't tell apart, whatever their base.
-THUE_MORSE = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
-TWINS = (THUE_MORSE, THUE_MORSE.translate({97: 98, 98: 97}))
-
-
 @pytest.fixture(scope="module")
 def library():
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks_of(default_ranks()), special_tokens={})

@@ -13,8 +13,8 @@ import pyarrow as pa
 import pytest
 
 from tests.conftest import SF
-from tests.llm.test_byte_bpe import TWINS
 from tests.llm.test_operators import CLASHES, HARD, bag
+from tests.llm.test_parts import TWINS
 from tidemark.llm import periodic_runs as runs_module
 from tidemark.llm.common import utf8
 from tidemark.llm.periodic_runs import find, op12_periodic_runs, periodic_runs, planted, words_of

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from tidemark.llm.alignment import op13_token_alignment
 from tidemark.llm.byte_bpe import op11_byte_bpe
 from tidemark.llm.decontamination import op4_decontamination
 from tidemark.llm.oracles import ORACLES
@@ -51,6 +52,7 @@ QUERIES = {
     "op10_shard": op10_shard,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: importable(run) for name, run in QUERIES.items()}
