@@ -5,11 +5,14 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.cdc import stamp
+from tidemark.plans import admin
 from tidemark.plans.admin import backup, seed, sync_all
-from tidemark.schemas import LOAD_CONFIG, SNAPSHOT_MANIFEST
-from tidemark.sources.control import load_config
+from tidemark.plans.pools import in_threads
+from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG, SNAPSHOT_MANIFEST
+from tidemark.sources.control import expire_snapshots, load_config, snapshot_tables
 from tidemark.sources.databases import FileSource, JdbcSource, source_for, split_options
 from tidemark.sources.raw import noted_schema, raw_path, raw_table, read_raw, write_mode, write_raw, write_with_retry
 from tidemark.sources.storage import (
@@ -21,6 +24,7 @@ from tidemark.sources.storage import (
     exists,
     publish,
     read_current,
+    update,
     versions,
 )
 
@@ -228,6 +232,58 @@ def test_of_two_publishers_one_gets_the_version(spark, tmp_path):
     assert len(child_names(spark, path)) == 2
 
 
+COUNTER = T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def counted(spark, name):
+    """The change that adds one to the count of a name."""
+    return lambda state: state.unionByName(control_rows(spark, [(name, 1)], COUNTER)).groupBy("name").agg(F.sum("n").alias("n"))
+
+
+def test_an_update_overtaken_is_applied_to_the_newer_state(spark, tmp_path, rows):
+    path, seen = str(tmp_path / "t"), []
+
+    def slow(state):
+        seen.append(rows(state))
+        if len(seen) < 3:  # another writer comes first, twice
+            update(spark, path, COUNTER, counted(spark, "b"))
+        return counted(spark, "a")(state)
+
+    assert update(spark, path, COUNTER, slow) == 3
+    assert seen == [[], [("b", 1)], [("b", 2)]]
+    assert rows(read_current(spark, path, COUNTER)) == [("a", 1), ("b", 2)]
+
+
+def test_updates_of_many_writers_all_count(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    in_threads(spark, lambda name: update(spark, path, COUNTER, counted(spark, name)), ["a", "b", "a", "c", "a", "b"], 6)
+    assert rows(read_current(spark, path, COUNTER)) == [("a", 3), ("b", 2), ("c", 1)]
+    assert versions(spark, path) == [1, 2, 3, 4, 5, 6]
+
+
+def test_an_update_ends_after_its_attempts_and_on_errors_of_its_own(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+
+    def overtaken(state):
+        update(spark, path, COUNTER, counted(spark, "b"))
+        return counted(spark, "a")(state)
+
+    with pytest.raises(VersionTaken):
+        update(spark, path, COUNTER, overtaken, attempts=2)
+    with pytest.raises(ZeroDivisionError):
+        update(spark, path, COUNTER, lambda state: 1 // 0)
+    assert rows(read_current(spark, path, COUNTER)) == [("b", 2)]
+
+
+def test_a_version_long_removed_is_not_published_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for _ in range(5):
+        publish(spark.range(1), path, keep=2)
+    with pytest.raises(VersionTaken):
+        publish(spark.range(9), path, 2)
+    assert versions(spark, path) == [4, 5] and len(child_names(spark, path)) == 2
+
+
 def test_raw_columns_are_noted_and_hours_pruned(spark, tmp_path, rows):
     path = str(tmp_path / "raw")
     loads = [(datetime(2025, 1, 1, 3), "id int, a int"), (datetime(2025, 1, 1, 9), "id int, b string"), (datetime(2025, 1, 2, 1), "id int")]
@@ -251,6 +307,34 @@ def test_long_replaced_versions_go(spark, tmp_path):
     assert len(versions(spark, path)) == KEPT_VERSIONS
 
 
+def test_a_sync_that_is_overtaken_reads_the_configs_again(spark, tmp_path, rows, monkeypatch):
+    control, lines = str(tmp_path / "control"), tmp_path / "lines.csv"
+    lines.write_text("line,table_name,database_name,partition_col\n1,a,shop,id\n")
+    seed(spark, str(lines), control, "line")
+    own, calls = admin.sync_config, []
+
+    def sync(config):
+        calls.append(config)
+        if len(calls) == 2:  # both configs are read; a table is added and synced before this one ends
+            lines.write_text("line,table_name,database_name,partition_col\n1,b,shop,id\n")
+            seed(spark, str(lines), control, "line")
+            sync_all(spark, control)
+        return own(config)
+
+    monkeypatch.setattr(admin, "sync_config", sync)
+    sync_all(spark, control)
+    merge = T.StructType([*MERGE_CONFIG.fields, T.StructField("kind", T.StringType())])
+    assert rows(read_current(spark, f"{control}/merge_config", merge), "table_name") == [("a",), ("b",)]
+
+
+def test_snapshots_of_two_jobs_are_all_listed(spark, tmp_path, rows):
+    taken = [datetime(2025, 1, d) for d in (1, 2, 3, 4)]
+    in_threads(spark, lambda at: snapshot_tables(spark, {"t": spark.range(1)}, str(tmp_path), at), taken, 4)
+    assert len(rows(read_current(spark, f"{tmp_path}/manifest", SNAPSHOT_MANIFEST))) == 4
+    in_threads(spark, lambda days: expire_snapshots(spark, str(tmp_path), datetime(2025, 2, 1), days), [30, 29, 29], 3)
+    assert rows(read_current(spark, f"{tmp_path}/manifest", SNAPSHOT_MANIFEST), "created_at") == [(datetime(2025, 1, 3),), (datetime(2025, 1, 4),)]
+
+
 def test_seed_and_sync(spark, tmp_path, rows):
     control, csv = str(tmp_path / "control"), tmp_path / "lines.csv"
     csv.write_text("line,table_name,database_name,partition_col\n1, a ,shop,id\n2,b,shop,\n3,b,shop,key\n")

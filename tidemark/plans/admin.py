@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.config import seed_config, sync_config, unnamed_lines
-from tidemark.schemas import LOAD_CONFIG
+from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG
 from tidemark.sources.control import (
     expire_snapshots,
     load_config,
@@ -16,7 +17,7 @@ from tidemark.sources.control import (
     snapshot_tables,
     split_names,
 )
-from tidemark.sources.storage import current_version, publish, read_current, version_path
+from tidemark.sources.storage import current_version, update, version_path
 
 
 def seed(spark: SparkSession, csv_path: str, control: str, sequence: str, kind: str = "stream") -> int:
@@ -25,16 +26,22 @@ def seed(spark: SparkSession, csv_path: str, control: str, sequence: str, kind:
     path = f"{control}/{kind}_config"
     lines = read_load_config_csv(spark, csv_path, sequence)
     unnamed_lines(lines).withColumn("kind", F.lit(kind)).write.mode("append").parquet(f"{control}/rejected_config")
-    return publish(seed_config(read_current(spark, path, LOAD_CONFIG), lines, sequence), path)
+    return update(spark, path, LOAD_CONFIG, lambda config: seed_config(config, lines, sequence))
 
 
 def sync_all(spark: SparkSession, control: str) -> int:
-    """Replace the merge config by what both load configs say; returns the new version."""
-    kinds = [
-        sync_config(load_config(spark, f"{control}/{kind}_config")).withColumn("kind", F.lit(kind))
-        for kind in ("batch", "stream")
-    ]
-    return publish(kinds[0].unionByName(kinds[1]), f"{control}/merge_config")
+    """Replace the merge config by what both load configs say; returns the new version. A sync that
+    another one overtakes reads the load configs again, so an older reading never stays."""
+
+    def synced(_: DataFrame) -> DataFrame:
+        kinds = [
+            sync_config(load_config(spark, f"{control}/{kind}_config")).withColumn("kind", F.lit(kind))
+            for kind in ("batch", "stream")
+        ]
+        return kinds[0].unionByName(kinds[1])
+
+    schema = T.StructType([*MERGE_CONFIG.fields, T.StructField("kind", T.StringType())])
+    return update(spark, f"{control}/merge_config", schema, synced)
 
 
 def backup(

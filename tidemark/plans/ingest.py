@@ -17,7 +17,7 @@ from tidemark.schemas import AUDIT, RUN_STATE
 from tidemark.sources.control import append_audit, load_config
 from tidemark.sources.databases import FileSource, JdbcSource
 from tidemark.sources.raw import WRITE_ATTEMPTS, raw_path, write_mode, write_raw, write_with_retry
-from tidemark.sources.storage import control_rows, publish, read_current
+from tidemark.sources.storage import control_rows, read_current, update
 
 # Fixed value: the layer these jobs report for.
 LAYER = "RAW"
@@ -93,7 +93,8 @@ def ingest_database(
     pool of its own: under ``spark.scheduler.mode=FAIR`` small tables don't wait for large ones.
 
     State and audit are written for what was done, also when a table fails; the first
-    failure is raised after that.
+    failure is raised after that. The state is advanced from whatever it is by then, so jobs of
+    several databases, or two of one, may share a control folder.
     """
     state = read_current(spark, f"{control}/state", RUN_STATE)
     config = load_config(spark, f"{control}/{kind}_config", database)
@@ -110,7 +111,7 @@ def ingest_database(
             return TableResult(plan["database_name"], plan["table_name"], "FAILED", error=str(e))
 
     results = in_threads(spark, run, plans, workers)
-    publish(advance_state(spark, state, results), f"{control}/state")
+    update(spark, f"{control}/state", RUN_STATE, lambda newest: advance_state(spark, newest, results))
     append_audit(audit_rows(spark, results, load_ts), f"{control}/audit")
     if errors:
         raise errors[0]

@@ -16,7 +16,7 @@ from tidemark.schemas import MERGE_STATE
 from tidemark.sources.control import split_names
 from tidemark.sources.raw import raw_table, read_raw
 from tidemark.sources.staging import MergeCounts, StagingTable
-from tidemark.sources.storage import control_rows, publish, read_current
+from tidemark.sources.storage import control_rows, update
 
 # Fixed value: tables merged at a time.
 MERGE_WORKERS = 5
@@ -78,7 +78,8 @@ def merge_schema(
 
     ``raw_root`` is the directory of one source, as RAW paths have it. The load plan, if given,
     says which change columns order rows of one load, and where each RAW table starts. With
-    ``control`` the merge state there, one mark per table, is advanced to what was merged.
+    ``control`` the merge state there, one mark per table, is advanced to what was merged;
+    jobs of several schemas may share it.
     """
     tables = one_per_key(merge_config(config, schema, kind), KEY)
     if plan is None:
@@ -107,8 +108,8 @@ def merge_schema(
 
     results = control_rows(spark, in_threads(spark, run, tables.collect(), workers), MERGE_RESULT)
     if control is not None:
-        state = read_current(spark, f"{control}/merge_state", MERGE_STATE)
-        publish(advance_merge_watermark(state, results.filter("status = 'SUCCESS'")), f"{control}/merge_state")
+        merged = results.filter("status = 'SUCCESS'")
+        update(spark, f"{control}/merge_state", MERGE_STATE, lambda state: advance_merge_watermark(state, merged))
     return results
 
 

@@ -7,12 +7,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import BLANKS, clean_text
 from tidemark.functions.timestamps import ntz
 from tidemark.operators.config import FULL, expired_snapshots, snapshot_name
 from tidemark.schemas import AUDIT, LOAD_CONFIG, SNAPSHOT_MANIFEST
-from tidemark.sources.storage import control_rows, delete, exists, publish, read_current
+from tidemark.sources.storage import control_rows, delete, exists, read_current, update
 
 
 def read_load_config_csv(spark: SparkSession, path: str, sequence: str | None = None) -> DataFrame:
@@ -51,12 +52,7 @@ def snapshot_tables(
         df.write.mode("overwrite").parquet(f"{root}/{backup}")
         rows.append((name, backup, f"{root}/{backup}", datetime.fromisoformat(str(taken_at))))
     manifest = f"{root}/manifest"
-    publish(
-        read_current(spark, manifest, SNAPSHOT_MANIFEST).unionByName(
-            control_rows(spark, rows, SNAPSHOT_MANIFEST)
-        ),
-        manifest,
-    )
+    update(spark, manifest, SNAPSHOT_MANIFEST, lambda listed: listed.unionByName(control_rows(spark, rows, SNAPSHOT_MANIFEST)))
     return read_current(spark, manifest, SNAPSHOT_MANIFEST)
 
 
@@ -70,7 +66,8 @@ def expire_snapshots(spark: SparkSession, root: str, now: datetime | str, days:
         if exists(spark, path):
             delete(spark, path)
     if paths:
-        publish(listed.join(gone.select("backup_name"), "backup_name", "left_anti"), manifest)
+        names = control_rows(spark, [(p,) for p in paths], T.StructType([T.StructField("path", T.StringType())]))
+        update(spark, manifest, SNAPSHOT_MANIFEST, lambda newest: newest.join(names, "path", "left_anti"))
     return len(paths)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 
 # Versions kept unless a caller says otherwise.
 KEPT_VERSIONS = 10
+# Times an update is applied again when other writers come first, and the longest wait before one in seconds.
+UPDATE_ATTEMPTS, LONGEST_WAIT = 50, 2.0
 
 
 class VersionTaken(RuntimeError):
@@ -101,7 +105,8 @@ def publish(df: DataFrame, path: str, number: int | None = None, keep: int = KEP
     taken = version_path(path, number)
     if exists(spark, taken) and not exists(spark, f"{taken}/_SUCCESS"):
         delete(spark, taken)  # what a write in place left unfinished
-    if not _take_name(spark, aside, version_path(path, number)):
+    # The name is also gone when so many versions have come since that this one was removed again.
+    if (current_version(spark, path) or 0) >= number or not _take_name(spark, aside, taken):
         delete(spark, aside)
         raise VersionTaken(f"version {number} of {path} was published by another writer")
     for old in versions(spark, path):
@@ -110,6 +115,35 @@ def publish(df: DataFrame, path: str, number: int | None = None, keep: int = KEP
     return number
 
 
+def update(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    change: Callable[[DataFrame], DataFrame],
+    attempts: int = UPDATE_ATTEMPTS,
+    keep: int = KEPT_VERSIONS,
+) -> int:
+    """Publish what ``change`` makes of the newest version, as the version right after it.
+
+    If another writer publishes in between, the change is applied again to what that one left, so
+    no update is lost however many writers share the table. ``change`` must read whatever else it
+    depends on anew each time. Returns the number of the new version.
+    """
+    for left in reversed(range(attempts)):
+        version = current_version(spark, path) or 0
+        try:
+            # The version that is read is fixed here: the change can't see a newer one than it is checked against.
+            state = spark.read.schema(schema).parquet(version_path(path, version)) if version else control_rows(spark, [], schema)
+            return publish(change(state), path, version + 1, keep)
+        except Exception as e:
+            # A version is removed once ``keep`` newer ones are there: then the read is out of date as well.
+            outrun = isinstance(e, VersionTaken) or (current_version(spark, path) or 0) > version
+            if not left or not outrun:
+                raise
+            time.sleep(random.uniform(0, LONGEST_WAIT) / (left + 1))
+    raise ValueError("attempts must be at least 1")
+
+
 def _take_name(spark: SparkSession, source: str, target: str) -> bool:
     """Give a directory its final name unless that is taken."""
     hadoop = spark._jvm.org.apache.hadoop.fs

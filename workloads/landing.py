@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,6 +126,35 @@ def ingested_database(spark: SparkSession, sf: str) -> DataFrame:
     return landed.join(state.drop("database_name"), "table_name", "left")
 
 
+class _Interrupted(FileSource):
+    """A source whose first read of a table runs another job to its end."""
+
+    def __init__(self, location: str, suffix: str, meanwhile: Callable[[], object]):
+        super().__init__(location, suffix)
+        object.__setattr__(self, "pending", [meanwhile])
+
+    def extract(self, *args, **kwargs) -> DataFrame:
+        while self.pending:
+            self.pending.pop()()
+        return super().extract(*args, **kwargs)
+
+
+def two_databases(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after two databases were loaded on one control folder, the second one while the
+    first was under way; both had watermarks before."""
+    base = work_dir(spark, "ingest_two_databases")
+    tables = [("events", "cdc_load", "ts", None, None, "event_id", None), ("orders", "full_load", "o_orderdate", None, None, "o_orderkey", None)]
+    config = control_rows(spark, [(d, *t) for d in ("shop", "mirror") for t in tables], LOAD_CONFIG)
+    publish(config, f"{base}/control/batch_config")
+    publish(control_rows(spark, [(d, "events", MARK, None) for d in ("shop", "mirror")], RUN_STATE), f"{base}/control/state")
+
+    def load(database: str, source: FileSource, at: datetime) -> None:
+        ingest_database(spark, database, source, f"{base}/raw", f"{base}/control", at, workers=1)
+
+    load("shop", _Interrupted(sf, ".parquet", lambda: load("mirror", _source(sf), T2)), T3)
+    return read_current(spark, f"{base}/control/state", RUN_STATE)
+
+
 def audit_log(spark: SparkSession, sf: str) -> DataFrame:
     base = _run_database(spark, sf, "audit_log")
     return read_audit(spark, f"{base}/control/audit")
@@ -174,6 +204,16 @@ QUERIES = {
             select 'events', {_partition_sql(T3)}, count(*), strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f'), null
             from events where ts > {_EVENTS_MARK}""",
     ),
+    "ingest_two_databases": Query(
+        two_databases,
+        f"""select database_name, 'events' as table_name, strftime(newest, '%Y-%m-%d %H:%M:%S.%f') as last_updated_on,
+                   cast(null as timestamp) as full_loaded_at
+            from (select max(ts) as newest from events where ts > {_EVENTS_MARK}), (values ('shop'), ('mirror')) as d (database_name)
+            union all
+            select database_name, 'orders', strftime(newest, '%Y-%m-%d %H:%M:%S'), loaded_at
+            from (select max(o_orderdate) as newest from orders),
+                 (values ('shop', {sql_ts(T3)}), ('mirror', {sql_ts(T2)})) as d (database_name, loaded_at)""",
+    ),
     "audit_log": Query(
         audit_log,
         f"""with audit (table_name, status, row_count, error) as (

@@ -12,6 +12,7 @@ from tidemark.operators.config import KEY, advance_merge_watermark
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.upsert import merge_inserts, merge_matched, merge_stats, upsert
 from tidemark.plans.merge import merge_schema, merge_table
+from tidemark.plans.pools import in_threads
 from tidemark.session import work_dir
 from tidemark.sources.raw import write_raw
 from tidemark.schemas import MERGE_STATE
@@ -188,6 +189,21 @@ def merge_state(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, f"{base}/control/merge_state", MERGE_STATE)
 
 
+def two_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """The merge state after two schemas were merged at the same time on one control folder."""
+    base = work_dir(spark, "merge_two_schemas")
+    feeds = {"shop": ("orders", "o_orderkey"), "feed": ("events", "user_id")}
+    config = spark.createDataFrame([(s, t, key, "batch") for s, (t, key) in feeds.items()], [*KEY, "partition_col", "kind"])
+    for schema, (name, _) in feeds.items():
+        _land(table(spark, sf, name), f"{base}/raw/{schema}/{name}", T1 if schema == "shop" else T2)
+
+    def merge(schema: str) -> None:
+        merge_schema(spark, config, schema, "batch", f"{base}/raw", f"{base}/staging", control=f"{base}/control")
+
+    in_threads(spark, merge, list(feeds), len(feeds))
+    return read_current(spark, f"{base}/control/merge_state", MERGE_STATE)
+
+
 def schema_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """A config that repeats one table, names another in two spellings, and has a third once."""
     base = work_dir(spark, "merge_schema_repeats")
@@ -299,6 +315,12 @@ QUERIES = {
             union all
             select 'SHOP', 'EVENTS', {sql_ts(T1)} from events having count(*) > 0""",
     ),
+    "merge_two_schemas": Query(
+        two_schemas,
+        f"""select 'SHOP' as schema_name, 'ORDERS' as table_name, {sql_ts(T1)} as insert_timestamp from orders having count(*) > 0
+            union all
+            select 'FEED', 'EVENTS', {sql_ts(T2)} from events having count(*) > 0""",
+    ),
     "merge_schema_repeats": Query(
         schema_repeats,
         """select 'ORDERS' as table_name, 'SUCCESS' as status, cast(0 as bigint) as updated, count(*) as inserted,
