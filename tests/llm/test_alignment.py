@@ -17,7 +17,7 @@ from tests.conftest import SF
 from tests.llm.test_operators import CLASHES, HARD, bag
 from tests.llm.test_parts import TWINS
 from tidemark.llm import alignment
-from tidemark.llm.alignment import align, byte_level, default_pieces, line_up, pair_counts, parts_of, pieces_of
+from tidemark.llm.alignment import Coded, align, byte_level, coded, default_pieces, line_up, pair_counts, pieces_of
 from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.tokens import SPELLING, default_tokenizer
@@ -80,6 +80,7 @@ def test_hard_rows(hard, small, monkeypatch):
     sizes = {}
     if small:  # long texts in parts, few links at a time, blocks of a few documents, a tree of several levels
         monkeypatch.setattr(alignment, "PART", 300)
+        monkeypatch.setattr(alignment, "TOKENS", 200)
         monkeypatch.setattr(alignment, "LINKS", 7)
         sizes = {"block_bytes": 2000, "shards": 5, "fan": 2}
     rows = [(r["doc_id"], r["text"]) for r in hard.collect()]
@@ -115,17 +116,17 @@ def test_empty_table(hard):
 @settings(deadline=None, max_examples=150)
 def test_lined_up_ids(texts, part):
     first, second = byte_level(default_tokenizer()), pieces_of(default_pieces())
-    own, alignment.PART = alignment.PART, part
+    sizes = alignment.PART, alignment.TOKENS
+    alignment.PART, alignment.TOKENS = part, part
     try:
-        lines, wrong = [[] for _ in texts], set()
-        for docs, held in parts_of([t.encode() for t in texts]):
-            got = line_up(docs, held, first, second)
-            wrong.update(got.wrong.tolist())
+        lines = [[] for _ in texts]
+        for own in Coded.from_bytes(coded([t.encode() for t in texts], first, second).to_bytes()).slices():
+            got = line_up(own, first, second)
             for doc, a, b in zip(got.doc.tolist(), np.split(got.a, got.a_cut), np.split(got.b, got.b_cut)):
                 lines[doc].append((a.tolist(), b.tolist()))
     finally:
-        alignment.PART = own
-    assert [[] if k in wrong else x for k, x in enumerate(lines)] == [plain_groups(t) for t in texts]
+        alignment.PART, alignment.TOKENS = sizes
+    assert lines == [plain_groups(t) for t in texts]
 
 
 @given(st.sets(st.integers(0, 2**40), max_size=300))

@@ -9,8 +9,8 @@ Counts of pairs, by minimal perfect hashing: the first pass lines up each block
 first tokenizer's ids, the distinct pairs of the block and how many of its documents hold each. A shard's distinct pairs come
 together over a tree of merges and get a minimal perfect hash. Dense vectors of counts, indexed by that hash, are summed over the same
 tree; the key stored under a number is compared with each pair, so no pair counts as another. All pairs of an id lie in one
-shard, which so knows the id's highest count. The second pass lines up the documents again and looks the counts of their
-pairs up. A shard has at most (ids of the first tokenizer / shards) * (ids of the second) pairs, whatever the corpus.
+shard, which so knows the id's highest count. The second pass lines up the documents again, from the ids that the first one
+left of each block, and looks the counts of their pairs up. A shard has at most (ids of the first tokenizer / shards) * (ids of the second) pairs, whatever the corpus.
 
 Defined cases: a text that is null or empty, or whose tokens of either kind spell other bytes than a space and the text, has no
 tokens, and all its counts are zero; strings of special tokens are plain text; rows are documents, so repeated rows and
@@ -40,12 +40,14 @@ from tidemark.llm.pretokens import SAFE, gathered, listed, matches, slices
 from tidemark.llm.tokens import SPELLING, Encoder, Known, default_tokenizer
 
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 100_000
-#: Text that is lined up at a time, and links that are written out at a time.
-PART, LINKS = 1 << 20, 1 << 21
+#: Text that is encoded, ids that are lined up and links that are written out at a time.
+PART, TOKENS, LINKS = 1 << 20, 1 << 19, 1 << 19
+#: Words that a worker keeps the ids of, for each tokenizer.
+KEEP = 300_000
 #: Shards of the first tokenizer's ids, and blocks that are merged at a time.
 SHARDS, FAN = 64, 512
 PACK = pa.struct([("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("texts", pa.binary()), ("packs", pa.list_(PACK))])
+BLOCKS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("tokens", pa.list_(pa.binary())), ("packs", pa.list_(PACK))])
 KEYS = pa.schema([("shard", pa.int32()), ("node", pa.int64()), ("keys", pa.binary())])
 HASHES = pa.schema([("shard", pa.int32()), ("hash", pa.binary()), ("keys", pa.binary())])
 VECTORS = pa.schema([("shard", pa.int32()), ("node", pa.int64()), ("vector", pa.binary())])
@@ -61,7 +63,7 @@ class Spelt:
     def __init__(self, ask: Callable[[list[bytes]], Iterator[list[int]]], spelling: list[bytes]) -> None:
         self.ask, self.spelling, self.wrong = ask, spelling, len(spelling)
         self.size = np.array([*map(len, spelling), 0], np.int64)
-        self.known = Known(self._checked)
+        self.known = Known(self._checked, KEEP)
 
     def _checked(self, words: list[bytes]) -> Iterator[list[int]]:
         for word, ids in zip(words, self.ask(words)):
@@ -92,6 +94,36 @@ def pieces_of(path: str) -> Spelt:
     return Spelt(ask, [bytes_of(i) for i in range(size)])
 
 
+@dataclass
+class Coded:
+    """The ids of parts of texts: of which text each part is, ascending, and how many ids of both kinds it has."""
+
+    doc: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+
+    def to_bytes(self) -> list[bytes]:
+        return [pack(np.diff(self.doc, prepend=0)), *map(pack, (self.n_a, self.n_b, self.a, self.b))]
+
+    @classmethod
+    def from_bytes(cls, raw: list[bytes]) -> "Coded":
+        first, *rest = map(unpack, raw)
+        return cls(np.cumsum(first), *rest)
+
+    def slices(self) -> Iterator["Coded"]:
+        """Some TOKENS ids at a time, but no less than a part."""
+        a_ends, b_ends = np.cumsum(self.n_a), np.cumsum(self.n_b)
+        lo = 0
+        while lo < len(self.doc):
+            a0, b0 = (int(e[lo - 1]) if lo else 0 for e in (a_ends, b_ends))
+            hi = max(lo + 1, int(np.searchsorted(a_ends + b_ends, a0 + b0 + TOKENS, "right")))
+            a1, b1 = int(a_ends[hi - 1]), int(b_ends[hi - 1])
+            yield Coded(self.doc[lo:hi], self.n_a[lo:hi], self.n_b[lo:hi], self.a[a0:a1], self.b[b0:b1])
+            lo = hi
+
+
 @dataclass
 class Lined:
     """Ids of both tokenizers, the ends of the groups among them, and the document of each group, ascending."""
@@ -101,8 +133,6 @@ class Lined:
     a_cut: np.ndarray
     b_cut: np.ndarray
     doc: np.ndarray
-    #: documents with a word that is spelt otherwise
-    wrong: np.ndarray
 
 
 def parts_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
@@ -123,7 +153,8 @@ def parts_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
         yield np.array(docs), held
 
 
-def line_up(docs: np.ndarray, held: list[bytes], first: Spelt, second: Spelt) -> Lined:
+def _encoded(held: list[bytes], first: Spelt, second: Spelt) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids of A, where those of each part end, ids of B, where those of each part end)."""
     offsets = np.append(0, np.cumsum([len(h) for h in held])).astype(np.int64)
     data = np.frombuffer(b"".join(held), np.uint8)
     found, ends = matches(slices(offsets, data))
@@ -134,18 +165,38 @@ def line_up(docs: np.ndarray, held: list[bytes], first: Spelt, second: Spelt) ->
     starts[offsets[:-1]] = True
     starts = np.flatnonzero(starts)
     b, stop = second.known.of(slices(np.append(starts, len(data)), data))
-    b_ends = np.append(0, stop)[np.searchsorted(starts, offsets[1:])]
-    bad = np.zeros(len(held), bool)
-    for ids, last, own in ((a, a_ends, first), (b, b_ends, second)):
-        bad[np.searchsorted(last, np.flatnonzero(ids == own.wrong), "right")] = True
-    if bad.any():
-        a = a[np.repeat(~bad, np.diff(a_ends, prepend=0))]
-        b = b[np.repeat(~bad, np.diff(b_ends, prepend=0))]
-    a_at, b_at = np.cumsum(first.size[a]), np.cumsum(second.size[b])
-    both = a_at[np.isin(a_at, b_at, assume_unique=True)]
-    part = np.searchsorted(np.cumsum(np.diff(offsets)[~bad]), both)
-    cuts = (np.searchsorted(at, both, "right") for at in (a_at, b_at))
-    return Lined(a.astype(np.int64), b.astype(np.int64), *cuts, docs[~bad][part], docs[bad])
+    return a, a_ends, b, np.append(0, stop)[np.searchsorted(starts, offsets[1:])]
+
+
+def coded(texts: list[bytes], first: Spelt, second: Spelt) -> Coded:
+    """The ids of all texts that both tokenizers spell as they are."""
+    docs, sizes, ids, wrong = [], ([], []), ([], []), []
+    for doc, held in parts_of(texts):
+        a, a_ends, b, b_ends = _encoded(held, first, second)
+        docs.append(doc)
+        for k, (own, ends, kind) in enumerate(((a, a_ends, first), (b, b_ends, second))):
+            sizes[k].append(np.diff(ends, prepend=0))
+            ids[k].append(own)
+            wrong.append(doc[np.searchsorted(ends, np.flatnonzero(own == kind.wrong), "right")])
+    if not docs:
+        return Coded(*[np.zeros(0, np.int64)] * 5)
+    doc, (n_a, n_b), (a, b) = np.concatenate(docs), map(np.concatenate, sizes), map(np.concatenate, ids)
+    wrong = np.concatenate(wrong)
+    if len(wrong):
+        good = ~np.isin(doc, wrong)
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        doc, n_a, n_b = doc[good], n_a[good], n_b[good]
+    return Coded(doc, n_a, n_b, a, b)
+
+
+def line_up(own: Coded, first: Spelt, second: Spelt) -> Lined:
+    a_at, b_at = np.cumsum(first.size[own.a]), np.cumsum(second.size[own.b])
+    ends = np.zeros(int(a_at[-1]) + 1 if len(a_at) else 1, bool)  # parts have both kinds of ids or none
+    ends[b_at] = True
+    a_cut = np.flatnonzero(ends[a_at]) + 1
+    both = a_at[a_cut - 1]
+    part = np.searchsorted(a_at[np.cumsum(own.n_a) - 1], both)
+    return Lined(own.a.astype(np.int64), own.b.astype(np.int64), a_cut, np.searchsorted(b_at, both) + 1, own.doc[part])
 
 
 def links_of(lined: Lined, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -185,22 +236,17 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
 
 
-def pairs_of(texts: list[bytes], first: Spelt, second: Spelt) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct pairs, in how many of the texts each is linked)."""
-    width, found, wrong = second.wrong, [], set()
-    most = first.wrong * width
-    for docs, held in parts_of(texts):
-        lined = line_up(docs, held, first, second)
-        wrong.update(lined.wrong.tolist())
-        found += [distinct(doc * most + key) for doc, key in links_of(lined, width)]
-    own = distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    if wrong:
-        own = own[~np.isin(own // most, list(wrong))]
-    return np.unique(own % most, return_counts=True)
+def pairs_of(own: Coded, first: Spelt, second: Spelt) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct pairs, in how many of the documents each is linked)."""
+    most, found = first.wrong * second.wrong, []
+    for part in own.slices():
+        found += [distinct(doc * most + key) for doc, key in links_of(line_up(part, first, second), second.wrong)]
+    every = distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return np.unique(every % most, return_counts=True)
 
 
 def blocks_of(docs: DataFrame, a: str, b: str, block_bytes: int, shards: int) -> DataFrame:
-    """(block, doc_ids, texts, packs): the first pass. A written table, so both passes see the same blocks."""
+    """(block, doc_ids, tokens, packs): the first pass. A written table, so both passes see the same blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = byte_level(a), pieces_of(b)
@@ -214,13 +260,14 @@ def blocks_of(docs: DataFrame, a: str, b: str, block_bytes: int, shards: int) ->
                 hi = int(np.searchsorted(offsets, offsets[lo] + block_bytes, "right")) - 1
                 hi = min(max(hi, lo + 1), lo + BLOCK_ROWS, len(batch))
                 text = batch["text"].slice(lo, hi - lo).cast(pa.large_string()).fill_null("")
-                keys, counts = pairs_of(listed(text), first, second)
+                own = coded(listed(text), first, second)
+                keys, counts = pairs_of(own, first, second)
                 shard = keys // second.wrong % shards
                 packs = [
                     {"shard": int(k), "keys": _steps(keys[shard == k]), "counts": pack(counts[shard == k])} for k in np.unique(shard)
                 ]
                 ids = batch["doc_id"].slice(lo, hi - lo).to_pylist()
-                yield pa.RecordBatch.from_pylist([{"block": number, "doc_ids": ids, "texts": pack_words(text), "packs": packs}], BLOCKS)
+                yield pa.RecordBatch.from_pylist([{"block": number, "doc_ids": ids, "tokens": own.to_bytes(), "packs": packs}], BLOCKS)
                 number, lo = number + 1, hi
 
     return saved(docs.mapInArrow(run, from_arrow_schema(BLOCKS)), "aligned-blocks")
@@ -330,55 +377,46 @@ def spelt_groups(lined: Lined, digits: tuple[np.ndarray, np.ndarray]) -> tuple[n
     return text, ends
 
 
-def _second_pass(names: list, texts: list[bytes], answers: pa.Table, first: Spelt, second: Spelt, digits: tuple, groups: bool) -> pa.Table:
+def _second_pass(names: list, own: Coded, answers: pa.Table, first: Spelt, second: Spelt, digits: tuple, groups: bool) -> pa.Table:
     keys = [_keys(k) for k in answers["keys"].to_pylist()]
     counts = [_narrow(c) for c in answers["counts"].to_pylist()]
     best = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(answers["best"].to_pylist(), keys)]
     keys, counts, best = (np.concatenate([*x, [-1]]).astype(np.int64) for x in (keys, counts, best))  # -1 stands for no pair
     order = np.argsort(keys)
     keys, counts, best = keys[order], counts[order], best[order]
-    out = {c: np.zeros(len(texts), np.int64) for c in COUNTED}
-    lost, hashes, written, wrong = np.zeros(len(texts), np.int64), {}, {}, set()
+    out, hashes, written = {c: np.zeros(len(names), np.int64) for c in COUNTED}, {}, {}
 
-    def add(column: str | None, doc: np.ndarray, values: np.ndarray) -> None:
+    def add(column: str, doc: np.ndarray, values: np.ndarray) -> None:
         at = np.flatnonzero(np.diff(doc, prepend=-1))
-        if len(at):
-            (lost if column is None else out[column])[doc[at]] += np.add.reduceat(values, at)
-
-    for docs, held in parts_of(texts):
-        lined = line_up(docs, held, first, second)
-        wrong.update(lined.wrong.tolist())
-        if not len(lined.doc):
-            continue
+        out[column][doc[at]] += np.add.reduceat(values, at)
+
+    for part in own.slices():
+        lined = line_up(part, first, second)
         for column, cut in (("n_a", lined.a_cut), ("n_b", lined.b_cut)):
             add(column, lined.doc, np.diff(cut, prepend=0))
         add("n_groups", lined.doc, np.ones(len(lined.doc), np.int64))
         for doc, key in links_of(lined, second.wrong):
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            there = keys[at] == key
+            if not (keys[at] == key).all():
+                raise ValueError("a pair of a document was not counted")
             add("n_links", doc, np.ones(len(doc), np.int64))
-            add("n_best", doc, best[at] * there)
-            add("count_sum", doc, counts[at] * there)
-            add(None, doc, (~there).astype(np.int64))
+            add("n_best", doc, best[at])
+            add("count_sum", doc, counts[at])
         text, ends = spelt_groups(lined, digits)
         last = np.flatnonzero(np.diff(lined.doc, append=-1))
         lo = 0
         for doc, hi in zip(lined.doc[last].tolist(), ends[last].tolist()):
-            own = text[lo : hi - 1].tobytes()
+            said = text[lo : hi - 1].tobytes()
             if doc in hashes:
-                own = b";" + own
-            hashes.setdefault(doc, hashlib.sha256()).update(own)
+                said = b";" + said
+            hashes.setdefault(doc, hashlib.sha256()).update(said)
             if groups:
-                written[doc] = written.get(doc, b"") + own
+                written[doc] = written.get(doc, b"") + said
             lo = hi
-    bad = np.zeros(len(texts), bool)
-    bad[list(wrong)] = True
-    if lost[~bad].any():
-        raise ValueError("a pair of a document was not counted")
-    columns = [pa.array(names, pa.int64()), *[pa.array(np.where(bad, 0, out[c])) for c in COUNTED]]
-    columns.append(pa.array(["" if bad[d] or d not in hashes else hashes[d].hexdigest() for d in range(len(texts))], pa.string()))
+    columns = [pa.array(names, pa.int64()), *[pa.array(out[c]) for c in COUNTED]]
+    columns.append(pa.array([hashes[d].hexdigest() if d in hashes else "" for d in range(len(names))], pa.string()))
     if groups:
-        columns.append(pa.array(["" if bad[d] else written.get(d, b"").decode() for d in range(len(texts))], pa.string()))
+        columns.append(pa.array([written.get(d, b"").decode() for d in range(len(names))], pa.string()))
     return pa.Table.from_arrays(columns, names=[*ALIGNED.names, *(["groups"] if groups else [])])
 
 
@@ -394,11 +432,11 @@ def align(
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         first, second = byte_level(a), pieces_of(b)
-        own = listed(unpack_words(block["texts"][0].as_py()))
+        own = Coded.from_bytes(block["tokens"][0].as_py())
         return _second_pass(block["doc_ids"][0].as_py(), own, answers, first, second, _digits(max(first.wrong, second.wrong)), groups)
 
     schema = from_arrow_schema(pa.schema([*ALIGNED, *([("groups", pa.string())] if groups else [])]))
-    return blocks.select("block", "doc_ids", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    return blocks.select("block", "doc_ids", "tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def pair_counts(docs: DataFrame, a: str, b: str, block_bytes: int = BLOCK_BYTES, shards: int = SHARDS, fan: int = FAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
