@@ -3,20 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.timestamps import EPOCH, ntz
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.sources.raw import PARTITIONS, noted_schema
 from tidemark.sources.staging import StagingTable
-from tidemark.sources.storage import child_names, current_version, delete, publish, version_path
+from tidemark.sources.storage import (
+    child_names,
+    current_version,
+    delete,
+    exists,
+    publish,
+    read_text,
+    version_path,
+    write_text,
+)
 
 # Column with the micro-batch an update is from.
 BATCH = "batch"
+# Of a de-duplicated stream: the folders of first copies and of rows set aside, of late rows, and of notes of event times.
+KIND, KEPT, SEEN, LATE, MARKS = "_kind", "kept", "seen", "late", "_marks"
 
 _DISK_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -74,7 +88,7 @@ def stream_dedupe(
     """First copy of each key; a copy may come up to ``delay`` after it, in event time.
 
     State is dropped once the delay has passed. Rows later than that are not in the output:
-    ``run_deduped`` counts them and keeps those that were never seen. The
+    ``run_deduped`` keeps those that were never seen. The
     copies of a hot key are first reduced to one per salt, over as many tasks; a key without
     copies costs the same for any number. ``salts=1`` leaves that pass out.
     """
@@ -92,46 +106,109 @@ def stream_latest(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     return rows.groupBy(*keys).agg(newest).select(*keys, "newest.*")
 
 
-def run_to_files(rows: DataFrame, path: str, checkpoint: str) -> int:
-    """Append the stream's rows to Parquet until all input is in; returns how many rows its
-    operators dropped as too late."""
-    query = (
+def run_to_files(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """Append the stream's rows to Parquet until all input is in."""
+    (
         rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
-    query.awaitTermination()
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def run_deduped(
     rows: DataFrame,
-    landed: DataFrame,
     keys: Sequence[str],
     ts: str,
     path: str,
-    late_path: str,
     checkpoint: str,
     delay: str = "10 minutes",
+    salts: int = 64,
 ) -> int:
-    """Run ``stream_dedupe`` to files; returns how many rows came too late for it.
+    """Run ``stream_dedupe`` until all input is in and lose no key; returns how many rows were kept as late.
+
+    Each micro-batch writes, in one job below its own number, the first copies and beside them the
+    rows that are so old that the stream may have dropped them: those up to its watermark, which is
+    the newest event time of the batches before less the delay. A batch that runs again replaces what
+    it wrote. After the run those that may have been dropped are compared by key with what was kept,
+    and of keys that are in neither output the newest row becomes a late one. What is compared is on
+    disk until that has been published, so a crash at any point only repeats work.
 
-    ``landed`` has the same rows as the stream as a plain table, from the load on that may hold
-    late ones. Only if some came too late it is compared with the output by key, and first
-    copies that are in neither are appended to ``late_path``: output and late rows together
-    have every key once.
+    NULL keys are a key like any other, as they are to the stream. ``read_deduped`` reads both outputs.
     """
     spark = rows.sparkSession
-    dropped = run_to_files(stream_dedupe(rows, keys, ts, delay), path, checkpoint)
-    if dropped:
-        seen = spark.read.parquet(path).select(*keys)
-        if child_names(spark, late_path):
-            seen = seen.unionByName(spark.read.parquet(late_path).select(*keys))
-        lost = landed.join(seen, list(keys), "left_anti")
-        dedupe_latest(lost, keys, [ts]).write.mode("append").parquet(late_path)
-    return dropped
+    kept = stream_dedupe(rows, keys, ts, delay, salts).withColumn(KIND, F.lit(KEPT))
+    both = kept.unionByName(rows.withColumn(KIND, F.lit(SEEN)))
+    seen_ts = F.when(F.col(KIND) == SEEN, F.col(ts).cast("timestamp_ntz"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        up_to = _watermark(spark, path, number, delay)
+        # Rows without an event time never reach the stream's state.
+        old = F.lit(True) if up_to is None else F.col(ts).isNull() | (F.col(ts).cast("timestamp_ntz") <= ntz(up_to))
+        newest = Observation()
+        marked = batch.observe(newest, F.max(seen_ts).cast("string").alias("newest"))
+        marked.filter((F.col(KIND) == KEPT) | old).write.mode("overwrite").partitionBy(KIND).parquet(f"{path}/{BATCH}={number}")
+        note = f"{path}/{MARKS}/{number:010d}"
+        delete(spark, note)  # of an earlier attempt
+        write_text(spark, note, newest.get["newest"] or "")
+
+    query = both.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    # Whatever an earlier run left unsettled is settled first, so it never waits for more than one run.
+    late = settle_late(spark, path, keys, ts)
+    query.start().awaitTermination()
+    return late + settle_late(spark, path, keys, ts)
+
+
+def _watermark(spark: SparkSession, path: str, number: int, delay: str) -> datetime | None:
+    """Event time up to which the stream may drop rows in this batch, a second later for its
+    rounding; None if it is not known for a lack of notes."""
+    marks = {n: read_text(spark, f"{path}/{MARKS}/{n}") for n in child_names(spark, f"{path}/{MARKS}") if n < f"{number:010d}"}
+    if len(marks) < number:
+        return None
+    newest = max((datetime.fromisoformat(m) for m in marks.values() if m), default=None)
+    start = ntz(EPOCH)  # where a stream's watermark begins
+    behind = start if newest is None else F.greatest(start, ntz(newest) - F.expr(f"interval {delay}"))
+    return spark.range(1).select((behind + F.expr("interval 1 second")).alias("w")).first()["w"]
+
+
+def settle_late(spark: SparkSession, path: str, keys: Sequence[str], ts: str) -> int:
+    """Publish the rows of dropped keys among those that micro-batches set aside, and forget the
+    rest; returns how many there are. It may be run again at any time: what a crashed attempt
+    published under the same number is replaced, what others published counts as kept."""
+    batches = [n for n in child_names(spark, path) if n.startswith(f"{BATCH}=")]
+    pending = [n for n in batches if f"{KIND}={SEEN}" in child_names(spark, f"{path}/{n}")]
+    if not pending:
+        return 0
+    own = f"{LATE}={max(int(n.split('=')[1]) for n in pending):010d}"
+    candidates = spark.read.option("mergeSchema", "true").parquet(*[f"{path}/{n}/{KIND}={SEEN}" for n in pending])
+    done = [f"{path}/{n}/{KIND}={KEPT}" for n in batches if f"{KIND}={KEPT}" in child_names(spark, f"{path}/{n}")]
+    done += [f"{path}/{n}" for n in child_names(spark, path) if n.startswith(f"{LATE}=") and n != own]
+    lost = candidates
+    if done:
+        # Read by key alone; only the side of the candidates, which are few, is wide.
+        before = spark.read.schema(candidates.select(*keys).schema).parquet(*done).toDF(*[f"_kept_{k}" for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_kept_{k}")) for k in keys])
+        lost = candidates.join(before, same, "left_anti")
+    dedupe_latest(lost, keys, [ts]).write.mode("overwrite").parquet(f"{path}/{own}")
+    for n in pending:
+        delete(spark, f"{path}/{n}/{KIND}={SEEN}")
+    return spark.read.schema(candidates.schema).parquet(f"{path}/{own}").count()  # from the footers
+
+
+def read_deduped(spark: SparkSession, path: str) -> DataFrame | None:
+    """Each key once, with ``late`` telling whether its row came too late for the stream; None before
+    the first batch. Rows set aside and not yet settled are not in it."""
+    names = child_names(spark, path)
+    on_time = [f"{path}/{n}/{KIND}={KEPT}" for n in names if n.startswith(f"{BATCH}=")]
+    on_time = [p for p in on_time if exists(spark, p)]
+    late = [f"{path}/{n}" for n in names if n.startswith(f"{LATE}=")]
+    parts = [
+        spark.read.option("mergeSchema", "true").parquet(*places).withColumn("late", F.lit(is_late))
+        for places, is_late in ((on_time, False), (late, True)) if places
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 def run_updates(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> None:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.operators.cdc import stamp
 from tidemark.session import work_dir
 from tidemark.functions.timestamps import ntz
-from tidemark.sources.raw import raw_table, read_raw, write_raw
+from tidemark.sources.raw import write_raw
 from tidemark.sources.staging import StagingTable
 from tidemark.streaming.merge import (
     raw_stream,
+    read_deduped,
     read_updates,
     run_deduped,
     run_to_files,
@@ -63,7 +64,8 @@ def deduped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def deduped_late(spark: SparkSession, sf: str) -> DataFrame:
-    """One event in fifty misses the first load and comes with the third, days late."""
+    """One event in fifty misses the first load and comes with the third, days late. Every file is a
+    micro-batch of its own, and the driver remembers one of them only."""
     use_disk_state(spark)
     base = work_dir(spark, "stream_dedupe_late")
     events = table(spark, sf, "events")
@@ -72,13 +74,9 @@ def deduped_late(spark: SparkSession, sf: str) -> DataFrame:
         load = between(events, "ts", after, up_to)
         load = load.filter(~held) if number == 0 else load.unionByName(events.filter(held)) if number == 2 else load
         write_raw(stamp(load, at), f"{base}/raw", at, "append")
-        rows = raw_stream(spark, f"{base}/raw").drop("insert_timestamp")
-        landed = raw_table(read_raw(spark, f"{base}/raw", since=at), None).filter(F.col("insert_timestamp") >= ntz(at))
-        run_deduped(
-            rows, landed.drop("insert_timestamp"), ["event_id"], "ts", f"{base}/out", f"{base}/late", f"{base}/checkpoint"
-        )
-    on_time = spark.read.parquet(f"{base}/out").withColumn("late", F.lit(False))
-    return on_time.unionByName(spark.read.parquet(f"{base}/late").withColumn("late", F.lit(True)))
+        rows = raw_stream(spark, f"{base}/raw", max_files=1).drop("insert_timestamp")
+        run_deduped(rows, ["event_id"], "ts", f"{base}/out", f"{base}/checkpoint")
+    return read_deduped(spark, f"{base}/out")
 
 
 def latest(spark: SparkSession, sf: str) -> DataFrame:
