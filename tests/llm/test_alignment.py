@@ -121,7 +121,7 @@ def test_lined_up_ids(texts, part):
     try:
         lines = [[] for _ in texts]
         for own in Coded.from_bytes(coded([t.encode() for t in texts], first, second).to_bytes()).slices():
-            got = line_up(own, first, second)
+            got = line_up(own, (first.size, second.size))
             for doc, a, b in zip(got.doc.tolist(), np.split(got.a, got.a_cut), np.split(got.b, got.b_cut)):
                 lines[doc].append((a.tolist(), b.tolist()))
     finally:

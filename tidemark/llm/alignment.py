@@ -39,11 +39,11 @@ from tidemark.llm.perfect_hash import PerfectHash
 from tidemark.llm.pretokens import SAFE, gathered, listed, matches, slices
 from tidemark.llm.tokens import SPELLING, Encoder, Known, default_tokenizer
 
-BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 100_000
+BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 100_000
 #: Text that is encoded, ids that are lined up and links that are written out at a time.
-PART, TOKENS, LINKS = 1 << 20, 1 << 19, 1 << 19
+PART, TOKENS, LINKS = 1 << 19, 1 << 18, 1 << 18
 #: Words that a worker keeps the ids of, for each tokenizer.
-KEEP = 300_000
+KEEP = 100_000
 #: Shards of the first tokenizer's ids, and blocks that are merged at a time.
 SHARDS, FAN = 64, 512
 PACK = pa.struct([("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -189,8 +189,9 @@ def coded(texts: list[bytes], first: Spelt, second: Spelt) -> Coded:
     return Coded(doc, n_a, n_b, a, b)
 
 
-def line_up(own: Coded, first: Spelt, second: Spelt) -> Lined:
-    a_at, b_at = np.cumsum(first.size[own.a]), np.cumsum(second.size[own.b])
+def line_up(own: Coded, sizes: tuple[np.ndarray, np.ndarray]) -> Lined:
+    """``sizes`` are the bytes that each id of both tokenizers spells."""
+    a_at, b_at = np.cumsum(sizes[0][own.a]), np.cumsum(sizes[1][own.b])
     ends = np.zeros(int(a_at[-1]) + 1 if len(a_at) else 1, bool)  # parts have both kinds of ids or none
     ends[b_at] = True
     a_cut = np.flatnonzero(ends[a_at]) + 1
@@ -240,7 +241,8 @@ def pairs_of(own: Coded, first: Spelt, second: Spelt) -> tuple[np.ndarray, np.nd
     """(distinct pairs, in how many of the documents each is linked)."""
     most, found = first.wrong * second.wrong, []
     for part in own.slices():
-        found += [distinct(doc * most + key) for doc, key in links_of(line_up(part, first, second), second.wrong)]
+        lined = line_up(part, (first.size, second.size))
+        found += [distinct(doc * most + key) for doc, key in links_of(lined, second.wrong)]
     every = distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return np.unique(every % most, return_counts=True)
 
@@ -359,6 +361,7 @@ def counted(pairs: DataFrame, n_blocks: int, width: int, fan: int) -> tuple[Data
     return dealt, tables, every
 
 
+@cache
 def _digits(size: int) -> tuple[np.ndarray, np.ndarray]:
     own = [b"%d," % i for i in range(size)]
     return np.append(0, np.cumsum([len(x) for x in own])), np.frombuffer(b"".join(own), np.uint8)
@@ -377,7 +380,8 @@ def spelt_groups(lined: Lined, digits: tuple[np.ndarray, np.ndarray]) -> tuple[n
     return text, ends
 
 
-def _second_pass(names: list, own: Coded, answers: pa.Table, first: Spelt, second: Spelt, digits: tuple, groups: bool) -> pa.Table:
+def _second_pass(names: list, own: Coded, answers: pa.Table, sizes: tuple[np.ndarray, np.ndarray], groups: bool) -> pa.Table:
+    digits, width = _digits(max(map(len, sizes))), len(sizes[1]) - 1
     keys = [_keys(k) for k in answers["keys"].to_pylist()]
     counts = [_narrow(c) for c in answers["counts"].to_pylist()]
     best = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(answers["best"].to_pylist(), keys)]
@@ -391,11 +395,11 @@ def _second_pass(names: list, own: Coded, answers: pa.Table, first: Spelt, secon
         out[column][doc[at]] += np.add.reduceat(values, at)
 
     for part in own.slices():
-        lined = line_up(part, first, second)
+        lined = line_up(part, sizes)
         for column, cut in (("n_a", lined.a_cut), ("n_b", lined.b_cut)):
             add(column, lined.doc, np.diff(cut, prepend=0))
         add("n_groups", lined.doc, np.ones(len(lined.doc), np.int64))
-        for doc, key in links_of(lined, second.wrong):
+        for doc, key in links_of(lined, width):
             at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             if not (keys[at] == key).all():
                 raise ValueError("a pair of a document was not counted")
@@ -427,13 +431,16 @@ def align(
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row, with ``groups`` also the ids of all groups as text."""
     blocks = blocks_of(texts(docs, id_col, text_col), a, b, block_bytes, shards)
     pairs = blocks.select("block", F.inline("packs"))
-    dealt, tables, every = counted(pairs, blocks.count(), pieces_of(b).wrong, fan)
+    # The second pass needs no tokenizer; workers that had them for the first one let them go.
+    sizes = byte_level(a).size, pieces_of(b).size
+    dealt, tables, every = counted(pairs, blocks.count(), len(sizes[1]) - 1, fan)
     answers = dealt.groupBy("shard", "node").cogroup(every(tables).groupBy("shard", "node")).applyInArrow(_answer, from_arrow_schema(ANSWERS))
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        first, second = byte_level(a), pieces_of(b)
+        byte_level.cache_clear()
+        pieces_of.cache_clear()
         own = Coded.from_bytes(block["tokens"][0].as_py())
-        return _second_pass(block["doc_ids"][0].as_py(), own, answers, first, second, _digits(max(first.wrong, second.wrong)), groups)
+        return _second_pass(block["doc_ids"][0].as_py(), own, answers, sizes, groups)
 
     schema = from_arrow_schema(pa.schema([*ALIGNED, *([("groups", pa.string())] if groups else [])]))
     return blocks.select("block", "doc_ids", "tokens").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
