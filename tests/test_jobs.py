@@ -10,7 +10,7 @@ from tests.conftest import SF
 from tidemark.functions.timestamps import ntz
 from tidemark.operators.cdc import stamp
 from tidemark.operators.dedupe import dedupe_latest
-from tidemark.plans import ingest
+from tidemark.plans import ingest, merge
 from tidemark.plans.ingest import ingest_database, ingest_table
 from tidemark.plans.load_plan import load_plan
 from tidemark.plans.merge import merge_schema, merge_table
@@ -25,6 +25,72 @@ MERGE = T.StructType([*MERGE_CONFIG.fields, T.StructField("kind", T.StringType()
 T1, T2, T3 = datetime(2025, 11, 5, 6, 20), datetime(2025, 11, 5, 19, 40), datetime(2025, 11, 6, 2, 0)
 
 
+def landed(spark, raw, at, *data, columns="id int, v string"):
+    write_raw(stamp(spark.createDataFrame(list(data), columns), at), raw, at, "append")
+
+
+def test_a_load_that_finishes_late_is_merged_and_replaces_nothing_newer(spark, tmp_path, rows):
+    raw, staging = f"{tmp_path}/raw", StagingTable(spark, f"{tmp_path}/staging", ["id"])
+    landed(spark, raw, T1, (1, "a"), (2, "a"), (3, "a"))
+    merge_table(spark, raw, staging)
+    landed(spark, raw, T3, (1, "c"), (4, "c"))
+    merge_table(spark, raw, staging)
+    landed(spark, raw, T2, (1, "b"), (2, "b"), (5, "b"))
+    done = merge_table(spark, raw, staging)
+    assert rows(staging.read(), "id", "v") == [(1, "c"), (2, "b"), (3, "a"), (4, "c"), (5, "b")]
+    assert (done.inserted, done.high_mark, staging.high_mark()) == (1, T2, T3)
+    # a second load under a stamp that has been merged is news too; nothing new is no news
+    landed(spark, raw, T1, (6, "a"))
+    merge_table(spark, raw, staging)
+    assert rows(staging.read(), "id") == [(1,), (2,), (3,), (4,), (5,), (6,)]
+    assert merge_table(spark, raw, staging).high_mark is None
+    assert len(staging.merged_loads()) == 4
+
+
+def test_a_load_that_finishes_while_rows_are_read_is_merged_next(spark, tmp_path, rows, monkeypatch):
+    raw, staging = f"{tmp_path}/raw", StagingTable(spark, f"{tmp_path}/staging", ["id"])
+    landed(spark, raw, T1, (1, "a"))
+    own = merge.read_raw
+
+    def read(*args, **kw):
+        out = own(*args, **kw)  # listed; then two loads finish, the newer of which is merged by another job's hand
+        monkeypatch.setattr(merge, "read_raw", own)
+        landed(spark, raw, T3, (3, "c"))
+        landed(spark, raw, T2, (2, "b"))
+        return out
+
+    monkeypatch.setattr(merge, "read_raw", read)
+    merge_table(spark, raw, staging)
+    merge_table(spark, raw, staging)
+    assert rows(staging.read(), "id") == [(1,), (2,), (3,)]
+
+
+def test_a_table_merged_before_there_was_a_ledger_goes_on(spark, tmp_path, rows):
+    raw, staging = f"{tmp_path}/raw", StagingTable(spark, f"{tmp_path}/staging", ["id"])
+    landed(spark, raw, T1, (1, "a"))
+    staging.merge(read_raw(spark, raw).drop("load_date", "load_hour"))
+    assert staging.merged_loads() is None
+    landed(spark, raw, T2, (1, "b"))
+    assert merge_table(spark, raw, staging).updated == 1 and len(staging.merged_loads()) == 2
+
+
+def test_a_table_grows_with_its_columns_types(spark, tmp_path, rows):
+    raw, staging = f"{tmp_path}/raw", StagingTable(spark, f"{tmp_path}/staging", ["id"], buckets=3)
+    landed(spark, raw, T1, *[(n, n) for n in range(9)], columns="id int, v int")
+    merge_table(spark, raw, staging)
+    landed(spark, raw, T2, (None, 1), columns="id int, v bigint")
+    assert merge_table(spark, raw, staging).rejected == 1  # nothing but a NULL key: the table stays as it is
+    assert staging.read().schema["v"].dataType == T.IntegerType()
+    landed(spark, raw, T2, (3, 2**40), (2**41, 7), columns="id bigint, v bigint")
+    merge_table(spark, raw, staging)
+    want = [(n, n) for n in range(9) if n != 3] + [(3, 2**40), (2**41, 7)]
+    assert rows(staging.read(), "id", "v") == sorted(want, key=str)
+    assert dict(staging.read().dtypes)["id"] == "bigint"
+    landed(spark, raw, T3, (3, 5), columns="id int, v int")  # narrower again: cast, not written anew
+    merge_table(spark, raw, staging)
+    assert rows(staging.read().filter("id = 3"), "id", "v") == [(3, 5)]
+
+
 def config(spark, *rows):
     return control_rows(spark, [("shop", *r) for r in rows], LOAD_CONFIG)
 

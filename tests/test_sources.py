@@ -14,7 +14,8 @@ from tidemark.plans.pools import in_threads
 from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG, SNAPSHOT_MANIFEST
 from tidemark.sources.control import expire_snapshots, load_config, snapshot_tables
 from tidemark.sources.databases import FileSource, JdbcSource, source_for, split_options
-from tidemark.sources.raw import noted_schema, raw_path, raw_table, read_raw, write_mode, write_raw, write_with_retry
+from tidemark.sources import raw as raw_files
+from tidemark.sources.raw import finished_loads, noted_schema, raw_path, raw_table, read_raw, write_mode, write_raw, write_with_retry
 from tidemark.sources.storage import (
     KEPT_VERSIONS,
     VersionTaken,
@@ -300,6 +301,79 @@ def test_raw_columns_are_noted_and_hours_pruned(spark, tmp_path, rows):
     assert noted_schema(spark, f"{path}2") is None
 
 
+def land(spark, path, at, value, columns="id int", mode="append"):
+    write_raw(stamp(spark.createDataFrame([(value,)], columns), at), path, at, mode)
+
+
+def test_the_ledger_has_loads_as_they_finish(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+    assert finished_loads(spark, path) == []
+    for n, at in enumerate((HOUR_2, HOUR_1, HOUR_1)):  # the older one later, and two of one stamp
+        land(spark, path, at, n)
+    loads = finished_loads(spark, path)
+    assert [load.stamp for load in loads] == [HOUR_1, HOUR_1, HOUR_2] and len({load.id for load in loads}) == 3
+    assert finished_loads(spark, path, HOUR_2) == loads[2:]
+    files = [f.rsplit("/", 1)[1] for f in read_raw(spark, path).inputFiles()]
+    assert sorted(f.split("-")[1] for f in files) == sorted(load.id for load in loads)
+    assert "_landing" not in child_names(spark, path) or not child_names(spark, f"{path}/_landing")
+    # an older hour is read again for a load in it, and no other hour is
+    late = read_raw(spark, path, since=NEXT_DAY, also=[HOUR_1])
+    assert rows(late, "id") == [(1,), (2,)]
+
+
+def test_an_overwrite_replaces_its_hour_and_an_empty_load_nothing(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+    for n, (at, mode) in enumerate([(HOUR_1, "append"), (HOUR_2, "append"), (HOUR_1, "overwrite")]):
+        land(spark, path, at, n, mode=mode)
+    empty = spark.createDataFrame([], "id int")
+    write_raw(stamp(empty, HOUR_2), path, HOUR_2, "overwrite")
+    assert rows(read_raw(spark, path), "id") == [(1,), (2,)]
+    assert len(finished_loads(spark, path)) == 4
+
+
+def test_a_load_that_fails_half_way_leaves_nothing(spark, tmp_path, rows, monkeypatch):
+    path, calls = str(tmp_path / "raw"), []
+    land(spark, path, HOUR_1, 0)
+    own = raw_files.move
+
+    def crash(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("gone")
+        own(*args)
+
+    monkeypatch.setattr(raw_files, "move", crash)
+    two = spark.createDataFrame([(1,), (2,)], "id int").repartition(2)
+    with pytest.raises(OSError):
+        write_raw(stamp(two, HOUR_1), path, HOUR_1, "overwrite")
+    assert len(calls) == 2 and rows(read_raw(spark, path), "id") == [(0,)] and len(finished_loads(spark, path)) == 1
+
+
+def test_loads_of_other_types_are_read_as_the_widest(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+    land(spark, path, HOUR_1, 1)
+    land(spark, path, HOUR_1, 2**40, "id bigint")  # in the same hour
+    land(spark, path, HOUR_2, 2**41, "id bigint")
+    land(spark, path, NEXT_DAY, Decimal("1.5"), "id decimal(4,1)")
+    out = read_raw(spark, path)
+    assert out.schema["id"].dataType == T.DecimalType(21, 1)
+    assert rows(out, "id") == sorted([(Decimal(v),) for v in ("1.0", f"{2**40}.0", f"{2**41}.0", "1.5")], key=str)
+    assert rows(read_raw(spark, path, since=HOUR_2), "id") == sorted([(Decimal(f"{2**41}.0"),), (Decimal("1.5"),)], key=str)
+    land(spark, path, NEXT_DAY, "x", "id string")
+    assert rows(read_raw(spark, path), "id") == [("1",), ("1.5",), (str(2**40),), (str(2**41),), ("x",)]
+    land(spark, path, NEXT_DAY, [1], "id array<int>")
+    with pytest.raises(TypeError, match="column 'id'"):
+        read_raw(spark, path)
+
+
+def test_files_from_before_the_ledger_are_opened(spark, tmp_path, rows):
+    path = str(tmp_path / "raw")
+    land(spark, path, HOUR_1, 1)
+    raw_files.delete(spark, f"{path}/_loads")
+    land(spark, path, HOUR_1, 2**40, "id bigint")
+    assert rows(read_raw(spark, path), "id") == [(1,), (2**40,)]
+
+
 def test_long_replaced_versions_go(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(KEPT_VERSIONS + 2):

@@ -103,7 +103,8 @@ def test_new_columns_are_null_in_old_rows_and_missing_ones_in_new(spark, table,
 def test_values_take_the_type_of_the_table(spark, table, rows, way):
     table.merge(load(spark, [(1, 1, "a")], 0))
     table.merge(load(spark, [(1, 2, 30)], 1, "k bigint, seq bigint, v int"))
-    assert dict(table.read().dtypes)["k"] == "int" and rows(table.read(), "k", "seq", "v") == [(1, 2, "30")]
+    # wider numbers make the column wider, numbers in a text column are text
+    assert dict(table.read().dtypes)["k"] == "bigint" and rows(table.read(), "k", "seq", "v") == [(1, 2, "30")]
 
 
 def merges(table):

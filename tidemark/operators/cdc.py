@@ -71,10 +71,13 @@ def raw_since(
     raw: DataFrame,
     last_run: datetime | str | Column | None,
     high: datetime | str | Column | None = None,
+    also: Sequence[datetime] = (),
 ) -> DataFrame:
-    """RAW rows stamped in ``(last_run, high]``; no last run means from the start of time."""
+    """RAW rows stamped in ``(last_run, high]``; no last run means from the start of time. Rows of
+    the stamps in ``also``, of loads that finished out of turn, come on top."""
     after = ntz(EPOCH) if last_run is None else F.coalesce(ntz(last_run), ntz(EPOCH))
-    rows = raw.filter(F.col(STAMP) > after)
+    wanted = F.col(STAMP) > after
+    rows = raw.filter(reduce(or_, [F.col(STAMP) == ntz(s) for s in sorted(set(also))], wanted))
     return rows if high is None else rows.filter(F.col(STAMP) <= ntz(high))
 
 

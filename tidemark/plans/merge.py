@@ -14,7 +14,7 @@ from tidemark.operators.config import KEY, advance_merge_watermark, merge_config
 from tidemark.plans.pools import in_threads, use_pool
 from tidemark.schemas import MERGE_STATE
 from tidemark.sources.control import split_names
-from tidemark.sources.raw import raw_table, read_raw
+from tidemark.sources.raw import finished_loads, raw_table, read_raw
 from tidemark.sources.staging import MergeCounts, StagingTable
 from tidemark.sources.storage import control_rows, update
 
@@ -46,14 +46,22 @@ def merge_table(
     null_keys: str = "reject",
     keep_states: int | None = KEPT_STATES,
 ) -> MergeCounts:
-    """Merge the RAW rows stamped after the last merge into the staging table, and then delete
-    what none of its last ``keep_states`` states reads (None: delete nothing)."""
-    last = staging.high_mark()
-    rows = read_raw(spark, raw, since=max(filter(None, [last, full_loaded_at]), default=None))
+    """Merge the RAW rows of loads that have not been merged into the staging table, and then delete
+    what none of its last ``keep_states`` states reads (None: delete nothing).
+
+    These are the rows stamped after the last merge, and those of loads with older stamps that
+    have finished since. A row of such a late load does not replace one of a newer load.
+    """
+    last, merged = staging.high_mark(), staging.merged_loads()
+    # Listed before rows are read: what finishes in between is news to the next merge.
+    loads = finished_loads(spark, raw, full_loaded_at)
+    known = last is not None and merged is not None
+    late = sorted({load.stamp for load in loads if known and load.stamp <= last and load.id not in merged})
+    rows = read_raw(spark, raw, since=max(filter(None, [last, full_loaded_at]), default=None), also=late)
     if rows is None:
         return MergeCounts(0, 0, 0, None)
-    fresh = raw_since(raw_table(rows, full_loaded_at), last)
-    done = staging.merge(fresh, change_cols, null_keys=null_keys)
+    fresh = raw_since(raw_table(rows, full_loaded_at), last, also=late)
+    done = staging.merge(fresh, change_cols, bool(late), null_keys, [load.id for load in loads])
     if keep_states is not None and done.high_mark is not None:
         staging.vacuum(keep_states)
     return done
@@ -101,7 +109,7 @@ def merge_schema(
             staging = StagingTable(spark, f"{staging_root}/{name[0]}/{name[1]}", keys)
             raw = f"{raw_root}/{table['source_database']}/{table['source_table']}"
             done = merge_table(spark, raw, staging, table["change_cols"] or (), table["full_loaded_at"])
-            mark = done.high_mark or staging.high_mark()
+            mark = max(filter(None, [done.high_mark, staging.high_mark()]), default=None)
             return (*name, "SUCCESS", done.updated, done.inserted, done.rejected, mark, None)
         except Exception as e:
             return (*name, "FAILED", None, None, None, None, str(e))

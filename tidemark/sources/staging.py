@@ -8,7 +8,11 @@ Of two writers that start from one state only one can publish; the other fails a
 again. Buckets double in number when they have grown past twice their planned size.
 
 What a merge does to a row depends on the row alone, never on the size of the load: columns
-of the table that the load lacks are NULL in its rows, whichever plan is taken.
+of the table that the load lacks are NULL in its rows, whichever plan is taken. A column whose type
+has grown in the load grows in the table, which is then written anew once.
+
+Beside its high mark a state names the loads that have been merged, so that one which finishes late,
+under an older stamp, is not taken for merged.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import widest_fields
 from tidemark.operators.cdc import STAMP
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.upsert import FROM_SOURCE, has_null_key, inserts_null_keys, rejected_rows, upsert_stored
@@ -32,8 +37,10 @@ from tidemark.sources.storage import (
     current_version,
     delete,
     publish,
+    read_text,
     version_path,
     versions,
+    write_text,
 )
 
 BUCKET, MERGE = "_bucket", "_merge"
@@ -52,6 +59,7 @@ _CURRENT = T.StructType(
         T.StructField("buckets", T.IntegerType()),
         T.StructField("columns", T.StringType()),
         T.StructField("high_mark", T.TimestampNTZType()),
+        T.StructField("loads", T.LongType()),
     ]
 )
 
@@ -124,6 +132,18 @@ class StagingTable:
         """Stamp up to which RAW rows have been merged."""
         return max((e["high_mark"] for e in self._entries()[1]), default=None)
 
+    def merged_loads(self) -> set[str] | None:
+        """Numbers of the loads that have been merged; None if that was not noted."""
+        noted = self._loads_noted(self._entries()[1])
+        return None if noted is None else set(json.loads(read_text(self.spark, self._loads_path(noted))))
+
+    def _loads_path(self, number: int) -> str:
+        return f"{self.path}/loads/{number:020d}.json"
+
+    @staticmethod
+    def _loads_noted(entries: Sequence[Row]) -> int | None:
+        return max((e["loads"] for e in entries if e["loads"] is not None), default=None)
+
     def read(self) -> DataFrame | None:
         """All rows; None before the first merge."""
         _, entries = self._entries()
@@ -155,12 +175,14 @@ class StagingTable:
         change_cols: Sequence[str] = (),
         keep_newer: bool = False,
         null_keys: str = "reject",
+        loads: Sequence[str] | None = None,
     ) -> MergeCounts:
         """Merge the newest row per key of ``rows``, which carry a load stamp, into the table.
 
         Newest is by stamp, then by change columns. The newest load wins over the table, or,
         with ``keep_newer``, only where the row of the table is not newer by the same order.
-        ``null_keys`` is as for ``upsert``; rejected rows are written aside.
+        ``null_keys`` is as for ``upsert``; rejected rows are written aside. ``loads`` are the
+        numbers of all loads that have been merged once this is done, noted in the same step.
         """
         reject = not inserts_null_keys(null_keys)
         published, entries = self._entries()
@@ -169,7 +191,9 @@ class StagingTable:
         buckets = self._grown_buckets(entries) if entries else self._first_buckets(rows)
         order = [STAMP, *change_cols]
 
-        rows = _as_stored(rows, entries)
+        columns = widest_fields([_columns(entries), rows.schema])
+        widened = any(columns[f.name].dataType != f.dataType for f in _columns(entries).fields)
+        rows = _as_stored(rows, columns)
         newest = dedupe_latest(rows, self.keys, order)
         # Taken while the rows pass by; both hold when a task is run twice. The one row that
         # is left of a NULL key tells whether any was there.
@@ -183,7 +207,7 @@ class StagingTable:
             increment = increment.filter(~has_null_key(self.keys))
         if entries:
             newer_by = order if keep_newer else []
-            counts, touched, buckets = self._rewrite(number, increment, entries, buckets, newer_by, null_keys)
+            counts, touched, buckets = self._rewrite(number, increment, entries, buckets, newer_by, null_keys, widened)
         else:
             first = increment.withColumn(FROM_SOURCE, F.lit(True))
             # Where the tasks of a shuffle are a multiple of the buckets, the newest rows lie by
@@ -195,8 +219,14 @@ class StagingTable:
         if high is None:
             return MergeCounts()
         rejected = self._write_rejects(number, rows) if reject and seen.get["null_keys"] else 0
-        kept = entries if entries and entries[0]["buckets"] == buckets else []
-        self._publish(version, number, entries, kept, touched, buckets, increment, high)
+        if not touched:  # nothing was written, so nothing was widened
+            columns, widened = _columns(entries), False
+        kept = entries if entries and entries[0]["buckets"] == buckets and not widened else []
+        noted = self._loads_noted(entries)
+        if loads is not None:
+            noted = number
+            write_text(self.spark, self._loads_path(number), json.dumps(sorted(loads)))
+        self._publish(version, number, entries, kept, touched, buckets, columns, high, noted)
         return MergeCounts(*counts, rejected, datetime.fromisoformat(high))
 
     def _write_rejects(self, number: int, rows: DataFrame) -> int:
@@ -215,9 +245,10 @@ class StagingTable:
         buckets: int,
         newer_by: Sequence[str],
         null_keys: str,
+        widened: bool,
     ) -> tuple[tuple[int, int], set[int], int]:
-        """Store the increment, then write the buckets it touches anew, or all if their number
-        changes; returns that number too.
+        """Store the increment, then write the buckets it touches anew, or all if their number or
+        the type of a column changes; returns that number too.
 
         The increment is read several times and its size decides how, so it is made once.
         """
@@ -229,11 +260,12 @@ class StagingTable:
         touched = set(seen.get["touched"])
         if not touched:
             buckets = entries[0]["buckets"]
-        doubled = entries[0]["buckets"] != buckets
-        old = entries if doubled else [e for e in entries if e["bucket"] in touched]
-        if doubled:
-            # Every bucket splits, so all are written anew.
-            target = self._rows(old).withColumn(BUCKET, bucket_of(self.keys, buckets))
+        anew = bool(touched) and (widened or entries[0]["buckets"] != buckets)
+        old = entries if anew else [e for e in entries if e["bucket"] in touched]
+        if anew:
+            # Buckets split, or keys of another type fall into other ones, so all are written.
+            rows = _as_stored(self._rows(old).drop(BUCKET), increment.drop(BUCKET).schema)
+            target = rows.withColumn(BUCKET, bucket_of(self.keys, buckets))
             merged, before = self._merge_by_bucket(target, stored, newer_by, buckets), target.count()
         elif not touched or not old:
             merged, before = self._by_bucket(stored.withColumn(FROM_SOURCE, F.lit(True)), buckets), 0
@@ -319,16 +351,13 @@ class StagingTable:
         kept: Sequence[Row],
         touched: set[int],
         buckets: int,
-        increment: DataFrame,
+        columns: T.StructType,
         high: str,
+        loads: int | None,
     ) -> None:
-        columns = _columns(entries)
-        for f in increment.drop(BUCKET).schema.fields:
-            if f.name not in columns.fieldNames():
-                columns.add(f.name, f.dataType)
         mark = max([datetime.fromisoformat(high), *[e["high_mark"] for e in entries]])
         merge_of = {e["bucket"]: e["merge"] for e in kept} | dict.fromkeys(touched, number)
-        rows = [(bucket, merge, buckets, columns.json(), mark) for bucket, merge in merge_of.items()]
+        rows = [(bucket, merge, buckets, columns.json(), mark, loads) for bucket, merge in merge_of.items()]
         publish(control_rows(self.spark, rows, _CURRENT), self._state, version)
 
     def vacuum(self, keep: int = 2) -> int:
@@ -339,7 +368,12 @@ class StagingTable:
         if not recent:
             return 0
         states = self.spark.read.schema(_CURRENT).parquet(*[version_path(self._state, n) for n in recent])
-        used = {(r["merge"], r["bucket"]) for r in states.select("merge", "bucket").collect()}
+        rows = states.select("merge", "bucket", "loads").collect()
+        used = {(r["merge"], r["bucket"]) for r in rows}
+        noted = {f"{r['loads']:020d}.json" for r in rows if r["loads"] is not None}
+        for name in child_names(self.spark, f"{self.path}/loads"):
+            if name not in noted and name[:1].isdigit() and int(name.split(".")[0]) >> _ATTEMPT_BITS <= newest:
+                delete(self.spark, f"{self.path}/loads/{name}")
         gone = 0
         for merge in [int(n.split("=")[1]) for n in child_names(self.spark, self._data)]:
             base = self._merge_path(merge)
@@ -357,10 +391,10 @@ def _columns(entries: Sequence[Row]) -> T.StructType:
     return T.StructType.fromJson(json.loads(entries[0]["columns"])) if entries else T.StructType()
 
 
-def _as_stored(rows: DataFrame, entries: Sequence[Row]) -> DataFrame:
-    """Rows with the types the table already has for its columns, and NULL in those they lack."""
-    stored = {f.name: f.dataType for f in _columns(entries).fields}
+def _as_stored(rows: DataFrame, columns: T.StructType) -> DataFrame:
+    """Rows with all the columns, of these types, and NULL in those they lack."""
     own = {f.name: f.dataType for f in rows.schema.fields}
+    stored = {f.name: f.dataType for f in columns.fields}
     cast = {name: F.col(name).cast(kind) for name, kind in stored.items() if name in own and own[name] != kind}
     absent = {name: F.lit(None).cast(kind) for name, kind in stored.items() if name not in own}
     return rows.withColumns({**cast, **absent})

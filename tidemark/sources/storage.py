@@ -45,6 +45,15 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(where, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """A file to a place that is free, whose folder is made if it is missing."""
+    fs, old = _locate(spark, source)
+    _, new = _locate(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file, there as a whole or not at all."""
     fs, where = _locate(spark, path)

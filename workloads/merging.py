@@ -7,14 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.cdc import stamp
+from tidemark.operators.cdc import raw_since, stamp
 from tidemark.operators.config import KEY, advance_merge_watermark
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.upsert import merge_inserts, merge_matched, merge_stats, upsert
 from tidemark.plans.merge import merge_schema, merge_table
 from tidemark.plans.pools import in_threads
 from tidemark.session import work_dir
-from tidemark.sources.raw import write_raw
+from tidemark.sources.raw import PARTITIONS, finished_loads, read_raw, write_raw
 from tidemark.schemas import MERGE_STATE
 from tidemark.sources.staging import StagingTable
 from tidemark.sources.storage import read_current
@@ -25,6 +25,7 @@ from workloads.inputs import (
     ORDERS_CUT,
     T1,
     T2,
+    T2_LATER,
     T3,
     Query,
     between,
@@ -117,6 +118,69 @@ def merged_by_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     return staging.read()
 
 
+# Loads of events in the order in which they finish: the second one comes last.
+OUT_OF_TURN = [
+    (T1, None, EVENTS_CUT),
+    (T3, "2024-01-24 23:50:00", None),
+    (T2, EVENTS_BACK, "2024-01-25 00:00:00"),
+]
+
+
+def merged_out_of_turn(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging after three loads, of which the second by its stamp finished last."""
+    base = work_dir(spark, "merge_out_of_order")
+    staging = StagingTable(spark, f"{base}/staging", ["user_id"])
+    for at, after, up_to in OUT_OF_TURN:
+        _land(between(table(spark, sf, "events"), "ts", after, up_to), f"{base}/raw", at)
+        merge_table(spark, f"{base}/raw", staging, ["ts"])
+    return staging.read()
+
+
+def raw_out_of_turn(spark: SparkSession, sf: str) -> DataFrame:
+    """The increment of RAW after the first and the third load were merged and the second landed."""
+    base = work_dir(spark, "raw_incremental_out_of_order")
+    staging = StagingTable(spark, f"{base}/staging", ["user_id"])
+    for at, after, up_to in OUT_OF_TURN:
+        _land(between(table(spark, sf, "events"), "ts", after, up_to), f"{base}/raw", at)
+        if at != T2:
+            merge_table(spark, f"{base}/raw", staging, ["ts"])
+    last, merged = staging.high_mark(), staging.merged_loads()
+    late = [load.stamp for load in finished_loads(spark, f"{base}/raw") if load.id not in merged]
+    return raw_since(read_raw(spark, f"{base}/raw", since=last, also=late), last, also=late).drop(*PARTITIONS)
+
+
+def widened(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders merged from three loads whose columns grow: whole numbers to longer ones and to decimals,
+    decimals to more digits, dates to times, and a number to text. Two of them land in one hour."""
+    base = work_dir(spark, "merge_widened")
+    orders = table(spark, sf, "orders")
+    price = F.col("o_totalprice")
+    plain = orders.select(
+        "o_orderkey",
+        F.col("o_custkey").cast("int").alias("customer"),
+        price.cast("decimal(12,1)").alias("price"),
+        F.col("o_orderdate").cast("date").alias("ordered"),
+        F.col("o_custkey").cast("int").alias("code"),
+        "o_orderdate",
+    )
+    grown = orders.select(
+        "o_orderkey",
+        F.col("o_custkey").cast("bigint").alias("customer"),
+        price.cast("decimal(16,2)").alias("price"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("ordered"),
+        F.concat(F.lit("c"), F.col("o_custkey")).alias("code"),
+        "o_orderdate",
+    )
+    longer = grown.withColumn("customer", F.col("customer").cast("decimal(20,1)"))
+    staging = StagingTable(spark, f"{base}/staging", ["o_orderkey"])
+    loads = [(T1, plain, None, "1996-01-01 00:00:00"), (T2, grown, "1995-01-01 00:00:00", ORDERS_CUT), (T2_LATER, longer, ORDERS_BACK, None)]
+    for number, (at, rows, after, up_to) in enumerate(loads):
+        _land(between(rows, "o_orderdate", after, up_to).drop("o_orderdate"), f"{base}/raw", at)
+        if number != 1:
+            merge_table(spark, f"{base}/raw", staging)
+    return staging.read()
+
+
 def _schema_change(spark: SparkSession, sf: str, limit: int) -> DataFrame:
     base = work_dir(spark, "merge_schema_change")
     orders = table(spark, sf, "orders")
@@ -281,6 +345,28 @@ QUERIES = {
                            when ts > {sql_ts(EVENTS_BACK)} then {sql_ts(T2)} else {sql_ts(T1)} end as insert_timestamp
             from events qualify row_number() over (partition by user_id order by ts desc) = 1""",
     ),
+    "merge_out_of_order": Query(
+        merged_out_of_turn,
+        f"""select *, case when ts > timestamp '2024-01-24 23:50:00' then {sql_ts(T3)}
+                           when ts > {sql_ts(EVENTS_BACK)} then {sql_ts(T2)} else {sql_ts(T1)} end as insert_timestamp
+            from events qualify row_number() over (partition by user_id order by ts desc) = 1""",
+    ),
+    "raw_incremental_out_of_order": Query(
+        raw_out_of_turn,
+        f"""select *, {sql_ts(T2)} as insert_timestamp from events
+            where ts > {sql_ts(EVENTS_BACK)} and ts <= timestamp '2024-01-25 00:00:00'""",
+    ),
+    "merge_widened": Query(
+        widened,
+        f"""select o_orderkey, cast(o_custkey as decimal(21,1)) as customer,
+                   cast(case when o_orderdate > timestamp '1995-01-01' then cast(o_totalprice as decimal(16,2))
+                             else cast(cast(o_totalprice as decimal(12,1)) as decimal(16,2)) end as decimal(16,2)) as price,
+                   cast(case when o_orderdate > timestamp '1995-01-01' then o_orderdate else cast(o_orderdate as date) end as timestamp) as ordered,
+                   case when o_orderdate > timestamp '1995-01-01' then 'c' else '' end || o_custkey as code,
+                   case when o_orderdate > {sql_ts(ORDERS_BACK)} then {sql_ts(T2_LATER)}
+                        when o_orderdate > timestamp '1995-01-01' then {sql_ts(T2)} else {sql_ts(T1)} end as insert_timestamp
+            from orders""",
+    ),
     "merge_schema_change": Query(
         schema_change,
         f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
