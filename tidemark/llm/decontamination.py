@@ -14,9 +14,15 @@ by their words as they are, without case and punctuation, so they match verbatim
 word must have a letter: items of numbers and signs alone are found nowhere. Items shorter than a window are one window of
 their own length.
 
+Texts are first cut into pieces of ``PIECE`` words, which overlap by a window and one word before it, as far as a template looks
+back. A piece is only looked at further if it holds an anchor: every key of an item's window has one, two neighbouring words that are
+ordinary in the key's reading (or one word, where no two are neighbours), which a document must have as they are to get that key. So
+this leaves out no hit; it spares most of the text the templates. There are at most as many anchors as windows of items; they depend
+on the benchmark alone and go with the query.
+
 Spark chooses how to join by the size of the items' windows; nothing is broadcast by hint.
 
-Defined cases: null, empty and blank texts and items match nothing; repeated rows of a document are reported once;
+Defined cases: a very long text is worked on in pieces like any other; null, empty and blank texts and items match nothing; repeated rows of a document are reported once;
 documents of one doc_id with different texts are judged one by one and reported with the best match; a null doc_id
 or item_id is kept as it is; an empty table gives no rows; other columns are ignored.
 """
@@ -30,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, texts
 
-WINDOW, LEAST_WORDS, LITERAL = 8, 13, 3
+WINDOW, LEAST_WORDS, LITERAL, PIECE = 8, 13, 3, 64
 # Placeholders, the marks around what may be a name, and the unit words that follow a number.
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 OPEN, CLOSE = "\x04", "\x05"
@@ -42,11 +48,15 @@ HITS = "doc_id long, t long, item_id long, item_size int, n int, item_at int, sh
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
 
-def template(text: Column) -> Column:
-    """The words of a text as a template, one for each word between blanks. A capitalised word where a sentence may
-    start is a word or a name, and stands between marks."""
-    out = F.trim(F.regexp_replace(text, _SPACE, " "))
-    out = F.regexp_replace(out, "(?<=[\\p{L}\\p{N},;]\\x20)\\p{Lu}\\p{Ll}+", NAME)
+def one_line(text: Column) -> Column:
+    """A text with single blanks between its words."""
+    return F.trim(F.regexp_replace(text, _SPACE, " "))
+
+
+def template(line: Column) -> Column:
+    """The words of a line as a template, one for each word between blanks. A capitalised word where a sentence may
+    start is a word or a name, and stands between marks. A word depends on the one before it, and on no others."""
+    out = F.regexp_replace(line, "(?<=[\\p{L}\\p{N},;]\\x20)\\p{Lu}\\p{Ll}+", NAME)
     out = F.regexp_replace(out, "(?<![\\p{L}\\p{N}\\x02])(\\p{Lu}\\p{Ll}+)", f"{OPEN}$1{CLOSE}")
     out = F.regexp_replace(out, "[0-9]+(?:[.,:/][0-9]+)*", NUMBER)
     mark = "[^\\p{L}\\p{N}\\x02\\x04\\x05\\x20]{0,4}"
@@ -72,11 +82,10 @@ def is_slot(word: Column) -> Column:
     return word.rlike("[\\x01-\\x03]")
 
 
-def plain(text: Column) -> Column:
-    """The words of a text as they are, without case and punctuation (but for that between two digits), one for each word
+def plain(line: Column) -> Column:
+    """The words of a line as they are, without case and punctuation (but for that between two digits), one for each word
     between blanks."""
-    out = F.trim(F.regexp_replace(text, _SPACE, " "))
-    out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\x20]+(?![0-9])|(?<![0-9])[^\\p{L}\\p{N}\\x20]+", "")
+    out = F.regexp_replace(line, "[^\\p{L}\\p{N}\\x20]+(?![0-9])|(?<![0-9])[^\\p{L}\\p{N}\\x20]+", "")
     return F.split(F.lower(out), " ", -1)
 
 
@@ -115,13 +124,39 @@ def is_ordinary(word: Column) -> Column:
     return ~is_slot(word) & (word != "")
 
 
-def document_keys(rows: DataFrame, n: int, literal: int) -> DataFrame:
-    """(doc_id, t, at, h): the keys of every window of n words of the documents. The reading with names counts; it gives way
+def pieces_of(rows: DataFrame, n: int) -> DataFrame:
+    """(doc_id, t, first, before, line): the windows of n words that start in each PIECE words of a text. ``first`` is the place
+    of the line's first word, and ``before`` is 1 if that is only there for what it tells of the next one."""
+    # strings of PIECE words with a blank behind each word, so a long text is never an array of its words
+    cut = F.regexp_extract_all(F.concat(one_line(F.col("text")), F.lit(" ")), F.lit(f"(?:[^ ]+ ){{1,{PIECE}}}"), F.lit(0))
+    last = lambda piece: F.substring_index(F.rtrim(piece), " ", -1)
+    ahead = lambda piece: F.coalesce(F.substring_index(piece, " ", n - 1), F.lit(""))
+    grown = lambda own, p, k: F.rtrim(F.concat(
+        F.when(k > 0, F.concat(last(F.get(own, k - 1)), F.lit(" "))).otherwise(""), p, ahead(F.get(own, k + 1))))
+    lines = _let(cut, lambda own: F.transform(own, lambda p, k: grown(own, p, k)))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("t"), F.posexplode(lines).alias("k", "line"))
+    before = F.when(F.col("k") > 0, 1).otherwise(0)
+    return rows.select("doc_id", "t", (F.col("k") * PIECE - before).alias("first"), before.alias("before"), "line")
+
+
+def anchored(pieces: DataFrame, anchors: DataFrame) -> DataFrame:
+    """The pieces with an anchor, and their plain words ``e``."""
+    known = anchors.select("pair", "anchor").distinct().collect()
+    pairs, singles = ([r["anchor"] for r in known if r["pair"] == kind] for kind in (True, False))
+    neighbours = lambda e: F.zip_with(e, F.slice(e, F.lit(2), F.size(e)), lambda a, b: F.xxhash64(a, b))
+    found = _let(F.col("e"), lambda e: F.exists(neighbours(e), lambda h: h.isin(pairs))) if pairs else F.lit(False)
+    if singles:
+        found = found | F.exists("e", lambda w: F.xxhash64(w).isin(singles))
+    return pieces.withColumn("e", plain(F.col("line"))).filter(found)
+
+
+def document_keys(pieces: DataFrame, n: int, literal: int) -> DataFrame:
+    """(doc_id, t, at, h): the keys of every window of n words of the pieces. The reading with names counts; it gives way
     to the words as they are where it has fewer than ``literal`` ordinary words. The reading with words comes on top."""
-    lines = rows.select("doc_id", F.xxhash64("text").alias("t"), template(F.col("text")).alias("m"), plain(F.col("text")).alias("e"))
-    lines = lines.select("doc_id", "t", split(as_words(F.col("m"))).alias("w"), split(as_names(F.col("m"))).alias("v"), "e")
+    lines = pieces.withColumn("m", template(F.col("line")))
+    lines = lines.select("doc_id", "t", "first", "before", split(as_words(F.col("m"))).alias("w"), split(as_names(F.col("m"))).alias("v"), "e")
     hashed = lines.select(
-        "doc_id", "t", window_hashes(F.col("w"), n).alias("hw"), window_hashes(F.col("v"), n).alias("hv"),
+        "doc_id", "t", "first", "before", window_hashes(F.col("w"), n).alias("hw"), window_hashes(F.col("v"), n).alias("hv"),
         ordinary_words(F.col("v"), n).alias("count"), "e",
     )
     few = lambda count: count < min(literal, n)
@@ -131,12 +166,14 @@ def document_keys(rows: DataFrame, n: int, literal: int) -> DataFrame:
     exact = lambda he: F.transform("hv", lambda h, i: key(i, F.when(few(F.get("count", i)), F.get(he, i)).otherwise(h)))
     names = _let(F.col("he"), exact)
     words = F.filter(F.transform("hw", lambda h, i: F.when(h != F.get("hv", i), key(i, h))), lambda k: k.isNotNull())
-    return hashed.select("doc_id", "t", F.inline(F.concat(names, words)))
+    keys = hashed.select("doc_id", "t", "first", "before", F.inline(F.concat(names, words))).filter("at >= before")
+    return keys.select("doc_id", "t", (F.col("first") + F.col("at")).alias("at"), "h")
 
 
 def item_keys(read: DataFrame, n: int, literal: int) -> DataFrame:
-    """(item_id, item_size, n, item_at, h): the keys of the windows of the items of this window size, for each reading of
-    a window that has enough ordinary words, and for its words as they are if the one with names has not."""
+    """(item_id, item_size, n, item_at, h, pair, anchor): the keys of the windows of the items of this window size, for each reading
+    of a window that has enough ordinary words, and for its words as they are if the one with names has not; and the anchor of each
+    key, the longest two neighbouring words that are no slots, or the longest one."""
     rows = read.filter(F.col("n") == n).withColumn("item_at", F.explode(F.sequence(F.lit(0), F.col("item_size") - n)))
     own = lambda c: F.slice(c, F.col("item_at") + 1, F.lit(n))
     rows = rows.select("item_id", "item_size", "n", "item_at", own("m").alias("m"), own("e").alias("e"))
@@ -146,9 +183,19 @@ def item_keys(read: DataFrame, n: int, literal: int) -> DataFrame:
         lambda all_, m: F.when(m.contains(OPEN), F.concat(longer(all_, as_words(m)), longer(all_, as_names(m)))).otherwise(longer(all_, m)),
     )
     enough = lambda one: F.size(F.filter(one, is_ordinary)) >= min(literal, n)
-    exact = F.when(enough(F.element_at("r", -1)), F.array().cast("array<array<string>>")).otherwise(F.array("e"))
-    rows = rows.withColumn("r", readings).withColumn("words", F.explode(F.concat(F.filter("r", enough), exact)))
-    return rows.select("item_id", "item_size", "n", "item_at", F.get(window_hashes(F.col("words"), n), F.lit(0)).alias("h"))
+    key = lambda words, verbatim: F.struct(words.alias("words"), F.lit(verbatim).alias("verbatim"))
+    exact = F.filter(F.array(F.when(~enough(F.element_at("r", -1)), key(F.col("e"), True))), lambda k: k.isNotNull())
+    keys = F.concat(F.transform(F.filter("r", enough), lambda words: key(words, False)), exact)
+    rows = rows.withColumn("r", readings).select("item_id", "item_size", "n", "item_at", F.inline(keys))
+    fixed = lambda w: (F.length(w) > 0) & (~is_slot(w) | F.col("verbatim"))
+    both = F.zip_with("words", F.slice("words", F.lit(2), F.lit(n)), lambda a, b: F.when(
+        fixed(a) & fixed(b), F.struct((F.length(a) + F.length(b)).alias("size"), F.xxhash64(a, b).alias("hash"))))
+    one = F.transform("words", lambda w: F.when(fixed(w) | F.col("verbatim"), F.struct(F.length(w).alias("size"), F.xxhash64(w).alias("hash"))))
+    rows = rows.withColumn("both", F.array_max(F.array_compact(both))).withColumn("one", F.array_max(F.array_compact(one)))
+    return rows.select(
+        "item_id", "item_size", "n", "item_at", F.get(window_hashes(F.col("words"), n), F.lit(0)).alias("h"),
+        F.col("both").isNotNull().alias("pair"), F.coalesce("both", "one")["hash"].alias("anchor"),
+    )
 
 
 def cover(places: str, n: Column) -> Column:
@@ -165,12 +212,13 @@ def judged_slots(lined: DataFrame, window: int) -> DataFrame:
     n, shift = F.col("n"), F.col("shift")
     holds = lambda p, i: (p <= i) & (i < p + n)
     inside = F.filter(F.sequence(F.lit(0), F.col("item_size") - 1), lambda i: F.exists("places", lambda p: holds(p, i)))
-    value = lambda i: F.struct(F.get("iw", i).alias("asked"), F.get("dw", i + shift).alias("found"))
+    there = lambda i: F.get("dw", i + shift - F.greatest(shift, F.lit(0)))  # noqa: E731 dw begins where the item does, or the text
+    value = lambda i: F.struct(F.get("iw", i).alias("asked"), there(i).alias("found"))
     slots = F.filter("inside", lambda i: F.get("im", i).rlike("[\\x01-\\x04]"))
     pairs = F.array_distinct(F.transform("at", value))
     asked = F.array_distinct(F.transform("pairs", lambda p: p["asked"]))
     disputed = F.filter(asked, lambda v: F.size(F.filter("pairs", lambda p: p["asked"] == v)) > 1)
-    differs = lambda i: F.get("iw", i) != F.get("dw", i + shift)
+    differs = lambda i: F.get("iw", i) != there(i)
     maybe = lambda i: F.get("im", i).contains(OPEN)
     changed = F.filter("at", differs)
     in_dispute = lambda i, values: F.array_contains(values, F.get("iw", i)) & (differs(i) | ~maybe(i))
@@ -189,15 +237,17 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, item_words, matched_words, slots, changed_slots) of each document that holds an item."""
     named = items.select(items[item_col].alias("item_id"), items[item_text_col].cast("string").alias("item_text")).distinct()
-    read = named.withColumns({"m": split(template(F.col("item_text"))), "e": plain(F.col("item_text"))})
+    line = one_line(F.col("item_text"))
+    read = named.withColumns({"m": split(template(line)), "e": plain(line)})
     read = read.filter(F.exists("e", lambda w: w.rlike("\\p{L}")))
     read = saved(read.select("item_id", F.size("m").alias("item_size"), F.least(F.size("m"), F.lit(window)).alias("n"), "m", "e"), "item-words")
     sizes = sorted(r[0] for r in read.select("n").distinct().collect())  # window sizes, at most ``window``
     rows = texts(docs, id_col, text_col).filter("text is not null")
     hits = None
     for n in sizes:
-        own, probed = item_keys(read, n, literal), document_keys(rows, n, literal)
-        found = probed.join(own, "h").select("doc_id", "t", "item_id", "item_size", "n", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
+        own = saved(item_keys(read, n, literal), "item-keys")
+        probed = document_keys(anchored(pieces_of(rows, n), own), n, literal)
+        found = probed.join(own.drop("pair", "anchor"), "h").select("doc_id", "t", "item_id", "item_size", "n", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         hits = docs.sparkSession.createDataFrame([], HITS)
@@ -211,7 +261,7 @@ def contaminated(
     asked = named.select(F.col("item_id").alias("named_id"), "item_text")
     both = both.join(asked, F.col("item_id").eqNullSafe(F.col("named_id")))
     both = both.withColumns({
-        "dw": plain(F.col("text")), "iw": plain(F.col("item_text")), "im": split(template(F.col("item_text"))),
+        "dw": F.slice(plain(one_line(F.col("text"))), F.greatest("shift", F.lit(0)) + 1, F.col("item_size")), "iw": plain(line), "im": split(template(line)),
     })
     # Written, so filters are not pushed below and the columns not worked out once more for them.
     both = saved(judged_slots(both, window).select("doc_id", "item_id", "item_size", "n", "places", "inside", "pairs", "iw"), "judged")
