@@ -42,8 +42,6 @@ from tidemark.llm.tokens import SPELLING, Encoder, Known, default_tokenizer
 BLOCK_BYTES, BLOCK_ROWS = 2 << 20, 100_000
 #: Text that is encoded, ids that are lined up and links that are written out at a time.
 PART, TOKENS, LINKS = 1 << 19, 1 << 18, 1 << 18
-#: Words that a worker keeps the ids of, for each tokenizer.
-KEEP = 100_000
 #: Shards of the first tokenizer's ids, and blocks that are merged at a time.
 SHARDS, FAN = 64, 512
 PACK = pa.struct([("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -63,7 +61,7 @@ class Spelt:
     def __init__(self, ask: Callable[[list[bytes]], Iterator[list[int]]], spelling: list[bytes]) -> None:
         self.ask, self.spelling, self.wrong = ask, spelling, len(spelling)
         self.size = np.array([*map(len, spelling), 0], np.int64)
-        self.known = Known(self._checked, KEEP)
+        self.known = Known(self._checked)
 
     def _checked(self, words: list[bytes]) -> Iterator[list[int]]:
         for word, ids in zip(words, self.ask(words)):
@@ -339,14 +337,15 @@ def _answer(pairs: pa.Table, tables: pa.Table) -> pa.Table:
 
 
 def counted(pairs: DataFrame, n_blocks: int, width: int, fan: int) -> tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]]:
-    """(pairs dealt to nodes, the table of each shard's hash, keys, counts and highest counts, and what deals tables to nodes)."""
+    """(pairs dealt to nodes, the table of each shard's hash, keys, counts and highest counts, and what deals tables to nodes). Written
+    tables keep Python steps in stages of their own, so a task never holds two workers."""
     nodes = max(1, math.ceil(n_blocks / fan))
     dealt = pairs.withColumn("node", F.pmod(F.xxhash64("block"), F.lit(nodes)))
     every = lambda tables: tables.withColumn("node", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nodes - 1).cast("long"))))
-    keys = over_tree(dealt.select("shard", "node", "keys"), nodes, fan, _merged_keys, KEYS)
+    keys = saved(over_tree(dealt.select("shard", "node", "keys"), nodes, fan, _merged_keys, KEYS), "pair-keys")
     hashes = saved(keys.mapInArrow(_hashed, from_arrow_schema(HASHES)), "pair-hashes")
     vectors = dealt.groupBy("shard", "node").cogroup(every(hashes).groupBy("shard", "node")).applyInArrow(_vector, from_arrow_schema(VECTORS))
-    sums = over_tree(vectors, nodes, fan, _summed, VECTORS).select("shard", "vector")
+    sums = saved(over_tree(vectors, nodes, fan, _summed, VECTORS), "pair-vectors").select("shard", "vector")
 
     def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,6 +22,8 @@ from tidemark.llm.pretokens import gathered, listed, matches, numbered
 #: How byte-level vocabularies spell bytes that are no visible characters.
 VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 SPELLING = {b: chr(b) for b in VISIBLE} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*VISIBLE}))}
+#: Distinct matches whose ids a worker keeps, some 200 bytes each.
+KEEP = 100_000
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -29,7 +31,7 @@ class Known:
     """Ids of strings of bytes. ``ask`` gives those of new ones, each distinct one once while it is kept; with more than ``keep`` the
     cache begins anew."""
 
-    def __init__(self, ask: Callable[[list[bytes]], Iterable[list[int]]], keep: int = 1 << 20) -> None:
+    def __init__(self, ask: Callable[[list[bytes]], Iterable[list[int]]], keep: int = KEEP) -> None:
         self.ask, self.keep = ask, keep
         self._begin()
 
@@ -60,7 +62,7 @@ class Known:
 class Encoder:
     """Ids of texts. With ``plain`` the texts of special tokens are ordinary text."""
 
-    def __init__(self, path: str, keep: int = 1 << 20, plain: bool = False) -> None:
+    def __init__(self, path: str, keep: int = KEEP, plain: bool = False) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
         self.special = [] if plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
