@@ -9,12 +9,15 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.operators.cdc import cdc_filter
+from tidemark.operators.splits import split_points, split_predicates
 
 # Per kind of database the directory of its RAW files, the cast target of
 # cut-offs and the identifier quote; then the read settings.
@@ -59,6 +62,7 @@ class JdbcSource:
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
     fetch_size: int = FETCH_SIZE
     rows_per_split: int | None = None
+    balanced: bool = False
 
     def __post_init__(self) -> None:
         if self.kind.lower() not in DIALECTS:
@@ -83,6 +87,25 @@ class JdbcSource:
         limit = f"CAST('{cutoff}' AS {self.dialect['cast']})"
         return " WHERE " + " OR ".join(f"{self.quoted(c)} > {limit}" for c in change_cols)
 
+    def ordered(self, name: str, kind: T.DataType) -> str:
+        """A column as it is compared with split points: text by its bytes, which is how they are ordered."""
+        column = self.quoted(name)
+        if not isinstance(kind, T.StringType):
+            return column
+        return f"CAST({column} AS BINARY)" if self.kind.lower() == "mysql" else f'{column} COLLATE "C"'
+
+    def literal(self, value: Any) -> str:
+        """A split point as the database writes it."""
+        if isinstance(value, datetime):
+            return f"CAST('{value}' AS {self.dialect['cast']})"
+        if isinstance(value, date):
+            return f"CAST('{value}' AS DATE)"
+        if not isinstance(value, str):
+            return str(value)
+        mysql = self.kind.lower() == "mysql"
+        text = (value.replace("\\", "\\\\") if mysql else value).replace("'", "''")
+        return f"CAST('{text}' AS BINARY)" if mysql else f"'{text}'"
+
     def read_options(self, subquery: str, **more: Any) -> dict[str, str]:
         """Reader options. The subquery is run by the database, so its filter and its
         aggregates are too: Spark's JDBC reader pushes filters but not MIN and MAX."""
@@ -106,7 +129,9 @@ class JdbcSource:
     ) -> DataFrame:
         """Rows of the table, read over ``splits`` connections when there is a split column.
 
-        The bounds only place the strides: rows outside them and NULLs are read too.
+        The bounds only place the strides: rows outside them and NULLs are read too. A ``balanced``
+        source first reads the split column alone, in equal strides, and cuts it where parts have
+        equal numbers of rows.
         """
         rows_of = f" FROM {self.quoted(table)}{self.changed_rows(change_cols, cutoff)}"
         ranged = {}
@@ -118,6 +143,13 @@ class JdbcSource:
                 splits = max(splits, math.ceil((high - low + 1) / self.rows_per_split))
             ranged = split_options(split_col, low, high, splits)
         query = f"SELECT *{rows_of}"
+        if ranged and self.balanced:
+            keys = spark.read.format("jdbc").options(**self.read_options(f"SELECT {col}{rows_of}", **ranged)).load()
+            options = self.read_options(query)
+            url, source = options.pop("url"), options.pop("dbtable")
+            ordered = self.ordered(split_col, keys.schema[split_col].dataType)
+            literals = [self.literal(p) for p in split_points(keys, split_col, splits)]
+            return spark.read.jdbc(url, source, predicates=split_predicates(ordered, literals), properties=options)
         return spark.read.format("jdbc").options(**self.read_options(query, **ranged)).load()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from tidemark.operators.cdc import (
     split_bounds,
     stamp,
 )
+from tidemark.operators.splits import split_of, split_points
 from tidemark.sources.databases import LOOKBACK_MINUTES, source_for
 from workloads.inputs import (
     ORDERS_BACK,
@@ -80,6 +83,26 @@ def time_bounds(spark: SparkSession, sf: str) -> DataFrame:
     return split_bounds(table(spark, sf, "lineitem"), "l_shipdate")
 
 
+def balanced_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """For split columns of several kinds and shapes: rows over all parts of a read in ten, and whether the
+    largest part is within 1.3 of the mean."""
+    key = F.col("l_orderkey")
+    lines = table(spark, sf, "lineitem").select(
+        key.alias("even"),
+        (key * key * key).alias("skewed"),
+        F.when(key % 20 != 0, F.concat(F.lit("order/"), key)).alias("text"),
+        F.concat(F.when(key % 10 < 8, F.lit("a-common-prefix/")).otherwise(F.substring(F.md5(key.cast("string")), 1, 3)), key).alias("clustered"),
+        F.col("l_shipdate").alias("time"),
+    )
+    parts = []
+    for name in lines.columns:
+        part = split_of(lines, name, split_points(lines, name, 10)).alias("part")
+        sizes = lines.select(part).groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+        within = (F.max("rows") <= 1.3 * F.avg("rows")) & (F.count(F.lit(1)) >= 9)
+        parts.append(sizes.agg(F.lit(name).alias("split_col"), F.sum("rows").alias("rows"), within.alias("balanced")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Per event type one of the accepted shapes of timestamp text, or none of them.
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("ts").cast("string")
@@ -201,6 +224,11 @@ QUERIES = {
             select 'none', coalesce(min(o_orderkey), 0), coalesce(max(o_orderkey), 0) from orders
             where o_orderdate > {sql_ts(FAR)}""",
     ),
+    "split_bounds_balanced": Query(
+        balanced_bounds,
+        """select split_col, cast(count(*) as bigint) as rows, true as balanced
+           from lineitem, (values ('even'), ('skewed'), ('text'), ('clustered'), ('time')) as c (split_col) group by split_col""",
+    ),
     "split_bounds_time": Query(
         time_bounds, "select min(l_shipdate) as min_val, max(l_shipdate) as max_val from lineitem"
     ),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.cdc import raw_since, stamp
 from tidemark.operators.config import KEY, advance_merge_watermark
 from tidemark.operators.dedupe import dedupe_latest
+from tidemark.operators.reconcile import differing_keys
 from tidemark.operators.upsert import merge_inserts, merge_matched, merge_stats, upsert
 from tidemark.plans.merge import merge_schema, merge_table
 from tidemark.plans.pools import in_threads
@@ -118,6 +119,27 @@ def merged_by_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     return staging.read()
 
 
+def reconciled(spark: SparkSession, sf: str) -> DataFrame:
+    """What differs between orders and their staging table, of which some rows were changed, lost, added,
+    brought twice, or have another NULL, and whose key has become wider."""
+    base = work_dir(spark, "reconcile_tables")
+    orders, key = table(spark, sf, "orders"), F.col("o_orderkey")
+    staging = StagingTable(spark, f"{base}/staging", ["o_orderkey"])
+    _land(orders, f"{base}/raw", T1)
+    merge_table(spark, f"{base}/raw", staging)
+    copy = staging.read()
+    damaged = copy.filter(key % 89 != 3).withColumns({
+        "o_totalprice": F.when(key % 97 == 0, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")),
+        "o_orderpriority": F.when(key % 101 != 0, F.col("o_orderpriority")),
+        "o_orderkey": key.cast("decimal(20,0)"),
+    })
+    extra = copy.withColumn("o_orderkey", key.cast("decimal(20,0)"))
+    added = extra.filter((key % 103 == 0) & (key > 0)).withColumn("o_orderkey", -F.col("o_orderkey"))
+    damaged = damaged.unionByName(added).unionByName(extra.filter(key % 107 == 0))
+    found = differing_keys(orders, damaged, ["o_orderkey"], fan=64)
+    return found.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 # Loads of events in the order in which they finish: the second one comes last.
 OUT_OF_TURN = [
     (T1, None, EVENTS_CUT),
@@ -367,6 +389,15 @@ QUERIES = {
                         when o_orderdate > timestamp '1995-01-01' then {sql_ts(T2)} else {sql_ts(T1)} end as insert_timestamp
             from orders""",
     ),
+    "reconcile_tables": Query(
+        reconciled,
+        """select o_orderkey, case when o_orderkey % 89 = 3 and o_orderkey % 107 <> 0 then 'missing_right' else 'different' end as finding
+           from orders
+           where o_orderkey % 89 = 3 and not (o_orderkey % 107 = 0)
+              or o_orderkey % 89 <> 3 and (o_orderkey % 97 = 0 or o_orderkey % 101 = 0 or o_orderkey % 107 = 0)
+           union all
+           select -o_orderkey, 'missing_left' from orders where o_orderkey % 103 = 0 and o_orderkey > 0""",
+    ),
     "merge_schema_change": Query(
         schema_change,
         f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
