@@ -405,3 +405,15 @@ def test_archives_of_given_pages(spark):
     assert got == {
         p["page_id"]: ("response", None) if first[p["html"] or ""] == p["page_id"] else ("revisit", first[p["html"] or ""]) for p in pages
     }
+
+
+def test_words_with_one_polynomial_hash_are_two_words(spark):
+    from tests.llm.test_parts import TWINS
+
+    rest = " ".join(f"w{i}" for i in range(19))
+    docs = spark.createDataFrame([(1, f"{TWINS[0]} {rest}"), (2, f"{TWINS[1]} {rest}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in dedup(docs).collect()] == [0, 0]
+    seven = " ".join(f"w{i}" for i in range(7))
+    text = f"{TWINS[0]} {seven} x1 x2 x3 x4 x5 x6 x7 x8 {TWINS[1]} {seven} y1 y2"
+    row = repetition(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["n_repeat_words"] == 0 and not row["base_failed"]

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +81,34 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int64), np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
 
 
+def slices(bounds: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The bytes between neighbouring bounds as an Arrow array over the data."""
+    data = np.ascontiguousarray(data)
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+
+
+def numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(number of each value among the distinct ones, the distinct values in order of first appearance)."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
+def listed(values: pa.Array) -> list[bytes]:
+    """The values of a binary array."""
+    offsets, data = utf8(values)
+    raw, at = data[offsets[0] : offsets[-1]].tobytes(), (offsets - offsets[0]).tolist()
+    return [raw[a:b] for a, b in zip(at, at[1:])]
+
+
+def gathered(index: np.ndarray, bounds: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(flat[bounds[i]:bounds[i + 1]] for every i of the index, one after another; where each ends)."""
+    start = bounds.take(index)
+    size = bounds.take(index + 1) - start
+    stop = np.cumsum(size)
+    total = int(stop[-1]) if len(stop) else 0
+    return flat.take(np.arange(total) + np.repeat(start - stop + size, size)), stop
+
+
 def pieces(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, or of one row."""
     lo, n = 0, len(offsets) - 1
@@ -140,12 +169,12 @@ BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 class Words:
-    """The words of several texts that lie one after another: where each starts and ends, its text, and a
-    64-bit hash of its bytes. Works through long texts in blocks that end at white space."""
+    """The words of several texts that lie one after another: where each starts and ends, its text, and two
+    64-bit hashes of its bytes, the halves of XXH3's 128 bits. Works through long texts in blocks that end at white space."""
 
     def __init__(self, offsets: np.ndarray, data: np.ndarray, block: int = 1 << 20) -> None:
         first, last = int(offsets[0]), int(offsets[-1])
-        starts, ends, hashes = [], [], []
+        starts, ends, hashes, seconds = [], [], [], []
         edge = np.zeros(last - first + 1, bool)
         edge[offsets - first] = True
         lo = first
@@ -168,12 +197,16 @@ class Words:
             s = np.flatnonzero(word & (before | cut))
             after[:-1] |= cut[1:]
             e = np.flatnonzero(word & after) + 1
-            hashes.append(BYTES.between(BYTES.prefix(part.astype(np.uint64)), s, e) ^ (e - s).astype(np.uint64))
+            number, distinct = numbered(slices(np.append(0, np.cumsum(e - s)), part[word]))
+            both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, listed(distinct))), ">u8").reshape(-1, 2).astype(np.uint64)
+            hashes.append(both[:, 0].take(number))
+            seconds.append(both[:, 1].take(number))
             starts.append(s + lo)
             ends.append(e + lo)
             lo = hi
         join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
         self.start, self.end, self.hash = join(starts, np.int64), join(ends, np.int64), join(hashes, np.uint64)
+        self.second = join(seconds, np.uint64)
         #: first word of each text, and the number of all words
         self.bounds = np.searchsorted(self.start, offsets)
         self.counts = np.diff(self.bounds)

@@ -22,10 +22,11 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 
-from tidemark.llm.common import utf8
+from tidemark.llm.common import gathered, listed, numbered, slices, utf8
 
 #: Fixed value: the pattern whose matches these are.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+__all__ = ["PATTERN", "gathered", "kinds", "listed", "matches", "numbered", "slices"]
 BLANK, LETTER, NUMBER, OTHER = range(4)
 SAFE = re.compile(rb"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
 PART = 1 << 20
@@ -102,31 +103,3 @@ def matches(texts: pa.Array | pa.ChunkedArray, limit: int = PART) -> tuple[pa.Ar
     ]
     starts = np.concatenate([*found, [last - first]]).astype(np.int64)
     return slices(starts, data[first:last]), np.searchsorted(starts[:-1], offsets[1:] - first)
-
-
-def slices(bounds: np.ndarray, data: np.ndarray) -> pa.Array:
-    """The bytes between neighbouring bounds as an Arrow array over the data."""
-    data = np.ascontiguousarray(data)
-    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
-
-
-def numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """(number of each value among the distinct ones, the distinct values in order of first appearance)."""
-    coded = values.dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
-
-
-def listed(values: pa.Array) -> list[bytes]:
-    """The values of a binary array."""
-    offsets, data = utf8(values)
-    raw, at = data[offsets[0] : offsets[-1]].tobytes(), (offsets - offsets[0]).tolist()
-    return [raw[a:b] for a, b in zip(at, at[1:])]
-
-
-def gathered(index: np.ndarray, bounds: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(flat[bounds[i]:bounds[i + 1]] for every i of the index, one after another; where each ends)."""
-    start = bounds.take(index)
-    size = bounds.take(index + 1) - start
-    stop = np.cumsum(size)
-    total = int(stop[-1]) if len(stop) else 0
-    return flat.take(np.arange(total) + np.repeat(start - stop + size, size)), stop

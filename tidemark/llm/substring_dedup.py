@@ -44,12 +44,14 @@ class Chunk:
         self.rows = sorted_rows(table)
         self.doc_id, self.text = self.rows["doc_id"].combine_chunks(), self.rows["text"].combine_chunks()
         offsets, _ = utf8(self.text)
-        hashes, counts = [], []
+        hashes, seconds, counts = [], [], []
         for lo, hi in pieces(offsets):
             words = Words(*utf8(self.text.slice(lo, hi - lo)))
             hashes.append(words.hash)
+            seconds.append(words.second)
             counts.append(words.counts)
         self.hash = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        self.second = np.concatenate([np.zeros(0, np.uint64), *seconds])
         self.counts = np.concatenate([np.zeros(0, np.int64), *counts])
         self.bounds = np.concatenate(([0], np.cumsum(self.counts)))
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
@@ -72,7 +74,7 @@ class Chunk:
         total = np.concatenate((np.cumsum(mark), np.full(window, mark.sum())))
         own = self.windows(window)
         own = own[total[own + window - block + 1] > total[own]]
-        return own, WORDS.windows(self.hash, window)[own], WORDS2.windows(self.hash, window)[own]
+        return own, WORDS.windows(self.hash, window)[own], WORDS2.windows(self.second, window)[own]
 
 
 def first_of(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +200,7 @@ def dedup(
         if len(masks):
             raw = np.frombuffer(masks["data"][0].as_py(), np.uint8)
             starts = np.flatnonzero(np.unpackbits(raw, count=len(chunk.hash)))
-            a, b = WORDS.windows(chunk.hash, window)[starts], WORDS2.windows(chunk.hash, window)[starts]
+            a, b = WORDS.windows(chunk.hash, window)[starts], WORDS2.windows(chunk.second, window)[starts]
             first, which = first_of(a, b)
             elsewhere = ranks_of(notes, ranges(a[first], count), len(first), 1)
             again = np.ones(len(starts), bool)
