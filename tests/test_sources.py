@@ -12,7 +12,7 @@ from tidemark.plans import admin
 from tidemark.plans.admin import backup, seed, sync_all
 from tidemark.plans.pools import in_threads
 from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG, SNAPSHOT_MANIFEST
-from tidemark.sources.control import expire_snapshots, load_config, snapshot_tables
+from tidemark.sources.control import expire_snapshots, load_config, read_load_config_csv, snapshot_tables
 from tidemark.sources.databases import FileSource, JdbcSource, source_for, split_options
 from tidemark.sources import raw as raw_files
 from tidemark.sources.raw import finished_loads, noted_schema, raw_path, raw_table, read_raw, write_mode, write_raw, write_with_retry
@@ -409,6 +409,18 @@ def test_snapshots_of_two_jobs_are_all_listed(spark, tmp_path, rows):
     assert rows(read_current(spark, f"{tmp_path}/manifest", SNAPSHOT_MANIFEST), "created_at") == [(datetime(2025, 1, 3),), (datetime(2025, 1, 4),)]
 
 
+def test_lines_that_do_not_parse_are_kept_as_they_are(spark, tmp_path, rows):
+    control, csv = str(tmp_path / "control"), tmp_path / "lines.csv"
+    bad = ["2,b", "3,c,shop,id,x,y", "x4,d,shop,id", '5,"e,shop,id']
+    csv.write_text("\n".join(["line,table_name,database_name,partition_col", "1,a,shop,id", *bad, "6,,shop,id", '7,"f,g",shop,id', ""]))
+    seed(spark, str(csv), control, "line")
+    assert rows(load_config(spark, f"{control}/stream_config"), "table_name") == [("a",), ("f,g",)]
+    rejected = spark.read.parquet(f"{control}/rejected_config")
+    assert rows(rejected, "reason", "damaged_line") == sorted([("damaged", b) for b in bad] + [("unnamed", None)], key=str)
+    assert rows(rejected.filter("reason = 'unnamed'").select("database_name", "partition_col")) == [("shop", "id")]
+    assert read_load_config_csv(spark, str(csv)).count() == 4  # without a number column, x4 is a line like any other
+
+
 def test_seed_and_sync(spark, tmp_path, rows):
     control, csv = str(tmp_path / "control"), tmp_path / "lines.csv"
     csv.write_text("line,table_name,database_name,partition_col\n1, a ,shop,id\n2,b,shop,\n3,b,shop,key\n")

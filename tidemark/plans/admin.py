@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.operators.config import seed_config, sync_config, unnamed_lines
 from tidemark.schemas import LOAD_CONFIG, MERGE_CONFIG
 from tidemark.sources.control import (
+    damaged_lines,
     expire_snapshots,
     load_config,
     read_load_config_csv,
@@ -19,13 +20,18 @@ from tidemark.sources.control import (
 )
 from tidemark.sources.storage import current_version, update, version_path
 
+# Why a line is in ``rejected_config``.
+UNNAMED, DAMAGED = "unnamed", "damaged"
+
 
 def seed(spark: SparkSession, csv_path: str, control: str, sequence: str, kind: str = "stream") -> int:
-    """Put the lines of a CSV file into the load config; returns the new version. Lines
-    without a name go to ``rejected_config``."""
+    """Put the lines of a CSV file into the load config; returns the new version. Lines without a
+    name, and lines that do not parse, as they are, go to ``rejected_config`` with the reason."""
     path = f"{control}/{kind}_config"
     lines = read_load_config_csv(spark, csv_path, sequence)
-    unnamed_lines(lines).withColumn("kind", F.lit(kind)).write.mode("append").parquet(f"{control}/rejected_config")
+    damaged = damaged_lines(spark, csv_path, sequence).withColumn("reason", F.lit(DAMAGED))
+    rejected = unnamed_lines(lines).withColumn("reason", F.lit(UNNAMED)).unionByName(damaged, allowMissingColumns=True)
+    rejected.withColumn("kind", F.lit(kind)).write.mode("append").parquet(f"{control}/rejected_config")
     return update(spark, path, LOAD_CONFIG, lambda config: seed_config(config, lines, sequence))
 
 

@@ -16,16 +16,37 @@ from tidemark.schemas import AUDIT, LOAD_CONFIG, SNAPSHOT_MANIFEST
 from tidemark.sources.storage import control_rows, delete, exists, read_current, update
 
 
+# The text of a line that does not parse.
+LINE = "_line"
+
+
+def _cells(spark: SparkSession, path: str, sequence: str | None) -> DataFrame:
+    """The lines of a CSV file by its header, and in LINE the whole line if it has not as many cells as the
+    header, or its number is none."""
+    names = spark.read.option("header", True).csv(path).columns
+    kinds = [T.StructField(n, T.LongType() if n == sequence else T.StringType()) for n in names]
+    reader = spark.read.schema(T.StructType([*kinds, T.StructField(LINE, T.StringType())])).option("header", True)
+    cells = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).csv(path)
+    # Cells are only counted where all of them are read, so the condition, which always holds, looks at each.
+    return cells.filter(F.length(F.concat_ws("", *[F.col(n).cast("string") for n in names])) >= 0)
+
+
+def damaged_lines(spark: SparkSession, path: str, sequence: str | None = None) -> DataFrame:
+    """(damaged_line): the lines that ``read_load_config_csv`` leaves out because they do not parse, as they are."""
+    return _cells(spark, path, sequence).filter(F.col(LINE).isNotNull()).select(F.col(LINE).alias("damaged_line"))
+
+
 def read_load_config_csv(spark: SparkSession, path: str, sequence: str | None = None) -> DataFrame:
     """Load config from CSV with a header: all text, an empty cell is NULL.
 
     Columns go by name; one the file lacks is NULL, the load type then a full load.
-    ``sequence`` names a further column that numbers the lines.
+    ``sequence`` names a further column that numbers the lines. Lines that do not parse are left to
+    ``damaged_lines``: every line is in one of the two.
     """
-    cells = spark.read.option("header", True).csv(path)
+    cells = _cells(spark, path, sequence).filter(F.col(LINE).isNull())
     absent = {c: F.lit(FULL if c == "load_type" else None).cast("string") for c in LOAD_CONFIG.fieldNames()}
     columns = [F.col(c) if c in cells.columns else v.alias(c) for c, v in absent.items()]
-    return cells.select(*columns, *([F.col(sequence).cast("bigint")] if sequence else []))
+    return cells.select(*columns, *([F.col(sequence)] if sequence else []))
 
 
 def load_config(spark: SparkSession, path: str, database: str | None = None) -> DataFrame:

@@ -26,7 +26,8 @@ from tidemark.operators.config import (
 )
 from tidemark.plans.load_plan import load_plan
 from tidemark.session import work_dir
-from tidemark.sources.control import read_load_config_csv, snapshot_tables
+from tidemark.plans.admin import seed
+from tidemark.sources.control import load_config, read_load_config_csv, snapshot_tables
 from workloads.inputs import (
     LOAD_CONFIG,
     RUN_STATE,
@@ -140,6 +141,27 @@ def seeded(spark: SparkSession, sf: str) -> DataFrame:
     return seed_config(_config(spark, sf), read_load_config_csv(spark, path, "line"), "line")
 
 
+def seeded_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """Which lines of a file a seed accepts and which it rejects: some have too few cells or too many, a number
+    that is none, or a quote that is left open."""
+    base, key = work_dir(spark, "config_seed_damaged"), F.col("s_suppkey")
+    named = F.concat(F.lit(",shop,t"), key)
+    whole = F.concat(key, named, F.lit(",full_load,id"))
+    line = (
+        F.when(key % 10 == 6, F.concat(key, named))
+        .when(key % 10 == 7, F.concat(whole, F.lit(",more,cells")))
+        .when(key % 10 == 8, F.concat(F.lit("x"), whole))
+        .when(key % 10 == 9, F.concat(key, F.lit(',shop,"t'), key, F.lit(",full_load,id")))
+        .otherwise(whole)
+    )
+    header = spark.range(1).select(F.lit(-1).cast("bigint").alias("n"), F.lit("line,database_name,table_name,load_type,partition_col").alias("value"))
+    lines = header.unionByName(table(spark, sf, "supplier").select(key.cast("bigint").alias("n"), line.alias("value")))
+    lines.repartition(1).sortWithinPartitions("n").select("value").write.text(f"{base}/lines")
+    seed(spark, f"{base}/lines", f"{base}/control", "line")
+    accepted = load_config(spark, f"{base}/control/stream_config").select(F.lit("accepted").alias("outcome"), F.col("table_name").alias("line"))
+    return accepted.unionByName(spark.read.parquet(f"{base}/control/rejected_config").select(F.col("reason").alias("outcome"), F.col("damaged_line").alias("line")))
+
+
 def synced(spark: SparkSession, sf: str) -> DataFrame:
     return sync_config(_config(spark, sf))
 
@@ -328,6 +350,16 @@ QUERIES = {
             from load_config where missing <> ''""",
     ),
     "config_seed": Query(seeded, _SEED_SQL),
+    "config_seed_damaged": Query(
+        seeded_damaged,
+        """select case when k % 10 < 6 then 'accepted' else 'damaged' end as outcome,
+                  case when k % 10 < 6 then 't' || k
+                       when k % 10 = 6 then k || ',shop,t' || k
+                       when k % 10 = 7 then k || ',shop,t' || k || ',full_load,id,more,cells'
+                       when k % 10 = 8 then 'x' || k || ',shop,t' || k || ',full_load,id'
+                       else k || ',shop,"t' || k || ',full_load,id' end as line
+           from (select s_suppkey as k from supplier)""",
+    ),
     "config_sync": Query(
         synced,
         f"""with {LOAD_CONFIG} select {clean("database_name")} as database_name, {clean("table_name")} as table_name,
