@@ -56,6 +56,14 @@ def test_merge_follows_the_files(spark, feed, rows):
     assert rows(staging.read(), "k", "v") == [(1, "b"), (2, "c"), (3, "c")]
 
 
+def test_merged_batches_leave_no_old_buckets(spark, feed):
+    staging = StagingTable(spark, f"{feed.base}/staging", ["k"], buckets=1)
+    for n in range(5):
+        feed.land([(1, n, "a")], minute(n))
+    stream_merge(feed.stream(max_files=1), staging, f"{feed.base}/cp", ["ts"], keep_states=2).awaitTermination()
+    assert len(child_names(spark, f"{feed.base}/staging/data")) == 2
+
+
 def test_replay_of_all_files_changes_nothing(spark, feed, rows):
     staging = StagingTable(spark, f"{feed.base}/staging", ["k"])
     for n in range(3):

@@ -15,13 +15,11 @@ from tidemark.plans.pools import in_threads, use_pool
 from tidemark.schemas import MERGE_STATE
 from tidemark.sources.control import split_names
 from tidemark.sources.raw import finished_loads, raw_table, read_raw
-from tidemark.sources.staging import MergeCounts, StagingTable
+from tidemark.sources.staging import KEPT_STATES, MergeCounts, StagingTable
 from tidemark.sources.storage import control_rows, update
 
 # Fixed value: tables merged at a time.
 MERGE_WORKERS = 5
-# States of a staging table that can be read while further merges run.
-KEPT_STATES = 3
 
 MERGE_RESULT = T.StructType(
     [

@@ -47,6 +47,8 @@ BUCKET, MERGE = "_bucket", "_merge"
 BUCKET_BYTES = 512 * 1024 * 1024
 MIN_BUCKETS, MAX_BUCKETS = 8, 1 << 20
 MAX_TASKS = 65536
+# States of a table that can be read while further merges run, where jobs delete what older ones read.
+KEPT_STATES = 3
 MAX_ROWS_PER_FILE = 10_000_000
 _UNKNOWN_SIZE = 1 << 60
 # Low bits of a merge's number, drawn anew for each attempt.

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.timestamps import EPOCH, ntz
 from tidemark.operators.dedupe import dedupe_latest
 from tidemark.sources.raw import PARTITIONS, noted_schema
-from tidemark.sources.staging import StagingTable
+from tidemark.sources.staging import KEPT_STATES, StagingTable
 from tidemark.sources.storage import (
     child_names,
     current_version,
@@ -63,9 +63,10 @@ def raw_stream(
 
 
 def stream_merge(
-    rows: DataFrame, staging: StagingTable, checkpoint: str, change_cols: Sequence[str] = ()
+    rows: DataFrame, staging: StagingTable, checkpoint: str, change_cols: Sequence[str] = (), keep_states: int | None = KEPT_STATES
 ) -> StreamingQuery:
-    """Merge each micro-batch into the staging table; stops when all files are in.
+    """Merge each micro-batch into the staging table, and delete what none of its last ``keep_states``
+    states reads (None: nothing); stops when all files are in.
 
     The checkpoint tracks files, so no row is passed over for its stamp, and the newer row
     always wins, so a batch that runs twice changes nothing.
@@ -73,6 +74,8 @@ def stream_merge(
 
     def merge(batch: DataFrame, _: int) -> None:
         staging.merge(batch, change_cols, keep_newer=True)
+        if keep_states is not None:
+            staging.vacuum(keep_states)
 
     return (
         rows.writeStream.foreachBatch(merge)
