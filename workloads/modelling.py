@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.gold import apply_rules, dim_customer, dim_date, fact_order_line, metrics_monthly
+from tidemark.operators.history import as_of, history
 from tidemark.plans.gold import build_gold
 from tidemark.schemas import EXTRACTION_STATUS
 from tidemark.session import work_dir
@@ -40,6 +41,25 @@ def _some_renamed(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").withColumn("c_custkey", key)
 
 
+FOLLOWED = ["o_orderpriority", "o_orderstatus"]
+
+
+def customer_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers by the priority and state of their latest order: a version for each change of either."""
+    versions = history(table(spark, sf, "orders"), ["o_custkey"], "o_orderdate", FOLLOWED, ["o_orderkey"])
+    names = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return versions.join(names, "o_custkey", "left")
+
+
+def lines_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with what their customer was when they were shipped; one line in fifty has no ship date."""
+    orders = table(spark, sf, "orders")
+    versions = history(orders, ["o_custkey"], "o_orderdate", FOLLOWED, ["o_orderkey"])
+    shipped = F.when(F.col("l_orderkey") % 50 != 7, F.col("l_shipdate")).alias("shipped")
+    lines = table(spark, sf, "lineitem").join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return as_of(lines.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", shipped), versions, ["o_custkey"], "shipped", FOLLOWED)
+
+
 def gated(spark: SparkSession, sf: str) -> DataFrame:
     """The gold job for two databases, of which the extraction of one is complete."""
     base = work_dir(spark, "gold_job")
@@ -60,7 +80,33 @@ def monthly(spark: SparkSession, sf: str) -> DataFrame:
 _NET = """cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2)))
                as decimal(18,4)) as net_amount"""
 
+_VERSIONS = """one as (
+  select * from orders where o_custkey is not null and o_orderdate is not null
+  qualify row_number() over (partition by o_custkey, o_orderdate order by o_orderkey desc, o_totalprice desc) = 1),
+marked as (
+  select *, row_number() over w = 1 or o_orderpriority is distinct from lag(o_orderpriority) over w
+            or o_orderstatus is distinct from lag(o_orderstatus) over w as new
+  from one window w as (partition by o_custkey order by o_orderdate)),
+versions as (
+  select o_custkey, o_orderdate as valid_from, o_orderpriority, o_orderstatus,
+         lead(o_orderdate) over (partition by o_custkey order by o_orderdate) as valid_to
+  from marked where new)"""
+
 QUERIES = {
+    "gold_dim_customer_history": Query(
+        customer_history,
+        f"""with {_VERSIONS} select versions.*, valid_to is null as is_current, c_name
+            from versions left join customer on c_custkey = o_custkey""",
+    ),
+    "gold_fact_as_of": Query(
+        lines_as_of,
+        f"""with {_VERSIONS},
+            lines as (
+              select l_orderkey, l_linenumber, l_partkey, o_custkey, case when l_orderkey % 50 <> 7 then l_shipdate end as shipped
+              from lineitem join orders on l_orderkey = o_orderkey)
+            select lines.*, o_orderpriority, o_orderstatus
+            from lines asof left join versions on lines.o_custkey = versions.o_custkey and shipped >= valid_from""",
+    ),
     "gold_order_rules": Query(
         order_rules,
         f"""select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
