@@ -100,6 +100,25 @@ def test_new_columns_are_null_in_old_rows_and_missing_ones_in_new(spark, table,
     assert got == [(2, 1, None), (3, 2, 7), (4, 3, None)]
 
 
+def test_changes_are_old_and_new_rows(spark, table, rows, way):
+    assert table.changes(0) is None
+    marks = [table.version()]
+    loads = [
+        ([(1, 1, "a"), (2, 1, "a"), (3, 1, "a")], "k int, seq int, v string"), ([(2, 2, "b"), (4, 2, "b"), (3, 1, "a")], "k int, seq int, v string"),
+        ([(5, 3, "c")], "k int, seq bigint, v string"),
+    ]
+    for n, (data, columns) in enumerate(loads):
+        table.merge(load(spark, data, n, columns))
+        marks.append(table.version())
+    image = ["k", "old.v as was", "new.v as is"]
+    got = [rows(table.changes(a, b).selectExpr(*image)) for a, b in zip(marks, marks[1:])]
+    assert got[0] == [(1, None, "a"), (2, None, "a"), (3, None, "a")]
+    assert got[1] == [(2, "a", "b"), (4, None, "b")]  # 3 came again as it was
+    assert got[2] == [(5, None, "c")]  # the type of a column grew, and no other row changed
+    assert rows(table.changes(marks[1]).selectExpr(*image)) == [(2, "a", "b"), (4, None, "b"), (5, None, "c")]
+    assert table.changes(marks[3]).count() == 0
+
+
 def test_values_take_the_type_of_the_table(spark, table, rows, way):
     table.merge(load(spark, [(1, 1, "a")], 0))
     table.merge(load(spark, [(1, 2, 30)], 1, "k bigint, seq bigint, v int"))

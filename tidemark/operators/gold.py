@@ -147,12 +147,40 @@ def metrics_monthly(orders: DataFrame, customers: DataFrame) -> DataFrame:
     customer with very many orders reaches the join as a few rows. Orders of customers that
     the dimension lacks count for its unknown member, so the revenue is that of all orders.
     """
-    month = F.substring(F.col("o_orderdate").cast("string"), 1, 7)
-    per_customer = orders.groupBy(F.col("o_custkey").alias("customer_key"), month.alias("month")).agg(
+    return metrics_from_sums(order_sums(orders), customers)
+
+
+def _month() -> Column:
+    return F.substring(F.col("o_orderdate").cast("string"), 1, 7)
+
+
+def order_sums(orders: DataFrame) -> DataFrame:
+    """(customer_key, month, revenue, orders): what the metrics are made of."""
+    return orders.groupBy(F.col("o_custkey").alias("customer_key"), _month().alias("month")).agg(
         F.sum(money("o_totalprice")).alias("revenue"), F.count(F.lit(1)).alias("orders")
     )
+
+
+def changed_sums(sums: DataFrame, changes: DataFrame) -> DataFrame:
+    """The sums after changes (old, new) of orders: what an order was is taken away, what it is is added.
+
+    Sums are decimals, so they are what they would be if worked out anew. A customer's month that has no
+    order left goes. Only the changed orders and the sums are read.
+    """
+    image = lambda side, sign: F.when(F.col(side).isNotNull(), F.struct(F.lit(sign).alias("sign"), F.col(side).alias("row")))
+    images = changes.select(F.explode(F.array_compact(F.array(image("old", -1), image("new", 1)))).alias("i")).select("i.sign", "i.row.*")
+    delta = images.groupBy(F.col("o_custkey").alias("customer_key"), _month().alias("month")).agg(
+        F.sum(money("o_totalprice") * F.col("sign")).cast("decimal(28,2)").alias("revenue"), F.sum("sign").alias("orders")
+    )
+    both = sums.unionByName(delta).groupBy("customer_key", "month")
+    after = both.agg(F.sum("revenue").cast("decimal(28,2)").alias("revenue"), F.sum("orders").alias("orders"))
+    return after.filter(F.col("orders") > 0)
+
+
+def metrics_from_sums(sums: DataFrame, customers: DataFrame) -> DataFrame:
+    """The metrics of ``metrics_monthly`` from the sums of ``order_sums``."""
     return (
-        per_customer.join(
+        sums.join(
             customers.select("customer_key", "nation", "segment", F.lit(True).alias("known")), "customer_key", "left"
         )
         .withColumns({c: F.when(F.col("known"), F.col(c)).otherwise(UNKNOWN) for c in ("nation", "segment")})

@@ -151,6 +151,40 @@ class StagingTable:
         _, entries = self._entries()
         return self._rows(entries).drop(BUCKET) if entries else None
 
+    def version(self) -> int:
+        """Number of the published state, 0 before the first merge."""
+        return self._entries()[0]
+
+    def changes(self, since: int, until: int | None = None) -> DataFrame | None:
+        """(keys, old, new): the rows that merges after state ``since`` changed, as they were and as they
+        are, the one NULL for rows that came, the other for rows that went; None without a state.
+
+        Only buckets that were written in between are read. Rows that differ in the load stamp alone
+        have not changed. Both states must not have been vacuumed. Rows with a NULL key, where they
+        are inserted, match no other, so those of written buckets go and come again.
+        """
+        until = self.version() if until is None else until
+        after, before = ([] if n == 0 else self._state_at(n) for n in (until, since))
+        if not after:
+            return None
+        if before and before[0]["buckets"] == after[0]["buckets"] and before[0]["columns"] == after[0]["columns"]:
+            kept = {(e["bucket"], e["merge"]) for e in before} & {(e["bucket"], e["merge"]) for e in after}
+            before, after = ([e for e in side if (e["bucket"], e["merge"]) not in kept] for side in (before, after))
+        columns = _columns(self._state_at(until))
+        image = F.struct(*columns.fieldNames())
+        empty = self.spark.createDataFrame([], columns)
+        sides = []
+        for name, entries in (("old", before), ("new", after)):
+            rows = _as_stored(self._rows(entries).drop(BUCKET), columns) if entries else empty
+            sides.append(rows.select(*self.keys, image.alias(name)))
+        both = sides[0].join(sides[1], self.keys, "full")
+        said = [F.struct(*[F.col(side)[c] for c in columns.fieldNames() if c != STAMP]) for side in ("old", "new")]
+        same = F.col("old").isNotNull() & F.col("new").isNotNull() & said[0].eqNullSafe(said[1])
+        return both.filter(~same)
+
+    def _state_at(self, version: int) -> list[Row]:
+        return self.spark.read.schema(_CURRENT).parquet(version_path(self._state, version)).collect()
+
     def rejects(self) -> DataFrame | None:
         """Rows that merges left out for a NULL key, each at least once; None if there are none."""
         paths = [f"{self.path}/rejects/{n}" for n in child_names(self.spark, f"{self.path}/rejects")]

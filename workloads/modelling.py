@@ -4,14 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidemark.operators.gold import apply_rules, dim_customer, dim_date, fact_order_line, metrics_monthly
+from pyspark.sql import types as T
+
+from tidemark.operators.cdc import stamp
+from tidemark.operators.gold import (
+    apply_rules,
+    changed_sums,
+    dim_customer,
+    dim_date,
+    fact_order_line,
+    metrics_from_sums,
+    metrics_monthly,
+    order_sums,
+)
 from tidemark.operators.history import as_of, history
 from tidemark.plans.gold import build_gold
 from tidemark.schemas import EXTRACTION_STATUS
 from tidemark.session import work_dir
-from tidemark.sources.storage import control_rows, publish
-from workloads.inputs import Query, table
+from tidemark.sources.staging import StagingTable
+from tidemark.sources.storage import control_rows, publish, read_current
+from workloads.inputs import ORDERS_BACK, ORDERS_CUT, T1, T2, T3, Query, between, table
+
+SUMS = T.StructType(
+    [
+        T.StructField("customer_key", T.LongType()),
+        T.StructField("month", T.StringType()),
+        T.StructField("revenue", T.DecimalType(28, 2)),
+        T.StructField("orders", T.LongType()),
+    ]
+)
 
 
 def order_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,6 +81,30 @@ def lines_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(lines.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", shipped), versions, ["o_custkey"], "shipped", FOLLOWED)
 
 
+def incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly metrics kept by the changes of three merges: some orders first have another price, customer or
+    date, later orders follow, and then all are put right."""
+    base, key = work_dir(spark, "gold_metrics_incremental"), F.col("o_orderkey")
+    orders = table(spark, sf, "orders")
+    wrong = orders.withColumns({
+        "o_totalprice": F.when(key % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+        "o_custkey": F.when(key % 11 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")),
+        "o_orderdate": F.when(key % 13 == 0, F.col("o_orderdate") + F.expr("interval 40 days")).otherwise(F.col("o_orderdate")),
+    })
+    loads = [
+        between(wrong, "o_orderdate", up_to=ORDERS_CUT),
+        between(orders, "o_orderdate", after=ORDERS_BACK),
+        orders.filter((key % 7 == 0) | (key % 11 == 0) | (key % 13 == 0)),
+    ]
+    staging, sums = StagingTable(spark, f"{base}/staging", ["o_orderkey"]), order_sums(orders.limit(0))
+    for load, at in zip(loads, (T1, T2, T3)):
+        before = staging.version()
+        staging.merge(stamp(load, at))
+        publish(changed_sums(sums, staging.changes(before)), f"{base}/sums")
+        sums = read_current(spark, f"{base}/sums", SUMS)
+    return metrics_from_sums(sums, customers(spark, sf))
+
+
 def gated(spark: SparkSession, sf: str) -> DataFrame:
     """The gold job for two databases, of which the extraction of one is complete."""
     base = work_dir(spark, "gold_job")
@@ -93,6 +138,13 @@ versions as (
   from marked where new)"""
 
 QUERIES = {
+    "gold_metrics_incremental": Query(
+        incremental,
+        """select n_name as nation, c_mktsegment as segment, strftime(o_orderdate, '%Y-%m') as month,
+                  cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) as revenue, count(*) as orders,
+                  cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(*) as mean_order_value
+           from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2, 3""",
+    ),
     "gold_dim_customer_history": Query(
         customer_history,
         f"""with {_VERSIONS} select versions.*, valid_to is null as is_current, c_name
