@@ -1,6 +1,6 @@
 """Splits of equal depth, and what a balanced source asks a database for."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.splits import split_of, split_points, split_predicates
 from tidemark.sources import databases
 from tidemark.sources.databases import JdbcSource
+from workloads.extraction import QUERIES
 
 
 def sizes(df, points):
@@ -63,6 +64,14 @@ def test_nothing_to_cut(spark, values):
     assert split_predicates("v", []) == ["1 = 1"]
 
 
+@pytest.mark.parametrize("first", [0, 2_097_152, 10**13])  # the cube of 2**21 is no bigint, that of 10**13 no decimal
+def test_parts_of_large_keys_are_balanced(spark, tmp_path, first):
+    lines = [(first + 7 * n, datetime(2020, 1, 1) + timedelta(hours=n)) for n in range(2000)]
+    spark.createDataFrame(lines, "l_orderkey long, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {(r["split_col"], r["rows"], r["balanced"]) for r in QUERIES["split_bounds_balanced"].run(spark, str(tmp_path)).collect()}
+    assert got == {(c, 2000, True) for c in ("even", "skewed", "text", "clustered", "time")}
+
+
 @pytest.mark.parametrize("points", [["3"], ["3", "5", "9"]])
 def test_every_row_meets_one_condition(spark, points):
     df = table(spark, [None, *range(12)], "int")

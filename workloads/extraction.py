@@ -87,9 +87,10 @@ def balanced_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """For split columns of several kinds and shapes: rows over all parts of a read in ten, and whether the
     largest part is within 1.3 of the mean."""
     key = F.col("l_orderkey")
+    wide = key.cast("double")  # cubes of keys from 2,097,152 on are no bigint
     lines = table(spark, sf, "lineitem").select(
         key.alias("even"),
-        (key * key * key).alias("skewed"),
+        (wide * wide * wide).alias("skewed"),
         F.when(key % 20 != 0, F.concat(F.lit("order/"), key)).alias("text"),
         F.concat(F.when(key % 10 < 8, F.lit("a-common-prefix/")).otherwise(F.substring(F.md5(key.cast("string")), 1, 3)), key).alias("clustered"),
         F.col("l_shipdate").alias("time"),
